@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact_dedup, license_scan, mixing, near_dedup, quality, secret_scan, sharding
+from . import bpe, chat, exact_dedup, images, license_scan, mixing, near_dedup, quality, secret_scan, sharding
 from .common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -53,6 +53,11 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).drop("keep_locator")
 
 
+def op8_image_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The test tables hold no images; every row of embeddings is drawn as one."""
+    return images.image_copies(images.pictures(table(spark, sf_dir, "embeddings")), "vec_id", "media")
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.grade(table(spark, sf_dir, "documents"), quality.ratings_of(table(spark, sf_dir, "labels")))
 
@@ -61,7 +66,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents")).drop("n_literal")
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_mixing, op3_byte_bpe, op4_minhash_near_dedup, op5_license_scan, op6_chat_format, op7_exact_dedup, op9_quality, op10_secret_scan)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_mixing, op3_byte_bpe, op4_minhash_near_dedup, op5_license_scan, op6_chat_format, op7_exact_dedup, op8_image_copies, op9_quality, op10_secret_scan)}
 
 _CONTROLS = ("<|start|>", "<|sep|>", "<|end|>", "<|im_start|>", "<|im_end|>", "<|endoftext|>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<s>", "</s>")
 
