@@ -73,6 +73,13 @@ def _value(column: PivotColumn, raw: Column, strict: bool) -> Column:
     return F.struct(raw["member"].alias("tag"), *fields)
 
 
+def _values(column: PivotColumn, found: Column, strict: bool) -> Column:
+    """The distinct values of a list of positions and raw structs, in order."""
+    kept = ("object", "lang") if column.lang else ("object", "datatype", "member")
+    ordered = F.transform(F.array_sort(found), lambda x: F.struct(*[x["_raw"][k].alias(k) for k in kept]))
+    return F.transform(F.array_distinct(ordered), lambda x: _value(column, x, strict))
+
+
 def pivot(triples: DataFrame, columns: list[PivotColumn], strict: bool = True) -> DataFrame:
     """One row per filename, graph and subject of a triple table with object_kind, filename and _pos; one exchange.
 
@@ -96,10 +103,7 @@ def pivot(triples: DataFrame, columns: list[PivotColumn], strict: bool = True) -
     for i, c in enumerate(columns):
         at = F.col(f"_c{i}")
         if c.multi:
-            ordered = F.transform(F.array_sort(at), lambda x: x["_raw"])
-            key = lambda x: F.struct(x["object"], x["lang"] if c.lang else x["datatype"])  # noqa: B023, E731
-            first = F.filter(ordered, lambda x, n, o=ordered, k=key: F.array_position(F.transform(o, k), k(x)) == n + 1)
-            value = F.when(F.size(at) > 0, F.transform(first, lambda x, c=c: _value(c, x, strict)))
+            value = F.when(F.size(at) > 0, _values(c, at, strict))
         else:
             value = F.when(at.isNotNull(), _value(c, at, strict))
         out.append(value.alias(c.predicate))
