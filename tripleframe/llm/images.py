@@ -249,12 +249,12 @@ def _corner_array(raw: bytes) -> np.ndarray:
 
 
 def possible_pairs(left: list, right: list, inliers: int) -> list[tuple]:
-    """Of records (id, label, corners), the pairs with different labels that have corners enough that look alike."""
+    """Of records (id, label, corners, null), the pairs with different labels that have corners enough that look alike."""
     out = []
-    for a, label, load in left:
+    for a, label, load, _ in left:
         x = _corner_array(load)["bits"]
-        for b, other, more in right:
-            if label != other and (_differ(x, _corner_array(more)["bits"]).min(axis=1) <= ALIKE).sum() >= inliers:
+        for b, other, to, _ in right:
+            if label != other and (_differ(x, _corner_array(to)["bits"]).min(axis=1) <= ALIKE).sum() >= inliers:
                 out.append((a, b))
     return out
 
@@ -292,7 +292,7 @@ def image_copies(media: DataFrame, id_col: str, media_col: str, inliers: int = I
     own = staged(own.filter("_n > 0"), "image-classes")
     members = staged(shared_buckets(_entries(own)), "image-members")
     popular = cut(popularity(members))
-    load = own.select("_id", F.col("_corners").alias("_load"))
+    load = own.select("_id", F.col("_corners").alias("_load"), F.lit(None).cast("binary").alias("_more"))
     labels, links = connect(members, popular, load, lambda pairs: _alike(pairs, own, inliers), lambda _, left, right: possible_pairs(left, right, inliers))
     known = classes.withColumn("_component", F.col("_rep")).withColumn("_links", F.lit(0).cast("bigint"))
     if links is not None:

@@ -58,9 +58,10 @@ def connect(
 ) -> tuple[DataFrame, DataFrame | None]:
     """Labels (_node, _label) of the popular records, and the links (_a, _b) found, None if there are none.
 
-    members: _bucket (long), _id. payload: _id and the binary column _load.
+    members: _bucket (long), _id. payload: _id and the binary columns _load and _more.
     check: keeps those of the pairs (_a, _b) that are links.
-    possible: of (bucket, records, records), records being (id, label, load), the pairs with different labels that may be links.
+    possible: of (bucket, records, records), records being (id, label, load, more), the pairs with different labels that
+    may be links; more is null in buckets of at most BLOCK records, whose pairs are few.
 
     First every bucket's most popular record is compared with the bucket's others, which connects nearly all of
     a group of copies at one pair a record. Then, in buckets whose records are not all connected, the pairs between
@@ -75,24 +76,30 @@ def connect(
     found = not links.isEmpty()
     if found:
         labels = _labelled(popular, links)
-    blocks = cut(_blocks(members, labels, payload))
-    if not blocks.isEmpty():
-        more = cut(check(cut(_met(blocks, possible).distinct())))
+    open_ = cut(_unconnected(members, labels))
+    if not open_.isEmpty():
+        more = cut(check(cut(_met(_blocks(open_, payload), possible).distinct())))
         if not more.isEmpty():
             links, found = links.unionByName(more), True
             labels = _labelled(popular, links)
     return labels, links if found else None
 
 
-def _blocks(members: DataFrame, labels: DataFrame, payload: DataFrame) -> DataFrame:
-    """_bucket, _other (not of the bucket's largest component), _block, _records, for buckets with several components."""
+def _unconnected(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members (_bucket, _id, _label) of buckets with several components; _most, the largest one's label, and _many."""
     now = members.join(labels, F.col("_id") == F.col("_node")).select("_bucket", "_id", "_label")
     parts = now.groupBy("_bucket", "_label").agg(F.count(F.lit(1)).alias("_part"))
     largest = parts.groupBy("_bucket").agg(F.max(F.struct("_part", "_label"))["_label"].alias("_most"), F.sum("_part").alias("_many"), F.count(F.lit(1)).alias("_parts"))
-    now = cut(now.join(largest.filter("_parts > 1"), "_bucket"))
+    return now.join(largest.filter("_parts > 1").drop("_parts"), "_bucket")
+
+
+def _blocks(now: DataFrame, payload: DataFrame) -> DataFrame:
+    """_bucket, _other (not of the bucket's largest component), _block, _records: about BLOCK records."""
     block = F.pmod(F.xxhash64("_id"), F.ceil(F.col("_many") / BLOCK)).alias("_block")
-    loaded = now.join(payload, "_id").select("_bucket", (F.col("_label") != F.col("_most")).alias("_other"), block, F.struct("_id", "_label", "_load").alias("_record"))
-    return loaded.groupBy("_bucket", "_other", "_block").agg(F.collect_list("_record").alias("_records"))  # about BLOCK records
+    more = F.when(F.col("_many") > BLOCK, F.col("_more")).alias("_more")
+    record = F.struct("_id", "_label", "_load", more).alias("_record")
+    loaded = now.join(payload, "_id").select("_bucket", (F.col("_label") != F.col("_most")).alias("_other"), block, record)
+    return loaded.groupBy("_bucket", "_other", "_block").agg(F.collect_list("_record").alias("_records"))
 
 
 def _met(blocks: DataFrame, possible: Callable[[int, list, list], list[tuple]]) -> DataFrame:
@@ -105,7 +112,7 @@ def _met(blocks: DataFrame, possible: Callable[[int, list, list], list[tuple]])
         for batch in batches:
             out: list[tuple] = []
             for bucket, a, b in zip(*batch.columns, strict=True):
-                records = [[(r["_id"], r["_label"], r["_load"]) for r in side.as_py()] for side in (a, b)]
+                records = [[(r["_id"], r["_label"], r["_load"], r["_more"]) for r in side.as_py()] for side in (a, b)]
                 out += possible(bucket.as_py(), *records)
             ids = batch.schema.field(1).type.value_type.field(0).type
             yield pa.RecordBatch.from_arrays([pa.array([min(p) for p in out], ids), pa.array([max(p) for p in out], ids)], ["_a", "_b"])

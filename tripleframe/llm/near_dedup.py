@@ -5,17 +5,15 @@ r"""MinHash near-deduplication with sequential Bayesian verification.
 2. Signatures are cut into BANDS bands of ROWS values; classes that agree in a
    band share a bucket. A link of similarity 0.75 shares none with a
    probability of 4e-5.
-3. Buckets are worked through by pivots: the most popular members of a bucket
-   are compared with its other members unless both are known to be connected.
-   Pivots then leave the bucket, their number doubles, and the bucket is done
-   when all its members are connected or have been pivots. So a group of many
-   near copies costs a few comparisons a member, not all pairs, and yet every
-   pair that could connect two components is compared.
+3. In each bucket, the most popular member is compared with the others, which
+   connects nearly all of a group of near copies at one pair a member. Pairs
+   between components that remain in a bucket meet in blocks (see linking), each
+   in the first band that they share.
 4. Candidates are verified in sequence: signatures are compared in batches, and
    a pair is dropped once the posterior probability of a similarity of 0.75 or
    more is below MISS. Survivors are confirmed on their full sets.
-5. Links connect components (hash-to-min with pointer jumping, on the links
-   alone); each component is named after its smallest identifier.
+5. Links connect components (smallest neighbour with pointer jumping, on the
+   links alone); each component is named after its smallest identifier.
 
 Words: `[^\x20\x09-\x0D]+` after lower-casing A-Z. A text with fewer words than
 a shingle has is one shingle of all its words.
@@ -35,16 +33,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, staged
+from .linking import connect, popularity, shared_buckets
 
 SHINGLE, BANDS, ROWS = 5, 52, 6
 #: Signature values compared at a time, and the chance of a link to drop a pair at.
 BATCH, MISS = 39, 1e-7
-#: Pivots of a bucket in the first round.
-PIVOTS = 8
+
+#: The low bits of a bucket's key hold its band.
+BAND_MASK = 63
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _FACTORS = np.random.default_rng(20240501).integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -94,6 +94,51 @@ def survives(a: bytes, b: bytes, bounds: list[tuple[int, int]]) -> bool:
     return all(np.count_nonzero(same[:n]) >= m for n, m in bounds)
 
 
+def possible_pairs(bucket: int, left: list, right: list, bounds: list[tuple[int, int]], share: int) -> list[tuple]:
+    """Of records (id, label, load: size of the set and signature, short set or null), the pairs with different labels that survive.
+
+    A pair that shares several bands is examined in the first alone. Where short sets are at hand (in large buckets),
+    survivors must be possible by them too, so that near misses of a large group don't become rows.
+    """
+    a, b = [np.frombuffer(b"".join(r[2][8:] for r in side), np.uint16).reshape(len(side), BANDS * ROWS) for side in (left, right)]
+    n, m = [np.array([int.from_bytes(r[2][:8], "big") for r in side]) for side in (left, right)]
+    labels = np.unique([r[1] for r in left + right], return_inverse=True)[1]
+    apart = labels[: len(left), None] != labels[None, len(left) :]
+    sizes = np.minimum(n[:, None], m[None, :]) * 100 >= np.maximum(n[:, None], m[None, :]) * share
+    i, j = np.nonzero(apart & sizes)
+    out = []
+    for at in range(0, len(i), 2048):
+        p, q = i[at : at + 2048], j[at : at + 2048]
+        same = a[p] == b[q]
+        held = same.reshape(len(p), BANDS, ROWS).all(axis=2).argmax(axis=1) == bucket & BAND_MASK
+        for values, least in bounds:
+            p, q, same = p[held], q[held], same[held]
+            held = np.count_nonzero(same[:, :values], axis=1) >= least
+        for x, y in zip(p[held], q[held], strict=True):
+            if left[x][3] is None or right[y][3] is None or perhaps_linked(left[x][3], right[y][3], int(n[x]), int(m[y]), share):
+                out.append((left[x][0], right[y][0]))
+    return out
+
+
+def short_set(found: np.ndarray) -> bytes:
+    """The distinct upper halves of the hashes."""
+    return np.unique((found >> np.uint64(32)).astype(np.uint32)).tobytes()
+
+
+def perhaps_linked(a: bytes, b: bytes, n: int, m: int, share: int) -> bool:
+    """Whether sets of sizes n and m may be alike enough, by their short sets; never false for sets that are."""
+    x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
+    most = len(np.intersect1d(x, y, assume_unique=True)) + min(n - len(x), m - len(y))
+    return 100 * most >= share * (n + m - most)
+
+
+def linked(a: bytes, b: bytes, share: int) -> bool:
+    """Whether two full sets are alike enough."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * common >= share * (len(x) + len(y) - common)
+
+
 def _signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """_id, _n (size of the set), _set (digest of the set), _sig."""
     kind = docs.schema[id_col].dataType.simpleString()
@@ -113,15 +158,17 @@ def _signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """_id, _full (the sorted hashes) of the documents named."""
+    """_id, _full (the sorted hashes) and _short of the documents named."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingles(t.as_py()).tobytes() for t in batch.column(1)], pa.binary())], ["_id", "_full"])
+            found = [shingles(t.as_py()) for t in batch.column(1)]
+            columns = [pa.array([f.tobytes() for f in found], pa.binary()), pa.array([short_set(f) for f in found], pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["_id", "_full", "_short"])
 
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    return rows.join(ids, "_id", "left_semi").mapInArrow(run, f"_id {kind}, _full binary").dropDuplicates(["_id", "_full"])
+    return rows.join(ids, "_id", "left_semi").mapInArrow(run, f"_id {kind}, _full binary, _short binary")
 
 
 def _pairs_with(pairs: DataFrame, values: DataFrame, value: str) -> DataFrame:
@@ -131,9 +178,7 @@ def _pairs_with(pairs: DataFrame, values: DataFrame, value: str) -> DataFrame:
     return pairs.join(left, "_a").join(right, "_b")
 
 
-def _bayes(pairs: DataFrame, signed: DataFrame, threshold: float) -> DataFrame:
-    bounds = least_matches(threshold)
-
+def _bayes(pairs: DataFrame, signed: DataFrame, bounds: list[tuple[int, int]]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = batch.column("_va"), batch.column("_vb")
@@ -144,68 +189,35 @@ def _bayes(pairs: DataFrame, signed: DataFrame, threshold: float) -> DataFrame:
 
 
 def _exact(pairs: DataFrame, full: DataFrame, share: int) -> DataFrame:
-    def linked(a: bytes, b: bytes) -> bool:
-        x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-        common = len(np.intersect1d(x, y, assume_unique=True))
-        return 100 * common >= share * (len(x) + len(y) - common)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = batch.column("_va"), batch.column("_vb")
-            yield batch.select(["_a", "_b"]).filter(pa.array([linked(x.as_py(), y.as_py()) for x, y in zip(a, b, strict=True)], pa.bool_()))
+            yield batch.select(["_a", "_b"]).filter(pa.array([linked(x.as_py(), y.as_py(), share) for x, y in zip(a, b, strict=True)], pa.bool_()))
 
     kind = pairs.schema["_a"].dataType.simpleString()
     return _pairs_with(pairs, full, "_full").select("_a", "_b", "_va", "_vb").mapInArrow(run, f"_a {kind}, _b {kind}")
 
 
-def components(links: DataFrame) -> DataFrame:
-    """_node, _label (the smallest node that it is connected with), for the nodes of links (_a, _b)."""
-    both = cut(links.select("_a", "_b").union(links.select("_b", "_a")).filter("_a <> _b").distinct())
-    state = cut(both.groupBy(F.col("_a").alias("_node")).agg(F.least(F.min("_b"), F.col("_a")).alias("_label")))
-    while True:
-        label = state.select(F.col("_node").alias("_b"), F.col("_label").alias("_l"))
-        near = both.join(label, "_b").groupBy(F.col("_a").alias("_node")).agg(F.min("_l").alias("_near"))
-        low = state.join(near, "_node").select("_node", F.col("_label").alias("_old"), F.least("_label", "_near").alias("_low"))
-        jump = state.select(F.col("_node").alias("_low"), F.col("_label").alias("_far"))
-        new = cut(low.join(jump, "_low").select("_node", "_old", F.least("_low", "_far").alias("_label")))
-        if new.filter("_old <> _label").isEmpty():
-            return new.select("_node", "_label")
-        state = new.select("_node", "_label")
-
-
 def _connected(signed: DataFrame, docs: DataFrame, id_col: str, text_col: str, share: int) -> DataFrame | None:
-    """_node, _label of the representatives (_id, _n, _sig) that are connected with another; None if there are none."""
-    bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(F.substring(F.col("_sig"), b * (2 * ROWS) + 1, F.lit(2 * ROWS)), b))
-    keyed = signed.select("_id", "_n", F.explode(bands).alias("_bucket"))
-    shared = keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_many")).filter("_many > 1")
-    members = staged(keyed.join(shared, "_bucket"), "near-members")
-    popular = cut(members.groupBy("_id").agg(F.sum(F.col("_many") - 1).alias("_pop")))
+    """_node, _label of the representatives (_id, _n, _sig) that share a bucket; None if there are none."""
+    values = lambda b: F.substring(F.col("_sig"), b * (2 * ROWS) + 1, F.lit(2 * ROWS))
+    bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(values(b), b).bitwiseAND(F.lit(~BAND_MASK)).bitwiseOR(b.cast("bigint")))
+    members = staged(shared_buckets(signed.select("_id", F.explode(bands).alias("_bucket"))), "near-members")
+    popular = cut(popularity(members))
     if popular.isEmpty():
         return None
     full = staged(_full_sets(docs, popular.select("_id"), id_col, text_col), "near-sets")
-    some = staged(signed.join(popular.select("_id"), "_id", "left_semi").select("_id", "_sig"), "near-signatures")
-    members = members.join(popular, "_id").select("_bucket", "_id", "_n", "_pop")
-    labels = popular.select(F.col("_id").alias("_node"), F.col("_id").alias("_label"))
-    links, pivots = None, PIVOTS
-    while True:
-        now = cut(members.join(labels, F.col("_id") == F.col("_node")).select("_bucket", "_id", "_n", "_pop", "_label"))
-        apart = now.groupBy("_bucket").agg(F.min("_label").alias("_l0"), F.max("_label").alias("_l1")).filter("_l0 <> _l1").select("_bucket")
-        now = cut(now.join(apart, "_bucket"))
-        if now.isEmpty():
-            break
-        first = Window.partitionBy("_bucket").orderBy(F.desc("_pop"), "_id")
-        chosen = cut(now.withColumn("_rank", F.row_number().over(first)).filter(F.col("_rank") <= pivots))
-        left = chosen.select("_bucket", F.col("_id").alias("_p"), F.col("_n").alias("_pn"), F.col("_label").alias("_pl"))
-        fits = (F.col("_pl") != F.col("_label")) & (F.least("_pn", "_n") * 100 >= F.greatest("_pn", "_n") * share)
-        met = left.join(now, "_bucket").filter(fits).select(F.least("_p", "_id").alias("_a"), F.greatest("_p", "_id").alias("_b")).distinct()
-        new = cut(_exact(cut(_bayes(met, some, share / 100)), full, share))
-        members = now.select("_bucket", "_id", "_n", "_pop").join(chosen.select("_bucket", "_id"), ["_bucket", "_id"], "left_anti")
-        if not new.isEmpty():
-            links = new if links is None else links.unionByName(new)
-            known = components(links)
-            labels = popular.select("_id").join(known, F.col("_id") == F.col("_node"), "left").select(F.col("_id").alias("_node"), F.coalesce("_label", "_id").alias("_label"))
-        pivots *= 2
-    return None if links is None else labels
+    some = signed.join(popular.select("_id"), "_id", "left_semi").select("_id", "_sig", _load(F.col("_n"), F.col("_sig")).alias("_load"))
+    some = staged(some, "near-signatures")
+    bounds = least_matches(share / 100)
+    possible = lambda bucket, left, right: possible_pairs(bucket, left, right, bounds, share)
+    payload = some.select("_id", "_load").join(full.select("_id", F.col("_short").alias("_more")), "_id")
+    return connect(members, popular, payload, lambda pairs: _exact(_bayes(pairs, some, bounds), full, share), possible)[0]
+
+
+def _load(n: Column, signature_: Column) -> Column:
+    """The size (8 bytes, big endian) and the signature."""
+    return F.concat(F.unhex(F.lpad(F.hex(n), 16, "0")), signature_)
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", share: int = 75) -> DataFrame:
@@ -225,4 +237,4 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that stay, one of each component, with all their columns; identifiers are taken to be unique."""
     gone = near_dedup(docs, id_col, text_col).filter("not kept").select(F.col(id_col).alias("_gone"))
-    return docs.join(gone, docs[id_col].eqNullSafe(F.col("_gone")), "left_anti")
+    return docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]), "left_anti")
