@@ -149,6 +149,5 @@ def mix(
 
 def take(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The rows of docs, each as often as `copies` says; identifiers are taken to be unique."""
-    often = mixed.select(F.col(id_col).alias("_mid"), F.col("copies").alias("_copies")).filter("_copies > 0")
-    joined = docs.join(often, docs[id_col].eqNullSafe(F.col("_mid")))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*[docs[c] for c in docs.columns])
+    taken = mixed.filter("copies > 0").select(F.col(id_col).alias("_mid"), F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return docs.join(taken, docs[id_col].eqNullSafe(taken["_mid"])).select(*[docs[c] for c in docs.columns])

@@ -150,7 +150,7 @@ def grade(docs: DataFrame, ratings: DataFrame, grades: int = 3, least: int | Non
 def select_good(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs whose grade is good enough, with all their columns; identifiers are taken to be unique."""
     bad = grade(docs, ratings, id_col=id_col, text_col=text_col).filter("not kept").select(F.col(id_col).alias("_bad"))
-    return docs.join(bad, docs[id_col].eqNullSafe(F.col("_bad")), "left_anti")
+    return docs.join(bad, docs[id_col].eqNullSafe(bad["_bad"]), "left_anti")
 
 
 def ratings_of(labels: DataFrame) -> DataFrame:

@@ -154,5 +154,5 @@ def shard(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: s
 def write_shards(docs: DataFrame, path: str, shards: int = 24, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Write docs as Parquet, a folder for each shard; identifiers are taken to be unique."""
     where = shard(docs, shards, id_col, text_col).select(F.col(id_col).alias("_sid"), F.col("shard").alias("_shard_no"))
-    out = docs.join(where, docs[id_col].eqNullSafe(F.col("_sid"))).drop("_sid")
+    out = docs.join(where, docs[id_col].eqNullSafe(where["_sid"])).select(*[docs[c] for c in docs.columns], where["_shard_no"])
     out.write.partitionBy("_shard_no").parquet(path)
