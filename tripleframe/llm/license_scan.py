@@ -5,7 +5,8 @@ hashed and joined to the positions of the same gram in the templates (a small
 broadcast table; the words themselves must agree too). A hit votes for the
 diagonal word position - template position. Diagonals at most GAP apart are
 merged, so that a span may have a word more or less than its template; a span
-counts if the template positions that it covers reach the template's share.
+counts if the template positions that it covers reach the template's share, and
+no better covered span overlaps it.
 
 Base templates are short phrases that must be covered whole on one diagonal;
 other templates are notices whose labels are added to the base ones.
@@ -116,17 +117,21 @@ def scan(
     place = F.col("_base") & (F.col("_cover") == 1)
     notice = ~F.col("_base") & (F.col("_cover") >= cover)
     joined = lambda labels: F.array_join(F.array_sort(labels), ",")
+    span = F.struct(F.greatest("_start", F.lit(0)).alias("first_word"), F.least("_end", "_n").alias("end_word"), F.col("_label").alias("label"), F.col("_cover").alias("cover"))
     out = spans.groupBy("_u").agg(
         F.first("_id").alias(id_col),
         F.first("_n").cast("bigint").alias("n_words"),
         F.count(F.when(place, 1)).alias("n_base"),
         F.min(F.when(place, F.col("_start"))).cast("bigint").alias("first_word"),
         F.max(F.when(place, F.col("_start"))).cast("bigint").alias("last_word"),
-        joined(F.collect_set(F.when(place, F.col("_label")))).alias("base_labels"),
-        joined(F.collect_set(F.when(place | notice, F.col("_label")))).alias("labels"),
+        F.collect_set(F.when(place, F.col("_label"))).alias("_places"),
         F.coalesce(F.max("_cover"), F.lit(0.0)).alias("score"),
-        F.array_sort(
-            F.collect_list(F.when(notice, F.struct(F.greatest("_start", F.lit(0)).alias("first_word"), F.least("_end", "_n").alias("end_word"), F.col("_label").alias("label"))))
-        ).alias("spans"),
+        F.array_sort(F.collect_list(F.when(notice, span))).alias("_found"),
     )
-    return out.drop("_u")
+    beaten = lambda x, y: (y["cover"] > x["cover"]) & (y["first_word"] < x["end_word"]) & (x["first_word"] < y["end_word"])
+    best = F.filter("_found", lambda x: ~F.exists("_found", lambda y: beaten(x, y)))  # of notices that overlap, the best covered
+    out = out.withColumn("spans", best)
+    return out.select(
+        id_col, "n_words", "n_base", "first_word", "last_word", joined(F.col("_places")).alias("base_labels"),
+        joined(F.array_union("_places", F.transform("spans", lambda x: x["label"]))).alias("labels"), "score", "spans",
+    )

@@ -32,8 +32,10 @@ from pyspark.sql import functions as F
 
 #: Rated documents at most that the model is fitted on, hash buckets, and documents that a bucket needs for a weight.
 MAX_RATED, BUCKETS, LEAST_DOCS = 8192, 1 << 17, 8
+#: A bucket gets a weight if its share of documents on the two sides of some threshold differs by so many standard errors.
+CLEAR = 5.0
 #: Gradient steps, their size, and the strength of the pull to zero for each document.
-STEPS, RATE, PULL = 150, 0.1, 1e-4
+STEPS, RATE, PULL = 500, 0.15, 1e-5
 
 _STRIP = ".,;:!?|#$%&*()[]{}\"'"
 _SHARES = (0.0, 0.01, 0.03, 0.1, 0.2, 0.4, 0.7)
@@ -70,7 +72,7 @@ def fit(rows: list[tuple[int, list[int]]], grades: int) -> tuple[dict[int, float
     row = np.repeat(np.arange(len(rows)), [len(f) for _, f in rows])
     bucket = np.concatenate([np.array(f, dtype=np.int64) for _, f in rows])
     docs = np.bincount(bucket, minlength=BUCKETS)
-    used = np.flatnonzero((docs >= min(LEAST_DOCS, 1 + len(rows) // 100)) & (docs < len(rows)))
+    used = np.flatnonzero((docs >= min(LEAST_DOCS, 1 + len(rows) // 100)) & _tells(y, row, bucket, docs, grades))
     place = np.full(BUCKETS, -1)
     place[used] = np.arange(len(used))
     held = place[bucket] >= 0
@@ -94,6 +96,19 @@ def fit(rows: list[tuple[int, list[int]]], grades: int) -> tuple[dict[int, float
     return {int(b): float(x) for b, x in zip(used, w, strict=True) if x}, [float(t) for t in theta]
 
 
+def _tells(y: np.ndarray, row: np.ndarray, bucket: np.ndarray, docs: np.ndarray, grades: int) -> np.ndarray:
+    """Which buckets tell the grades above some threshold from those below; the rest would only fit noise."""
+    out, share = np.zeros(BUCKETS, bool), docs / len(y)
+    for k in range(grades - 1):
+        high = y > k
+        n, m = int(high.sum()), int((~high).sum())
+        if n and m:
+            above = np.bincount(bucket, weights=high[row], minlength=BUCKETS)
+            error = np.sqrt(share * (1 - share) * (1 / n + 1 / m)) + 1e-12
+            out |= np.abs(above / n - (docs - above) / m) / error >= CLEAR
+    return out
+
+
 def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
