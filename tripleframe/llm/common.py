@@ -28,8 +28,13 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+_STAGED: list[str] = []
+
+
 def new_path(spark: SparkSession, what: str) -> str:
-    return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
+    """A path in the shared folder for something that may go with the stage that makes it (see discard_staged)."""
+    _STAGED.append(f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}")
+    return _STAGED[-1]
 
 
 def staged(df: DataFrame, what: str) -> DataFrame:
@@ -39,10 +44,23 @@ def staged(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard_staged(spark: SparkSession) -> None:
+    """Delete what operators have left in the shared folder. Only where nothing that was made from it is still to be read."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _STAGED:
+        path = jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
+#: Rows of a checkpoint that are worth a partition of their own.
+ROWS_A_PARTITION = 50_000
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint; Spark removes its files once nothing refers to it."""
+    """A reliable checkpoint; Spark removes its files once nothing refers to it. Small ones have few partitions."""
     shared_dir(df.sparkSession)
-    return df.checkpoint()
+    out = df.checkpoint()
+    return out.coalesce(1 + out.count() // ROWS_A_PARTITION)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

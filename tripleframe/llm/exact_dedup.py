@@ -32,6 +32,7 @@ STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # else every small store reserves megabytes of disk
 }
 
 
@@ -88,9 +89,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = docs.sparkSession
     sha = F.unhex(F.sha2(text_of(text_col), 256))
     rows = docs.select(F.col(id_col).alias("_id"), sha.alias("_sha"), (sha if digest is None else digest).alias("_dg"), _locator(docs).alias("_loc"))
-    path = new_path(spark, "dedup-digests")
-    rows.write.parquet(path)
-    rows = spark.read.schema(rows.schema).parquet(path)
+    rows = staged(rows, "dedup-digests")
+    path = rows.inputFiles()[0].rpartition("/")[0]
     groups = staged(run_state(rows, path), "dedup-kept")
 
     hits = groups.filter("_n > 1").select("_dg")

@@ -61,12 +61,13 @@ def connect(
     members: _bucket (long), _id. payload: _id and the binary columns _load and _more.
     check: keeps those of the pairs (_a, _b) that are links.
     possible: of (bucket, records, records), records being (id, label, load, more), the pairs with different labels that
-    may be links; more is null in buckets of at most BLOCK records, whose pairs are few.
+    may be links; in buckets of at most BLOCK records, whose pairs are few, more is null, in larger ones the bucket is.
 
     First every bucket's most popular record is compared with the bucket's others, which connects nearly all of
     a group of copies at one pair a record. Then, in buckets whose records are not all connected, the pairs between
-    components are examined: blocks of records that are not of the bucket's largest component meet all blocks. So
-    every pair that could join two components is compared, without a row for each pair of a bucket.
+    components are examined: blocks of records that are not of the bucket's largest component meet all blocks. Large
+    buckets with the same largest component are taken together, since they hold much the same records. So every pair
+    that could join two components is compared, without a row for each pair of a bucket.
     """
     members = members.join(popular, "_id").select("_bucket", "_id", "_pop")
     hubs = members.groupBy("_bucket").agg(F.max(F.struct("_pop", "_id"))["_id"].alias("_hub"))
@@ -86,27 +87,33 @@ def connect(
 
 
 def _unconnected(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """The members (_bucket, _id, _label) of buckets with several components; _most, the largest one's label, and _many."""
+    """The members of buckets with several components: _group, _bucket (null in large ones), _id, _label, _most (the largest component's label), _many (records of the group)."""
     now = members.join(labels, F.col("_id") == F.col("_node")).select("_bucket", "_id", "_label")
     parts = now.groupBy("_bucket", "_label").agg(F.count(F.lit(1)).alias("_part"))
     largest = parts.groupBy("_bucket").agg(F.max(F.struct("_part", "_label"))["_label"].alias("_most"), F.sum("_part").alias("_many"), F.count(F.lit(1)).alias("_parts"))
-    return now.join(largest.filter("_parts > 1").drop("_parts"), "_bucket")
+    now = cut(now.join(largest.filter("_parts > 1").drop("_parts"), "_bucket"))
+    small = now.filter(F.col("_many") <= BLOCK).select(F.col("_bucket").alias("_group"), "_bucket", "_id", "_label", "_most", "_many")
+    large = now.filter(F.col("_many") > BLOCK).select("_id", "_label", "_most").distinct()
+    counts = large.groupBy("_most").agg(F.count(F.lit(1)).alias("_many"))
+    large = large.join(counts, "_most").select(F.xxhash64("_most").alias("_group"), F.lit(None).cast("bigint").alias("_bucket"), "_id", "_label", "_most", "_many")
+    return small.unionByName(large)
 
 
 def _blocks(now: DataFrame, payload: DataFrame) -> DataFrame:
-    """_bucket, _other (not of the bucket's largest component), _block, _records: about BLOCK records."""
+    """_group, _bucket, _other (not of the largest component), _block, _records: about BLOCK records."""
     block = F.pmod(F.xxhash64("_id"), F.ceil(F.col("_many") / BLOCK)).alias("_block")
-    more = F.when(F.col("_many") > BLOCK, F.col("_more")).alias("_more")
+    more = F.when(F.col("_bucket").isNull(), F.col("_more")).alias("_more")
     record = F.struct("_id", "_label", "_load", more).alias("_record")
-    loaded = now.join(payload, "_id").select("_bucket", (F.col("_label") != F.col("_most")).alias("_other"), block, record)
-    return loaded.groupBy("_bucket", "_other", "_block").agg(F.collect_list("_record").alias("_records"))
+    loaded = now.join(payload, "_id").select("_group", "_bucket", (F.col("_label") != F.col("_most")).alias("_other"), block, record)
+    return loaded.groupBy("_group", "_bucket", "_other", "_block").agg(F.collect_list("_record").alias("_records"))
 
 
 def _met(blocks: DataFrame, possible: Callable[[int, list, list], list[tuple]]) -> DataFrame:
     """The possible pairs (_a, _b) between blocks."""
     kind = blocks.schema["_records"].dataType.elementType["_id"].dataType.simpleString()
-    left = blocks.filter("_other").select("_bucket", F.col("_block").alias("_lb"), F.col("_records").alias("_left"))
-    pairs = left.join(blocks, "_bucket").filter("not _other or _lb <= _block").select("_bucket", "_left", "_records")
+    left = blocks.filter("_other").select("_group", F.col("_bucket").alias("_of"), F.col("_block").alias("_lb"), F.col("_records").alias("_left"))
+    together = F.col("_of").eqNullSafe(F.col("_bucket")) & (~F.col("_other") | (F.col("_lb") <= F.col("_block")))
+    pairs = left.join(blocks, "_group").filter(together).select("_bucket", "_left", "_records")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

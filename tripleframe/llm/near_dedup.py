@@ -89,16 +89,16 @@ def least_matches(threshold: float, miss: float = MISS, batch: int = BATCH, tota
 
 
 def survives(a: bytes, b: bytes, bounds: list[tuple[int, int]]) -> bool:
-    """Whether the pair is still possible after each batch of signature values."""
-    same = np.frombuffer(a, np.uint16) == np.frombuffer(b, np.uint16)
+    """Whether the pair of loads is still possible after each batch of signature values."""
+    same = np.frombuffer(a, np.uint16)[4:] == np.frombuffer(b, np.uint16)[4:]  # after the size
     return all(np.count_nonzero(same[:n]) >= m for n, m in bounds)
 
 
-def possible_pairs(bucket: int, left: list, right: list, bounds: list[tuple[int, int]], share: int) -> list[tuple]:
+def possible_pairs(bucket: int | None, left: list, right: list, bounds: list[tuple[int, int]], share: int) -> list[tuple]:
     """Of records (id, label, load: size of the set and signature, short set or null), the pairs with different labels that survive.
 
-    A pair that shares several bands is examined in the first alone. Where short sets are at hand (in large buckets),
-    survivors must be possible by them too, so that near misses of a large group don't become rows.
+    A pair that shares several buckets is examined in the first alone. Where short sets are at hand (in large buckets,
+    which come together), survivors must be possible by them too, so that near misses of a large group don't become rows.
     """
     a, b = [np.frombuffer(b"".join(r[2][8:] for r in side), np.uint16).reshape(len(side), BANDS * ROWS) for side in (left, right)]
     n, m = [np.array([int.from_bytes(r[2][:8], "big") for r in side]) for side in (left, right)]
@@ -110,7 +110,7 @@ def possible_pairs(bucket: int, left: list, right: list, bounds: list[tuple[int,
     for at in range(0, len(i), 2048):
         p, q = i[at : at + 2048], j[at : at + 2048]
         same = a[p] == b[q]
-        held = same.reshape(len(p), BANDS, ROWS).all(axis=2).argmax(axis=1) == bucket & BAND_MASK
+        held = np.ones(len(p), bool) if bucket is None else same.reshape(len(p), BANDS, ROWS).all(axis=2).argmax(axis=1) == bucket & BAND_MASK
         for values, least in bounds:
             p, q, same = p[held], q[held], same[held]
             held = np.count_nonzero(same[:, :values], axis=1) >= least
@@ -185,7 +185,7 @@ def _bayes(pairs: DataFrame, signed: DataFrame, bounds: list[tuple[int, int]]) -
             yield batch.select(["_a", "_b"]).filter(pa.array([survives(x.as_py(), y.as_py(), bounds) for x, y in zip(a, b, strict=True)], pa.bool_()))
 
     kind = pairs.schema["_a"].dataType.simpleString()
-    return _pairs_with(pairs, signed, "_sig").select("_a", "_b", "_va", "_vb").mapInArrow(run, f"_a {kind}, _b {kind}")
+    return _pairs_with(pairs, signed, "_load").select("_a", "_b", "_va", "_vb").mapInArrow(run, f"_a {kind}, _b {kind}")
 
 
 def _exact(pairs: DataFrame, full: DataFrame, share: int) -> DataFrame:
@@ -207,11 +207,10 @@ def _connected(signed: DataFrame, docs: DataFrame, id_col: str, text_col: str, s
     if popular.isEmpty():
         return None
     full = staged(_full_sets(docs, popular.select("_id"), id_col, text_col), "near-sets")
-    some = signed.join(popular.select("_id"), "_id", "left_semi").select("_id", "_sig", _load(F.col("_n"), F.col("_sig")).alias("_load"))
-    some = staged(some, "near-signatures")
+    some = staged(signed.join(popular.select("_id"), "_id", "left_semi").select("_id", _load(F.col("_n"), F.col("_sig")).alias("_load")), "near-signatures")
     bounds = least_matches(share / 100)
     possible = lambda bucket, left, right: possible_pairs(bucket, left, right, bounds, share)
-    payload = some.select("_id", "_load").join(full.select("_id", F.col("_short").alias("_more")), "_id")
+    payload = some.join(full.select("_id", F.col("_short").alias("_more")), "_id")
     return connect(members, popular, payload, lambda pairs: _exact(_bayes(pairs, some, bounds), full, share), possible)[0]
 
 
