@@ -31,9 +31,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Rated documents at most that the model is fitted on, hash buckets, and documents that a bucket needs for a weight.
-MAX_RATED, BUCKETS, LEAST_DOCS = 8192, 1 << 17, 8
-#: A bucket gets a weight if its share of documents on the two sides of some threshold differs by so many standard errors.
-CLEAR = 5.0
+MAX_RATED, BUCKETS, LEAST_DOCS = 16384, 1 << 17, 8
+#: A bucket gets a weight if its share of documents on the two sides of some threshold differs by so many standard
+#: errors and by this factor; common words differ a little, by chance and by copies, and would drown what tells.
+CLEAR, LIFT = 5.0, 4.0
 #: Gradient steps, their size, and the strength of the pull to zero for each document.
 STEPS, RATE, PULL = 500, 0.15, 1e-5
 
@@ -69,14 +70,14 @@ def fit(rows: list[tuple[int, list[int]]], grades: int) -> tuple[dict[int, float
     if not rows:
         return {}, [0.0] * (grades - 1)
     y = np.array([g for g, _ in rows])
-    row = np.repeat(np.arange(len(rows)), [len(f) for _, f in rows])
-    bucket = np.concatenate([np.array(f, dtype=np.int64) for _, f in rows])
+    row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(f) for _, f in rows])
+    bucket = np.concatenate([np.asarray(f, dtype=np.int32) for _, f in rows])
     docs = np.bincount(bucket, minlength=BUCKETS)
     used = np.flatnonzero((docs >= min(LEAST_DOCS, 1 + len(rows) // 100)) & _tells(y, row, bucket, docs, grades))
     place = np.full(BUCKETS, -1)
     place[used] = np.arange(len(used))
     held = place[bucket] >= 0
-    row, col = row[held], place[bucket[held]]
+    row, col = row[held].astype(np.intp), place[bucket[held]]
     above = [(y > k).mean().clip(1e-3, 1 - 1e-3) for k in range(grades - 1)]
     w, theta = np.zeros(len(used)), np.array([math.log((1 - a) / a) for a in above])
     first, second = [np.zeros(len(used) + grades - 1) for _ in range(2)]
@@ -105,7 +106,8 @@ def _tells(y: np.ndarray, row: np.ndarray, bucket: np.ndarray, docs: np.ndarray,
         if n and m:
             above = np.bincount(bucket, weights=high[row], minlength=BUCKETS)
             error = np.sqrt(share * (1 - share) * (1 / n + 1 / m)) + 1e-12
-            out |= np.abs(above / n - (docs - above) / m) / error >= CLEAR
+            p, q = above / n, (docs - above) / m
+            out |= (np.abs(p - q) / error >= CLEAR) & (np.maximum(p, q) >= LIFT * np.minimum(p, q))
     return out
 
 
@@ -132,7 +134,7 @@ def train(docs: DataFrame, ratings: DataFrame, grades: int, id_col: str = "doc_i
     found = rated.mapInArrow(run, f"_grade int, _found binary, _rid {docs.schema[id_col].dataType.simpleString()}")
     rows = found.groupBy("_rid").agg(F.min("_grade").alias("_grade"), F.min("_found").alias("_found")).collect()  # max_rated rows at most
     rows.sort(key=lambda r: str(r[0]))  # the same sums whatever the order of partitions
-    return fit([(r[1], np.frombuffer(bytes(r[2]), dtype=np.int32).tolist()) for r in rows], grades)
+    return fit([(r[1], np.frombuffer(bytes(r[2]), dtype=np.int32)) for r in rows], grades)
 
 
 def grade(docs: DataFrame, ratings: DataFrame, grades: int = 3, least: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
