@@ -37,11 +37,16 @@ def new_path(spark: SparkSession, what: str) -> str:
     return _STAGED[-1]
 
 
-def staged(df: DataFrame, what: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: lineage ends there and readers take only the columns they need."""
+def staged_at(df: DataFrame, what: str) -> tuple[DataFrame, str]:
+    """staged(), and its path."""
     path = new_path(df.sparkSession, what)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def staged(df: DataFrame, what: str) -> DataFrame:
+    """df as a Parquet table in the shared folder: lineage ends there and readers take only the columns they need."""
+    return staged_at(df, what)[0]
 
 
 def discard_staged(spark: SparkSession) -> None:

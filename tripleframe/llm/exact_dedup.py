@@ -23,7 +23,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import new_path, staged, text_of
+from .common import new_path, staged, staged_at, text_of
 
 #: The byte check deals the rows of one digest to this many groups.
 SALTS = 64
@@ -89,8 +89,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = docs.sparkSession
     sha = F.unhex(F.sha2(text_of(text_col), 256))
     rows = docs.select(F.col(id_col).alias("_id"), sha.alias("_sha"), (sha if digest is None else digest).alias("_dg"), _locator(docs).alias("_loc"))
-    rows = staged(rows, "dedup-digests")
-    path = rows.inputFiles()[0].rpartition("/")[0]
+    rows, path = staged_at(rows, "dedup-digests")
     groups = staged(run_state(rows, path), "dedup-kept")
 
     hits = groups.filter("_n > 1").select("_dg")
