@@ -5,7 +5,7 @@
 2. On a pyramid of scales, Harris corners are found; each gets an orientation
    (its patch's centroid of brightness) and 256 binary brightness tests turned
    by it. Brightness and contrast edits leave the tests as they are.
-3. A descriptor enters TABLES Hamming tables, one for each 32 bits. Images that
+3. A descriptor enters TABLES Hamming tables, one for each 64 bits. Images that
    share an entry are candidates: descriptors that differ in fewer than TABLES
    bits always share one (see linking).
 4. A candidate pair is linked by geometric consensus: a similarity transform
@@ -35,7 +35,7 @@ from .common import cut, staged
 from .linking import connect, popularity, shared_buckets
 
 #: Scales of the pyramid, corners kept of an image, radius of a patch, tests, Hamming tables.
-SCALES, CORNERS, RADIUS, TESTS, TABLES = (1.0, 0.75, 0.5), 48, 8, 256, 8
+SCALES, CORNERS, RADIUS, TESTS, TABLES = (1.0, 0.75, 0.5), 48, 8, 256, 4
 #: Bits in which matching corners may differ, pixels by which a mapped corner may miss, and corners that a link needs.
 ALIKE, MISS, INLIERS = 40, 3.0, 8
 SIDE = 512
@@ -49,13 +49,13 @@ _DISK = (_X**2 + _Y**2) <= RADIUS**2
 
 
 def _turned(step: int) -> np.ndarray:
-    """The tests' offsets (x, y, x, y), turned by step of 30 steps."""
-    c, s = np.cos(step * np.pi / 15), np.sin(step * np.pi / 15)
+    """The tests' offsets (x, y, x, y), turned by step of 32 steps, so that quarter turns are exact."""
+    c, s = np.cos(step * np.pi / 16), np.sin(step * np.pi / 16)
     a, b, p, q = _PAIRS.T
     return np.rint(np.stack([c * a - s * b, s * a + c * b, c * p - s * q, s * p + c * q])).astype(int)
 
 
-_TURNS = np.stack([_turned(step) for step in range(30)])
+_TURNS = np.stack([_turned(step) for step in range(32)])
 
 
 def decode(media: bytes | None) -> np.ndarray | None:
@@ -68,11 +68,13 @@ def decode(media: bytes | None) -> np.ndarray | None:
             while len(fields) < 3:
                 while media[at : at + 1].isspace():
                     at += 1
+                if at >= len(media):
+                    return None
                 if media[at : at + 1] == b"#":
                     at = media.index(b"\n", at)
                     continue
                 end = at
-                while not media[end : end + 1].isspace():
+                while end < len(media) and not media[end : end + 1].isspace():
                     end += 1
                 fields.append(int(media[at:end]))
                 at = end
@@ -180,7 +182,7 @@ def describe(image: np.ndarray | None) -> np.ndarray:
         patches = level[ys[:, None, None] + _Y, xs[:, None, None] + _X] * _DISK
         patches = patches - (patches.sum(axis=(1, 2)) / _DISK.sum())[:, None, None] * _DISK
         angle = np.arctan2((patches * _Y).sum(axis=(1, 2)), (patches * _X).sum(axis=(1, 2)))
-        turn = np.rint(angle * 15 / np.pi).astype(int) % 30
+        turn = np.rint(angle * 16 / np.pi).astype(int) % 32
         ox, oy, px, py = _TURNS[turn].transpose(1, 0, 2)
         bits = level[ys[:, None] + oy, xs[:, None] + ox] < level[ys[:, None] + py, xs[:, None] + px]
         out = np.empty(len(ys), kind)
@@ -237,7 +239,7 @@ def _entries(own: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = [np.unique(_corner_array(v.as_py())["bits"].copy().view("<u4").astype(np.int64) << 3 | np.arange(TABLES)) for v in batch.column(1)]
+            keys = [np.unique(_corner_array(v.as_py())["bits"].copy().view("<i8") & ~(TABLES - 1) | np.arange(TABLES)) for v in batch.column(1)]
             where = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(where)), pa.array(np.concatenate(keys) if keys else [], pa.int64())], ["_id", "_bucket"])
 

@@ -19,18 +19,31 @@ BLOCK = 64
 
 
 def components(links: DataFrame) -> DataFrame:
-    """_node, _label (the smallest node that it is connected with), for the nodes of links (_a, _b)."""
-    both = cut(links.select("_a", "_b").union(links.select("_b", "_a")).filter("_a <> _b").distinct())
-    state = cut(both.groupBy(F.col("_a").alias("_node")).agg(F.least(F.min("_b"), F.col("_a")).alias("_label")))
-    while True:
-        label = state.select(F.col("_node").alias("_b"), F.col("_label").alias("_l"))
-        near = both.join(label, "_b").groupBy(F.col("_a").alias("_node")).agg(F.min("_l").alias("_near"))
-        low = state.join(near, "_node").select("_node", F.col("_label").alias("_old"), F.least("_label", "_near").alias("_low"))
-        jump = state.select(F.col("_node").alias("_low"), F.col("_label").alias("_far"))
-        new = cut(low.join(jump, "_low").select("_node", "_old", F.least("_low", "_far").alias("_label")))
-        if new.filter("_old <> _label").isEmpty():
-            return new.select("_node", "_label")
-        state = new.select("_node", "_label")
+    """_node, _label (the smallest node that it is connected with), for the nodes of links (_a, _b), of which there is one at least.
+
+    Every node hangs on its smallest neighbour, if smaller; trees are flattened by pointer jumping and contracted to
+    their roots, until no link is left between roots. So each link is joined once, later rounds see what remains.
+    """
+    edges = cut(links.select(F.least("_a", "_b").alias("_a"), F.greatest("_a", "_b").alias("_b")).distinct())
+    names = None
+    while names is None or not edges.isEmpty():
+        ends = edges.select(F.col("_b").alias("_node"), F.col("_a").alias("_root")).union(edges.select(F.col("_a").alias("_node"), F.col("_a").alias("_root")))
+        roots = cut(ends.groupBy("_node").agg(F.min("_root").alias("_root")))
+        while True:
+            up = roots.select(F.col("_node").alias("_root"), F.col("_root").alias("_up"))
+            jumped = cut(roots.join(up, "_root").select("_node", "_root", "_up"))
+            roots = jumped.select("_node", F.col("_up").alias("_root"))
+            if jumped.filter("_up <> _root").isEmpty():
+                break
+        if names is None:
+            names = roots.select("_node", F.col("_root").alias("_label"))
+        else:
+            moved = roots.select(F.col("_node").alias("_label"), "_root")
+            names = cut(names.join(moved, "_label", "left").select("_node", F.coalesce("_root", "_label").alias("_label")))
+        to_a, to_b = (roots.select(F.col("_node").alias(c), F.col("_root").alias(f"_r{c}")) for c in ("_a", "_b"))
+        between = edges.join(to_a, "_a").join(to_b, "_b").filter("_r_a <> _r_b")
+        edges = cut(between.select(F.least("_r_a", "_r_b").alias("_a"), F.greatest("_r_a", "_r_b").alias("_b")).distinct())
+    return names
 
 
 def shared_buckets(keyed: DataFrame) -> DataFrame:
