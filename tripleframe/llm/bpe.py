@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Pieces that a worker remembers before it starts anew, and the longest piece that it remembers.
-REMEMBERED, LONGEST = 300_000, 64
+REMEMBERED, LONGEST = 900_000, 64
 
 OUTPUTS = {
     "n_tokens": "bigint",
@@ -100,6 +100,22 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+class Pieces(dict):
+    """The decimal ids of pieces, joined by spaces; those that are new are merged and remembered."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        super().__init__()
+        self.ranks = ranks
+
+    def __missing__(self, piece: str) -> str:
+        said = " ".join(map(str, merge(piece.encode("utf-8", "surrogatepass"), self.ranks)))
+        if len(piece) <= LONGEST:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[piece] = said
+        return said
+
+
 class Codec:
     """Encodes texts to decimal ids joined by spaces, and decodes them."""
 
@@ -109,25 +125,11 @@ class Codec:
         self.ranks = ranks
         self.pattern = pattern
         self.pieces = regex.compile(pattern).findall
-        self.known: dict[str, str] = {}
+        self.ids_of = Pieces(ranks).__getitem__
         self.bytes_of = {str(rank): token for token, rank in ranks.items()}
 
-    def _said(self, piece: str) -> str:
-        said = self.known.get(piece)
-        if said is None:
-            said = " ".join(map(str, merge(piece.encode("utf-8", "surrogatepass"), self.ranks)))
-            if len(piece) <= LONGEST:
-                if len(self.known) >= REMEMBERED:
-                    self.known.clear()
-                self.known[piece] = said
-        return said
-
     def encode(self, text: str) -> str:
-        pieces = self.pieces(text)
-        try:
-            return " ".join(map(self.known.__getitem__, pieces))
-        except KeyError:
-            return " ".join([self._said(p) for p in pieces])
+        return " ".join(map(self.ids_of, self.pieces(text)))
 
     def decode(self, ids: str) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids.split(" "))) if ids else b""
