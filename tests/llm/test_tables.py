@@ -178,6 +178,43 @@ def test_copies_are_found(spark):
     assert images.image_copies(df.limit(0), "media_id", "media").count() == 0
 
 
+def noisy(pixels, seed, by):
+    return (pixels + np.random.default_rng(seed).normal(0, by, pixels.shape)).clip(0, 255).astype(np.uint8)
+
+
+def test_noisy_and_reduced_copies_are_found(spark):
+    """Of the links that consensus has over all pairs, nearly all are found, and so are components."""
+    rows = []
+    for i in range(20):
+        one = grey(photo(i))
+        small = images._scaled(one.astype(np.float32), 0.8).astype(np.uint8)
+        for k, e in enumerate((one, noisy(one, i, 24), small, noisy(small, i, 8))):
+            rows.append((10 * i + k, pgm(e)))
+    corners = {i: images.describe(images.decode(m)) for i, m in rows}
+    ids = sorted(corners)
+    links = [(a, b) for a in ids for b in ids if a < b and images.consensus(corners[a], corners[b]) >= images.INLIERS]
+
+    def meet(a, b):
+        x, y = corners[a]["bits"], corners[b]["bits"]
+        alike = images._differ(x, y) <= images.ALIKE
+        return any((alike & (images.table_keys(x, t)[:, None] == images.table_keys(y, t))).any() for t in range(images.TABLES))
+
+    def components(edges):
+        label = {i: i for i in ids}
+        for a, b in edges:
+            low, high = sorted((label[a], label[b]))
+            label = {i: low if x == high else x for i, x in label.items()}
+        return label
+
+    met = [x for x in links if meet(*x)]
+    assert len(links) > 60 and len(met) >= 0.95 * len(links)
+    out = images.image_copies(spark.createDataFrame(rows, "media_id bigint, media binary"), "media_id", "media").collect()
+    found, whole, least = {r["media_id"]: r["component_id"] for r in out}, components(links), components(met)
+    # no link that meets is missed, and none is found that consensus does not have
+    assert all(found[i] == found[least[i]] for i in ids) and all(whole[i] == whole[found[i]] for i in ids)
+    assert sum(found[i] != whole[i] for i in ids) <= 0.05 * len(ids)
+
+
 def test_pictures(spark):
     df = spark.createDataFrame([(1, [0.1, 0.2, None]), (2, None), (3, [])], "vec_id bigint, embedding array<float>")
     assert {r["vec_id"]: r["media"] is None for r in images.pictures(df).collect()} == {1: False, 2: True, 3: True}

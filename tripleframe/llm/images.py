@@ -5,9 +5,10 @@
 2. On a pyramid of scales, Harris corners are found; each gets an orientation
    (its patch's centroid of brightness) and 256 binary brightness tests turned
    by it. Brightness and contrast edits leave the tests as they are.
-3. A descriptor enters TABLES Hamming tables, one for each 64 bits. Images that
-   share an entry are candidates: descriptors that differ in fewer than TABLES
-   bits always share one (see linking).
+3. A descriptor enters TABLES Hamming tables, keyed by KEY bits of it: each
+   order of its bits gives 6 keys. An entry's descriptors are compared; images
+   are candidates if they have alike ones there. Descriptors that differ in fewer
+   than 6 bits always meet, others often do (the README has measured shares).
 4. A candidate pair is linked by geometric consensus: a similarity transform
    must map enough corners of one image onto alike corners of the other.
 
@@ -21,6 +22,9 @@ Defined results
 
 from __future__ import annotations
 
+import functools
+import gc
+import itertools
 import struct
 import zlib
 from collections.abc import Iterator
@@ -34,16 +38,22 @@ from pyspark.sql import functions as F
 from .common import cut, staged
 from .linking import connect, popularity, shared_buckets
 
-#: Scales of the pyramid, corners kept of an image, radius of a patch, tests, Hamming tables.
-SCALES, CORNERS, RADIUS, TESTS, TABLES = (1.0, 0.75, 0.5), 48, 8, 256, 4
+#: Scales of the pyramid, corners kept of an image, radius of a patch, tests, Hamming tables, bits of a key.
+SCALES, CORNERS, RADIUS, TESTS, TABLES, KEY = (1.0, 0.75, 0.5), 48, 8, 256, 24, 40
 #: Bits in which matching corners may differ, pixels by which a mapped corner may miss, and corners that a link needs.
 ALIKE, MISS, INLIERS = 40, 3.0, 8
 SIDE = 512
 
+#: Hamming tables that are filled at a time: their entries are what takes disk.
+AT_ONCE = 2
+#: Corners that a worker holds at a time to compare pairs, and pairs of one image that go together.
+HELD, TOGETHER = 400_000, 64
+
 _random = np.random.default_rng(7)
 _POINTS = _random.normal(0, RADIUS / 2.2, (TESTS, 2, 2))
 _POINTS *= np.minimum(1, (RADIUS - 0.5) / np.linalg.norm(_POINTS, axis=2))[:, :, None]  # turned points stay in the patch
 _PAIRS = _POINTS.reshape(TESTS, 4)
+_KIND = np.dtype([("x", "f4"), ("y", "f4"), ("scale", "f4"), ("angle", "f4"), ("bits", "u1", 32)])
 _Y, _X = np.mgrid[-RADIUS : RADIUS + 1, -RADIUS : RADIUS + 1]
 _DISK = (_X**2 + _Y**2) <= RADIUS**2
 
@@ -153,9 +163,8 @@ def _scaled(image: np.ndarray, scale: float) -> np.ndarray:
 
 def describe(image: np.ndarray | None) -> np.ndarray:
     """Corners as records: x, y, scale, angle, bits (32 bytes)."""
-    kind = np.dtype([("x", "f4"), ("y", "f4"), ("scale", "f4"), ("angle", "f4"), ("bits", "u1", 32)])
     if image is None or min(image.shape) < 2 * RADIUS + 3:
-        return np.empty(0, kind)
+        return np.empty(0, _KIND)
     cut_down = -(-max(image.shape) // SIDE)
     if cut_down > 1:
         h, w = (x // cut_down * cut_down for x in image.shape)
@@ -185,11 +194,11 @@ def describe(image: np.ndarray | None) -> np.ndarray:
         turn = np.rint(angle * 16 / np.pi).astype(int) % 32
         ox, oy, px, py = _TURNS[turn].transpose(1, 0, 2)
         bits = level[ys[:, None] + oy, xs[:, None] + ox] < level[ys[:, None] + py, xs[:, None] + px]
-        out = np.empty(len(ys), kind)
+        out = np.empty(len(ys), _KIND)
         out["x"], out["y"], out["scale"], out["angle"] = (xs + 0.5) / scale, (ys + 0.5) / scale, scale, angle
         out["bits"] = np.packbits(bits, axis=1)
         found.append(out)
-    return np.concatenate(found) if found else np.empty(0, kind)
+    return np.concatenate(found) if found else np.empty(0, _KIND)
 
 
 def consensus(a: np.ndarray, b: np.ndarray) -> int:
@@ -233,53 +242,153 @@ def _described(media: DataFrame, id_col: str, media_col: str) -> DataFrame:
     return rows.mapInArrow(run, f"_id {kind}, _n bigint, _pixels binary, _corners binary")
 
 
-def _entries(own: DataFrame) -> DataFrame:
-    """_id, _bucket: the entries of an image's corners in the Hamming tables, each once."""
+_ORDERS = [np.arange(TESTS), *(np.random.default_rng(k).permutation(TESTS) for k in range(1, -(-TABLES // (TESTS // KEY))))]
+
+
+def table_keys(bits: np.ndarray, number: int) -> np.ndarray:
+    """The entries of descriptors in a Hamming table: KEY of their bits and the table's number."""
+    order, word = divmod(number, TESTS // KEY)
+    at = _ORDERS[order][word * KEY : word * KEY + KEY]
+    picked = bits[:, at // 8] >> (7 - at % 8).astype(np.uint8) & 1
+    return picked.astype(np.int64) @ (1 << np.arange(KEY, dtype=np.int64)) | number << KEY
+
+
+def _entries(own: DataFrame, numbers: list[int]) -> DataFrame:
+    """_id, _bucket, _bits: the entries of an image's corners in these Hamming tables, with the descriptors."""
     kind = own.schema["_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = [np.unique(_corner_array(v.as_py())["bits"].copy().view("<i8") & ~(TABLES - 1) | np.arange(TABLES)) for v in batch.column(1)]
-            where = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(where)), pa.array(np.concatenate(keys) if keys else [], pa.int64())], ["_id", "_bucket"])
+            each = [_corner_array(v.as_py())["bits"] for v in batch.column(1)]
+            where = np.repeat(np.arange(len(each)), [len(x) for x in each])
+            bits = np.concatenate(each) if each else np.empty((0, TESTS // 8), np.uint8)
+            ids, raw = batch.column(0).take(pa.array(where)), pa.array([x.tobytes() for x in bits], pa.binary())
+            for number in numbers:
+                yield pa.RecordBatch.from_arrays([ids, pa.array(table_keys(bits, number)), raw], ["_id", "_bucket", "_bits"])
+
+    return own.select("_id", "_corners").mapInArrow(run, f"_id {kind}, _bucket bigint, _bits binary")
+
+
+def alike_groups(bits: np.ndarray) -> np.ndarray:
+    """For each descriptor the number of its group: those that chains of alike descriptors connect."""
+    words = np.ascontiguousarray(bits).view("<u8")
+    distinct, back = np.unique(words, axis=0, return_inverse=True)
+    group, left, n = np.full(len(distinct), -1), np.arange(len(distinct)), 0
+    while len(left):
+        todo, left = [left[0]], left[1:]
+        while todo:
+            one = todo.pop()
+            group[one] = n
+            if len(left):
+                near = np.bitwise_count(distinct[left] ^ distinct[one]).sum(axis=1) <= ALIKE
+                todo.extend(left[near])
+                left = left[~near]
+        n += 1
+    return group[back.ravel()]
+
+
+def _alike_members(entries: DataFrame) -> DataFrame:
+    """_bucket, _id: the entries with an alike descriptor of another image; alike ones of an entry are a bucket."""
+    kind = entries.schema["_id"].dataType.simpleString()
 
-    return own.select("_id", "_corners").mapInArrow(run, f"_id {kind}, _bucket bigint")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in itertools.chain(batches, [None]):
+            if batch is not None:
+                table = pa.Table.from_batches([batch])
+                rest = table if rest is None else pa.concat_tables([rest, table])
+            if rest is None or not len(rest):
+                continue
+            buckets = rest.column("_bucket").to_numpy()
+            # an entry may go on in the next batch
+            whole = len(rest) if batch is None else int(np.searchsorted(buckets, buckets[-1]))
+            done, rest = rest.slice(0, whole), rest.slice(whole)
+            starts = np.flatnonzero(np.diff(buckets[:whole], prepend=-1))
+            ends = np.append(starts[1:], whole)
+            wide = ends - starts > 1
+            rows, names = [], []
+            if wide.any():
+                bits = np.frombuffer(b"".join(done.column("_bits").to_pylist()), np.uint8).reshape(-1, TESTS // 8)
+            for start, end in zip(starts[wide], ends[wide], strict=True):
+                groups = alike_groups(bits[start:end])
+                many = np.bincount(groups)
+                for g in np.flatnonzero(many > 1):
+                    own = start + np.flatnonzero(groups == g)
+                    # each group's name is a digest of its entry and its least descriptor
+                    name = xxhash.xxh3_64_intdigest(bits[own[0] : own[0] + 1].tobytes() + buckets[start].tobytes()) - (1 << 63)
+                    rows.append(own)
+                    names.append(np.full(len(own), name, np.int64))
+            if rows:
+                at = pa.array(np.concatenate(rows))
+                for part in done.select(["_id"]).take(at).append_column("_bucket", pa.array(np.concatenate(names))).to_batches():
+                    yield part
+
+    dealt = entries.repartition("_bucket").sortWithinPartitions("_bucket", "_bits")
+    return dealt.select("_id", "_bucket", "_bits").mapInArrow(run, f"_id {kind}, _bucket bigint").distinct()
+
+
+def _members(own: DataFrame) -> DataFrame:
+    """_bucket, _id, _many: the images that have alike corners in an entry of a Hamming table."""
+    parts = []
+    for k in range(0, TABLES, AT_ONCE):
+        parts.append(staged(_alike_members(_entries(own, list(range(k, min(k + AT_ONCE, TABLES))))), "image-alike"))
+        # Spark deletes a shuffle's files once nothing refers to it, here and in the JVM
+        gc.collect()
+        own.sparkSession.sparkContext._jvm.System.gc()
+    return shared_buckets(functools.reduce(DataFrame.unionByName, parts))
 
 
 def _corner_array(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, describe(None).dtype)
+    return np.frombuffer(raw, _KIND)
 
 
 def possible_pairs(left: list, right: list, inliers: int) -> list[tuple]:
-    """Of records (id, label, corners, null), the pairs with different labels that have corners enough that look alike."""
+    """Of records (id, label, null, corners), the pairs with different labels; in large buckets those that have corners enough that look alike."""
     out = []
-    for a, label, load, _ in left:
-        x = _corner_array(load)["bits"]
-        for b, other, to, _ in right:
-            if label != other and (_differ(x, _corner_array(to)["bits"]).min(axis=1) <= ALIKE).sum() >= inliers:
+    for a, label, _, load in left:
+        for b, other, _, to in right:
+            if label != other and (load is None or _enough(_corner_array(load), _corner_array(to), inliers)):
                 out.append((a, b))
     return out
 
 
+def _enough(a: np.ndarray, b: np.ndarray, inliers: int) -> bool:
+    """Whether enough corners of a have alike ones in b, as consensus needs."""
+    return (_differ(a["bits"], b["bits"]).min(axis=1) <= ALIKE).sum() >= inliers
+
+
 def _differ(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Bits in which descriptors differ."""
     return np.bitwise_count(a[:, None, :].copy().view("<u8") ^ b[None, :, :].copy().view("<u8")).sum(axis=2, dtype=np.int32)
 
 
-def _alike(pairs: DataFrame, corners: DataFrame, inliers: int) -> DataFrame:
-    """The pairs with geometric consensus; _inliers."""
-    kind = corners.schema["_id"].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n = [consensus(_corner_array(a.as_py()), _corner_array(b.as_py())) for a, b in zip(batch.column(2), batch.column(3), strict=True)]
-            keep = pa.array([x >= inliers for x in n], pa.bool_())
-            yield batch.select([0, 1]).filter(keep)
-
-    left = corners.select(F.col("_id").alias("_a"), F.col("_corners").alias("_ca"))
-    right = corners.select(F.col("_id").alias("_b"), F.col("_corners").alias("_cb"))
-    both = pairs.join(left, "_a").join(right, "_b").select("_a", "_b", "_ca", "_cb")
-    return both.mapInArrow(run, f"_a {kind}, _b {kind}")
+def _alike(pairs: DataFrame, own: DataFrame, inliers: int) -> DataFrame:
+    """The pairs with geometric consensus. Corners are not joined to each pair: workers hold a part of them at a time."""
+    spark, kind = own.sparkSession, own.schema["_id"].dataType.simpleString()
+    chunks = F.expr(f"transform(sequence(0, (size(_bs) - 1) div {TOGETHER}), i -> slice(_bs, i * {TOGETHER} + 1, {TOGETHER}))")
+    sides = pairs.groupBy("_a").agg(F.collect_list("_b").alias("_bs")).select("_a", F.posexplode(chunks).alias("_chunk", "_bs"))
+    left = own.select(F.col("_id").alias("_a"), "_corners")
+    sides = staged(sides.join(left, "_a").repartition("_a", "_chunk").select("_a", "_bs", "_corners"), "image-pairs")
+    parts = 1 + (own.agg(F.sum("_n")).first()[0] or 0) // HELD
+    out = []
+    for k in range(parts):
+        part = own.filter(F.pmod(F.xxhash64("_id"), F.lit(parts)) == k).select("_id", "_corners")
+        held = spark.sparkContext.broadcast({r[0]: bytes(r[1]) for r in part.toLocalIterator()})
+
+        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = []
+                for a, others, corners in zip(*batch.columns, strict=True):
+                    x, a = _corner_array(corners.as_py()), a.as_py()
+                    for b in others.as_py():
+                        y = held.value.get(b)
+                        if y is not None and _enough(x, y := _corner_array(y), inliers) and consensus(x, y) >= inliers:
+                            found.append((a, b))
+                ids = batch.schema.field(0).type
+                yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in found], ids), pa.array([p[1] for p in found], ids)], ["_a", "_b"])
+
+        out.append(sides.mapInArrow(run, f"_a {kind}, _b {kind}"))
+    return functools.reduce(DataFrame.unionByName, out)
 
 
 def image_copies(media: DataFrame, id_col: str, media_col: str, inliers: int = INLIERS) -> DataFrame:
@@ -292,9 +401,9 @@ def image_copies(media: DataFrame, id_col: str, media_col: str, inliers: int = I
     classes = cut(shown.filter("_pixels is not null and _id is not null").groupBy("_pixels").agg(F.min("_id").alias("_rep")))
     own = shown.join(classes, (shown["_pixels"] == classes["_pixels"]) & (F.col("_id") == F.col("_rep"))).select("_id", "_n", "_corners").dropDuplicates(["_id"])
     own = staged(own.filter("_n > 0"), "image-classes")
-    members = staged(shared_buckets(_entries(own)), "image-members")
+    members = staged(_members(own), "image-members")
     popular = cut(popularity(members))
-    load = own.select("_id", F.col("_corners").alias("_load"), F.lit(None).cast("binary").alias("_more"))
+    load = own.select("_id", F.lit(None).cast("binary").alias("_load"), F.col("_corners").alias("_more"))
     labels, links = connect(members, popular, load, lambda pairs: _alike(pairs, own, inliers), lambda _, left, right: possible_pairs(left, right, inliers))
     known = classes.withColumn("_component", F.col("_rep")).withColumn("_links", F.lit(0).cast("bigint"))
     if links is not None:
