@@ -164,3 +164,14 @@ def test_catalyst_sees_tables(spark, ask):
     df = execute_sparql(spark, PREFIX + "SELECT ?s ?n { ?s ex:name ?n ; ex:age 40 }", r2rml(MAPPING)).filter("v_n = 'Bob'")
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert "= Bob" in plan and "= 40" in plan and "Window" not in plan
+
+
+def test_path_over_all_turns(spark, tmp_path):
+    """Seven turns in a chain: the closure has all 28 pairs, not those of the first three."""
+    from tripleframe.queries import QUERIES
+
+    turns = [(1, t, "user", "x") for t in range(7)] + [(2, 5, "user", "x"), (1, 4, "user", "again")]
+    spark.createDataFrame(turns, "conv_id bigint, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    spark.createDataFrame([(0,)], "n_nationkey int").write.parquet(f"{tmp_path}/nation.parquet")
+    found = {(r[0].rsplit("turn/")[1], r[1].rsplit("turn/")[1]) for r in QUERIES["sparql_path_plus_whole"](spark, str(tmp_path)).collect()}
+    assert found == {(f"1/{a}", f"1/{b}") for a in range(7) for b in range(a + 1, 8)} | {("2/5", "2/6")}

@@ -533,6 +533,26 @@ def sparql_path_plus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return execute_sparql(spark, f"PREFIX ex: <{EX}> SELECT ?x ?y {{ ?x ex:next+ ?y }}", _PATHS)
 
 
+#: The same chain over all turns.
+_WHOLE_PATHS = r2rml.parse(
+    _HEAD
+    + f'<#T> rr:logicalTable [ rr:sqlQuery "SELECT conv_id, turn, turn + 1 AS following FROM conversations" ] ; rr:subjectMap [ rr:template "{DATA}turn/{{conv_id}}/{{turn}}" ] ; '
+    + _ref("next", "turn/{conv_id}/{following}")
+    + " .\n"
+)
+
+
+@query(
+    f"""WITH RECURSIVE e AS (SELECT DISTINCT conv_id, turn AS a, turn + 1 AS b FROM conversations),
+c AS (SELECT conv_id, a, b FROM e UNION SELECT c.conv_id, c.a, e.b FROM c JOIN e ON c.conv_id = e.conv_id AND c.b = e.a)
+SELECT '{DATA}turn/' || conv_id || '/' || a AS v_x, '{DATA}turn/' || conv_id || '/' || b AS v_y FROM c WHERE conv_id IS NOT NULL AND a IS NOT NULL"""
+)
+def sparql_path_plus_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The closure over every turn; sparql_path_plus has the first three."""
+    views(spark, sf_dir, "conversations")
+    return execute_sparql(spark, f"PREFIX ex: <{EX}> SELECT ?x ?y {{ ?x ex:next+ ?y }}", _WHOLE_PATHS)
+
+
 @query(f"SELECT {_N}a.n_nationkey AS v_x, {_N}b.n_nationkey AS v_y FROM nation a JOIN nation b ON a.n_nationkey % 5 = b.n_nationkey % 5")
 def sparql_path_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     views(spark, sf_dir, "conversations", "nation")
