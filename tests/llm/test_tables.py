@@ -89,6 +89,17 @@ def test_mix_meets_its_targets(spark):
     assert taken.columns == clashing(df).columns and taken.count() == out.agg(F.sum("copies")).first()[0]
 
 
+def test_the_pipeline_mixes_without_loss(spark, tmp_path):
+    import corpus_pipeline
+
+    df = spoken(spark, 400, 3)
+    df.filter("doc_id % 3 = 0").select("doc_id").write.parquet(f"{tmp_path}/labels.parquet")
+    out = corpus_pipeline.mixed_languages(spark, df, str(tmp_path))
+    assert out.columns == df.columns and sorted(out.collect()) == sorted(df.collect())
+    half = mixing.mix(df, df.select("doc_id", "lang"), list(VOICES), budget=df.count() * 16.0)
+    assert 0.3 < half.agg(F.avg("rate")).first()[0] < 0.7 and half.select("rate").distinct().count() == 1
+
+
 def test_mix_is_the_least_squares_solution(spark):
     """The rates against projected gradients over all rates in numpy."""
     rng = np.random.default_rng(1)

@@ -118,7 +118,7 @@ def solve(soft: DataFrame, weights: list[float], max_rate: float, budget: float
 def mix(
     docs: DataFrame,
     labelled: DataFrame,
-    targets: dict[str, float],
+    targets: dict[str, float] | list[str],
     id_col: str = "doc_id",
     text_col: str = "text",
     max_rate: float = 4.0,
@@ -128,13 +128,18 @@ def mix(
     """One row per input row: id_col, n_tokens, domain (the likeliest), membership (its posterior), rate, copies.
 
     labelled: a table whose first two columns are an identifier and a domain.
-    targets: the share of tokens of each domain; scaled to a sum of 1.
+    targets: the share of tokens of each domain, scaled to a sum of 1; or domains only, whose shares are to stay as they
+    are: all documents have one rate then, 1 if there is no budget.
     budget: the mix's expected tokens; if not given, all tokens, or fewer where max_rate binds.
     """
     domains = sorted(targets)
-    whole = sum(targets.values())
     soft = staged(memberships(docs, labelled, domains, id_col, text_col), "mix-memberships")
-    steps, start = solve(soft, [targets[d] / whole for d in domains], max_rate, budget)
+    if isinstance(targets, dict):
+        whole = sum(targets.values())
+        steps, start = solve(soft, [targets[d] / whole for d in domains], max_rate, budget)
+    else:
+        tokens = (soft.agg(F.sum("_tokens")).first()[0] or 0) if budget is not None else 0
+        steps, start = [], min(max_rate, budget / tokens if tokens else 1.0)
     best = F.greatest(*[F.struct(F.col(f"_p{i}").alias("p"), F.lit(-i).alias("order"), F.lit(d).alias("name")) for i, d in enumerate(domains)]) if len(domains) > 1 else F.struct(F.col("_p0").alias("p"), F.lit(domains[0]).alias("name"))
     out = soft.withColumn("_rate", rate_of(steps, start, max_rate, len(domains))).withColumn("_best", best)
     return out.select(
