@@ -226,6 +226,12 @@ def test_noisy_and_reduced_copies_are_found(spark):
     assert sum(found[i] != whole[i] for i in ids) <= 0.05 * len(ids)
 
 
+def test_equal_bytes_that_cannot_be_decoded_are_a_class(spark):
+    rows = [(1, b"GIF89a x"), (2, b"GIF89a x"), (3, b"GIF89a y"), (4, b""), (5, b""), (6, None), (7, None)]
+    out = images.image_copies(spark.createDataFrame(rows, "media_id bigint, media binary"), "media_id", "media").collect()
+    assert {r["media_id"]: r["class_id"] for r in out} == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5, 6: 6, 7: 7}
+
+
 def test_pictures(spark):
     df = spark.createDataFrame([(1, [0.1, 0.2, None]), (2, None), (3, [])], "vec_id bigint, embedding array<float>")
     assert {r["vec_id"]: r["media"] is None for r in images.pictures(df).collect()} == {1: False, 2: True, 3: True}

@@ -1,7 +1,8 @@
 """Copies among images in a media column, by local descriptors.
 
 1. Images (PNG, or PGM/PPM) are decoded to grey pixels. Equal pixels are one
-   class; its smallest identifier represents it.
+   class; its smallest identifier represents it. So are equal bytes of media
+   that cannot be decoded.
 2. On a pyramid of scales, Harris corners are found; each gets an orientation
    (its patch's centroid of brightness) and 256 binary brightness tests turned
    by it. Brightness and contrast edits leave the tests as they are.
@@ -13,7 +14,8 @@
    must map enough corners of one image onto alike corners of the other.
 
 Defined results
-* null, broken or unknown media: no corners, a class of its own, no links.
+* null or empty media: no corners, a class of its own, no links. Broken or
+  unknown media: no corners, a class with equal bytes only, no links.
 * images without corners (flat, very small): linked with equal pixels only.
 * null identifiers: class null. Repeated rows: equal pixels, so one class.
 * very large images: reduced by whole factors to at most SIDE pixels a side
@@ -233,7 +235,8 @@ def _described(media: DataFrame, id_col: str, media_col: str) -> DataFrame:
             for value in batch.column(1):
                 image = decode(value.as_py())
                 found = describe(image)
-                pixels.append(None if image is None else xxhash.xxh3_128_digest(str(image.shape).encode() + image.tobytes()))
+                said = b"raw" + (value.as_py() or b"") if image is None else str(image.shape).encode() + image.tobytes()
+                pixels.append(None if said == b"raw" else xxhash.xxh3_128_digest(said))
                 corners.append(found.tobytes())
                 n.append(len(found))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(pixels, pa.binary()), pa.array(corners, pa.binary())], ["_id", "_n", "_pixels", "_corners"])
