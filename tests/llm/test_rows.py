@@ -75,6 +75,15 @@ def test_chat_round_trip(spark):
     assert chat.format_chat(chat.canonical_turns(none, "conv_id"), "conv_id").count() == 0
 
 
+def test_chat_records_with_more_fields():
+    said = [{"role": "user", "content": "q", "at": 3}, {"role": "assistant", "content": "a"}]
+    assert chat.json_turns(json.dumps({"id": 7, "source": {"x": [1]}, "messages": said})) == [("user", "q"), ("assistant", "a")]
+    assert chat.json_turns(json.dumps({"id": 7, "prompt": "q", "response": "a"})) == [("user", "q"), ("assistant", "a")]
+    assert chat.json_turns(json.dumps({"id": 7, "messages": []})) == []
+    odd = ([*said, "x"], [*said, {"role": ["user"], "content": "q"}], "x")
+    assert all(chat.json_turns(json.dumps({"messages": x})) is None for x in odd)
+
+
 def test_chat_layouts(spark):
     turns = [("user", "q"), ("assistant", "a")]
     records = {

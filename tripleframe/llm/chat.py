@@ -1,8 +1,8 @@
 r"""Chat formatting by schema fingerprints.
 
 A record's nested field paths (names, with [] for list items) are hashed; the
-fingerprint selects a declarative mapping that says where the turns are. Tables
-of one layout are recognised by their schema; JSON records, whose layouts may
+fingerprint of those that a layout names selects a declarative mapping that says
+where the turns are. Tables of one layout are recognised by their schema; JSON records, whose layouts may
 differ from row to row, one by one. All become canonical turns (role, text).
 
 Template: every turn is written as  <|start|>ROLE<|sep|>TEXT<|end|>\n . Control
@@ -16,8 +16,10 @@ Defined results
   null turns come first; repeated rows are turns of their own.
 * null conversation identifiers form one conversation. An empty table gives an
   empty result. Very long texts are formatted whole.
-* a JSON record whose fingerprint has no mapping, or that is no JSON: null turns.
-* tables are mapped by the fields that a layout names; other columns are ignored.
+* a JSON record that has no layout's fields, or that is no JSON: null turns. An
+  empty list of turns is a conversation without turns.
+* records and tables are mapped by the fields that a layout names (the one with
+  the most, if several fit); other fields and columns are ignored.
 """
 
 from __future__ import annotations
@@ -97,15 +99,31 @@ def _string(value) -> str:
 
 
 def json_turns(record: str | None) -> list[tuple[str, str]] | None:
-    """Canonical turns of one JSON record; null if no mapping has its fingerprint."""
+    """Canonical turns of one JSON record; null if it has no layout's fields."""
     try:
         value = json.loads(record)
     except (TypeError, ValueError):
         return None
     if not isinstance(value, dict):
         return None
-    mapping = MAPPINGS.get(fingerprint(value_paths(value)))
-    return None if mapping is None or "rows" in mapping else _canonical(value, mapping)
+    paths = set(value_paths(value))
+    fits = [x for x in LAYOUTS.values() if "rows" not in x and (_empty(value, x) or paths.issuperset(x["paths"]) and _plain(value, x))]
+    if not fits:
+        return None
+    return _canonical(value, MAPPINGS[fingerprint(max(fits, key=lambda x: len(x["paths"]))["paths"])])
+
+
+def _empty(record: dict, mapping: dict) -> bool:
+    """Whether the layout's list of turns is there, without any."""
+    return "each" in mapping and record.get(mapping["each"][0]) == []
+
+
+def _plain(record: dict, mapping: dict) -> bool:
+    """Whether the items of the layout's list are records with plain roles."""
+    if "each" not in mapping:
+        return True
+    where, role, _ = mapping["each"]
+    return all(isinstance(x, dict) and not isinstance(x.get(role), dict | list) for x in record[where])
 
 
 def canonical_turns(df: DataFrame, id_col: str, json_col: str | None = None) -> DataFrame:
