@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tripleframe.llm import images, mixing, sharding
+from tripleframe.llm import mixing, sharding
 
 from .data import clashing, docs, empty, words
 
@@ -123,120 +123,6 @@ def test_mix_edges(spark):
     assert mixing.mix(empty(spark), odd, {"en": 0.5, "de": 0.5}).count() == 0
 
 
-def photo(seed, side=96):
-    return images._box(images._box(np.random.default_rng(seed).normal(size=(side, side)).astype(np.float32), 1), 1)
-
-
-def grey(image):
-    return (128 + 110 * np.tanh(image / image.std() / 1.5)).clip(0, 255).astype(np.uint8)
-
-
-def pgm(pixels):
-    return b"P5\n# note\n%d %d\n255\n" % pixels.shape[::-1] + np.ascontiguousarray(pixels).tobytes()
-
-
-def png(pixels):
-    import struct
-
-    def chunk(kind, body):
-        return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
-
-    rgb = np.repeat(pixels[:, :, None], 3, axis=2).reshape(pixels.shape[0], -1)
-    rows, before = [], np.zeros(rgb.shape[1], np.uint8)
-    for y, row in enumerate(rgb):
-        kind = y % 5
-        left = np.concatenate([np.zeros(3, np.uint8), row[:-3]])
-        corner = np.concatenate([np.zeros(3, np.uint8), before[:-3]])
-        if kind == 4:
-            a, b, c = left.astype(int), before.astype(int), corner.astype(int)
-            pa, pb, pc = abs(b - c), abs(a - c), abs(a + b - 2 * c)
-            guess = np.where((pa <= pb) & (pa <= pc), a, np.where(pb <= pc, b, c))
-        else:
-            guess = (np.zeros_like(row), left, before, (left.astype(int) + before) // 2)[kind]
-        rows.append(bytes([kind]) + (row - guess).astype(np.uint8).tobytes())
-        before = row
-    head = struct.pack(">IIBBBBB", pixels.shape[1], pixels.shape[0], 8, 2, 0, 0, 0)
-    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(b"".join(rows))) + chunk(b"IEND", b"")
-
-
-def test_decoding():
-    pixels = grey(photo(1, 40))[:, :31]
-    assert np.array_equal(images.decode(pgm(pixels)), pixels.astype(np.float32))
-    assert np.abs(images.decode(png(pixels)) - pixels).max() < 0.01
-    assert all(images.decode(x) is None for x in (None, b"", b"P5", b"P5 3 3 255\n12", b"\x89PNG\r\n\x1a\nxx", b"GIF89a", png(pixels)[:60]))
-
-
-def test_copies_are_found(spark):
-    rows, truth = [], {}
-    for i in range(12):
-        one = grey(photo(i))
-        edits = [one, one[8:80, 10:90], (one * 0.7 + 30).astype(np.uint8), np.rot90(one), grey(photo(i) + np.random.default_rng(i).normal(0, 0.02, one.shape))]
-        for k, e in enumerate(edits):
-            rows.append((10 * i + k, png(e) if k == 2 else pgm(e)))
-            truth[10 * i + k] = 10 * i
-    rows += [(900, rows[0][1]), (901, None), (902, b"broken"), (903, pgm(np.full((50, 50), 9, np.uint8))), (904, pgm(np.full((50, 50), 9, np.uint8))), (905, pgm(np.ones((3, 3), np.uint8))), (None, rows[0][1])]
-    truth |= {900: 0, 901: 901, 902: 902, 903: 903, 904: 903, 905: 905, None: None}
-    df = clashing(spark.createDataFrame(rows, "media_id bigint, media binary"))
-    out = {r["media_id"]: r for r in images.image_copies(df, "media_id", "media").collect()}
-    assert len(out) == len(rows) and out[900]["class_id"] == 0 and out[903]["n_corners"] == 0
-    wrong = [i for i, c in truth.items() if out[i]["component_id"] != c]
-    assert not wrong
-    # brute force over all pairs of representatives links no others
-    corners = {i: images.describe(images.decode(m)) for i, m in rows if i is not None}
-    ids = [i for i in corners if i is not None and out[i]["class_id"] == i]
-    linked = {(a, b) for a in ids for b in ids if a < b and images.consensus(corners[a], corners[b]) >= images.INLIERS}
-    assert all(truth[a] == truth[b] for a, b in linked)
-    assert images.image_copies(df.limit(0), "media_id", "media").count() == 0
-
-
-def noisy(pixels, seed, by):
-    return (pixels + np.random.default_rng(seed).normal(0, by, pixels.shape)).clip(0, 255).astype(np.uint8)
-
-
-def test_noisy_and_reduced_copies_are_found(spark):
-    """Of the links that consensus has over all pairs, nearly all are found, and so are components."""
-    rows = []
-    for i in range(20):
-        one = grey(photo(i))
-        small = images._scaled(one.astype(np.float32), 0.8).astype(np.uint8)
-        for k, e in enumerate((one, noisy(one, i, 24), small, noisy(small, i, 8))):
-            rows.append((10 * i + k, pgm(e)))
-    corners = {i: images.describe(images.decode(m)) for i, m in rows}
-    ids = sorted(corners)
-    links = [(a, b) for a in ids for b in ids if a < b and images.consensus(corners[a], corners[b]) >= images.INLIERS]
-
-    def meet(a, b):
-        x, y = corners[a]["bits"], corners[b]["bits"]
-        alike = images._differ(x, y) <= images.ALIKE
-        return any((alike & (images.table_keys(x, t)[:, None] == images.table_keys(y, t))).any() for t in range(images.TABLES))
-
-    def components(edges):
-        label = {i: i for i in ids}
-        for a, b in edges:
-            low, high = sorted((label[a], label[b]))
-            label = {i: low if x == high else x for i, x in label.items()}
-        return label
-
-    met = [x for x in links if meet(*x)]
-    assert len(links) > 60 and len(met) >= 0.95 * len(links)
-    out = images.image_copies(spark.createDataFrame(rows, "media_id bigint, media binary"), "media_id", "media").collect()
-    found, whole, least = {r["media_id"]: r["component_id"] for r in out}, components(links), components(met)
-    # no link that meets is missed, and none is found that consensus does not have
-    assert all(found[i] == found[least[i]] for i in ids) and all(whole[i] == whole[found[i]] for i in ids)
-    assert sum(found[i] != whole[i] for i in ids) <= 0.05 * len(ids)
-
-
-def test_equal_bytes_that_cannot_be_decoded_are_a_class(spark):
-    rows = [(1, b"GIF89a x"), (2, b"GIF89a x"), (3, b"GIF89a y"), (4, b""), (5, b""), (6, None), (7, None)]
-    out = images.image_copies(spark.createDataFrame(rows, "media_id bigint, media binary"), "media_id", "media").collect()
-    assert {r["media_id"]: r["class_id"] for r in out} == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5, 6: 6, 7: 7}
-
-
-def test_pictures(spark):
-    df = spark.createDataFrame([(1, [0.1, 0.2, None]), (2, None), (3, [])], "vec_id bigint, embedding array<float>")
-    assert {r["vec_id"]: r["media"] is None for r in images.pictures(df).collect()} == {1: False, 2: True, 3: True}
-
-
 def test_pipeline_and_queries(spark, tmp_path):
     """Each query and stage on the smallest tables, SQL where there is some."""
     duckdb = pytest.importorskip("duckdb")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,13 +29,39 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-_STAGED: list[str] = []
+_ACTIVE: ContextVar[Scratch | None] = ContextVar("scratch", default=None)
+
+
+class Scratch:
+    """What operators leave in the shared folder while a with block of this is open; delete() removes that and nothing else.
+
+    An operator's result is lazy and reads these tables, so delete only after it has been written. Tables that were
+    made outside any block stay.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        self._before = _ACTIVE.set(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        _ACTIVE.reset(self._before)
+
+    def delete(self) -> None:
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        while self.paths:
+            path = jvm.org.apache.hadoop.fs.Path(self.paths.pop())
+            path.getFileSystem(conf).delete(path, True)
 
 
 def new_path(spark: SparkSession, what: str) -> str:
-    """A path in the shared folder for something that may go with the stage that makes it (see discard_staged)."""
-    _STAGED.append(f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}")
-    return _STAGED[-1]
+    """A path in the shared folder; the open Scratch, if there is one, will delete it."""
+    path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
+    if (scratch := _ACTIVE.get()) is not None:
+        scratch.paths.append(path)
+    return path
 
 
 def staged_at(df: DataFrame, what: str) -> tuple[DataFrame, str]:
@@ -49,14 +76,6 @@ def staged(df: DataFrame, what: str) -> DataFrame:
     return staged_at(df, what)[0]
 
 
-def discard_staged(spark: SparkSession) -> None:
-    """Delete what operators have left in the shared folder. Only where nothing that was made from it is still to be read."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while _STAGED:
-        path = jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
-        path.getFileSystem(conf).delete(path, True)
-
-
 #: Rows of a checkpoint that are worth a partition of their own.
 ROWS_A_PARTITION = 50_000
 
@@ -80,3 +99,19 @@ def text_of(column: str) -> Column:
 def unit_hash(*columns: Column | str, seed: int = 0) -> Column:
     """A number in [0, 1) that the given values decide."""
     return F.shiftrightunsigned(F.xxhash64(*columns, F.lit(seed)), 11) / F.lit(float(1 << 53))
+
+
+def same_text(text: Column) -> Column:
+    """128 bits that stand for a text where rows of one identifier must be told apart."""
+    return F.struct(F.xxhash64(text).alias("a"), F.xxhash64(text, F.lit(1)).alias("b"))
+
+
+def one_of_each(rows: DataFrame, key: list[str]) -> DataFrame:
+    """rows with one row of each key; only those whose key repeats are dealt out whole."""
+    repeated = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_times")).filter("_times > 1").drop("_times")
+    said = [F.col(k).eqNullSafe(F.col(f"_r{k}")) for k in key]
+    repeated = repeated.select(*[F.col(k).alias(f"_r{k}") for k in key])
+    if repeated.isEmpty():
+        return rows
+    once = rows.join(repeated, said, "left_anti")
+    return once.unionByName(rows.join(repeated, said, "left_semi").dropDuplicates(key))

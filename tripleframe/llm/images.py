@@ -3,23 +3,33 @@
 1. Images (PNG, or PGM/PPM) are decoded to grey pixels. Equal pixels are one
    class; its smallest identifier represents it. So are equal bytes of media
    that cannot be decoded.
-2. On a pyramid of scales, Harris corners are found; each gets an orientation
-   (its patch's centroid of brightness) and 256 binary brightness tests turned
-   by it. Brightness and contrast edits leave the tests as they are.
-3. A descriptor enters TABLES Hamming tables, keyed by KEY bits of it: each
-   order of its bits gives 6 keys. An entry's descriptors are compared; images
-   are candidates if they have alike ones there. Descriptors that differ in fewer
-   than 6 bits always meet, others often do (the README has measured shares).
+2. On a pyramid of scales, each FACTOR of the one before and down to the size of
+   a patch, Harris corners are found: those that are the strongest within APART
+   pixels, so that their number grows with the area, whatever is shown. Each gets
+   an orientation (its patch's centroid of brightness) and 256 binary brightness
+   tests turned by it. Brightness and contrast edits leave the tests as they are.
+3. A descriptor enters TABLES Hamming tables, keyed by KEY of its bits. SKETCHES of
+   an image's entries, those of smallest hash, bring together images that share
+   many: each is compared with one other, which connects nearly all of a group of
+   copies. Then all entries are filled in, and descriptors of an entry that belong
+   to images that are not connected yet are compared: images are candidates
+   if they have one pair of descriptors there that differ in at most NEAR bits, or
+   two pairs in at most HINT. Where more than linking.BLOCK alike descriptors of
+   several components meet (a logo), pairs are not listed: the images' blocks are
+   compared (see linking).
 4. A candidate pair is linked by geometric consensus: a similarity transform
    must map enough corners of one image onto alike corners of the other.
 
+Step 3 may miss links; tests measure the share that is found for each kind of edit.
+
 Defined results
 * null or empty media: no corners, a class of its own, no links. Broken or
-  unknown media: no corners, a class with equal bytes only, no links.
+  unknown media (JPEG, GIF, WebP, interlaced PNG, more than PIXELS pixels): no
+  corners, a class with equal bytes only, no links. No media fail the job.
 * images without corners (flat, very small): linked with equal pixels only.
 * null identifiers: class null. Repeated rows: equal pixels, so one class.
-* very large images: reduced by whole factors to at most SIDE pixels a side
-  before corners are found. Empty table: empty result. Other columns: ignored.
+* very large images: all of their corners; nothing is reduced. Empty table: empty
+  result. Other columns: ignored.
 """
 
 from __future__ import annotations
@@ -33,23 +43,30 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import linking
 from .common import cut, staged
-from .linking import connect, popularity, shared_buckets
-
-#: Scales of the pyramid, corners kept of an image, radius of a patch, tests, Hamming tables, bits of a key.
-SCALES, CORNERS, RADIUS, TESTS, TABLES, KEY = (1.0, 0.75, 0.5), 48, 8, 256, 24, 40
-#: Bits in which matching corners may differ, pixels by which a mapped corner may miss, and corners that a link needs.
-ALIKE, MISS, INLIERS = 40, 3.0, 8
-SIDE = 512
+from .linking import connect, labelled, popularity, shared_buckets, stars
+
+#: Ratio of the pyramid's scales, pixels between corners, radius of a patch, tests, turns that a patch may have.
+FACTOR, APART, RADIUS, TESTS, TURNS = 0.84, 4, 8, 256, 64
+#: Hamming tables, bits of a key, and entries of an image in the first comparison.
+TABLES, KEY, SKETCHES = 10, 24, 16
+#: Bits in which descriptors may differ: for one pair to make a candidate, for two pairs, and for matching corners.
+NEAR, HINT, ALIKE = 20, 32, 40
+#: Pixels by which a mapped corner may miss, and corners that a link needs.
+MISS, INLIERS = 3.0, 8
+#: Images of more pixels are not decoded; a worker holds one image at a time.
+PIXELS = 1 << 27
 
 #: Hamming tables that are filled at a time: their entries are what takes disk.
 AT_ONCE = 2
-#: Corners that a worker holds at a time to compare pairs, and pairs of one image that go together.
-HELD, TOGETHER = 400_000, 64
+#: Entries of one bucket that a worker holds; of larger ones all images go to linking's blocks.
+HELD = 200_000
 
 _random = np.random.default_rng(7)
 _POINTS = _random.normal(0, RADIUS / 2.2, (TESTS, 2, 2))
@@ -61,46 +78,51 @@ _DISK = (_X**2 + _Y**2) <= RADIUS**2
 
 
 def _turned(step: int) -> np.ndarray:
-    """The tests' offsets (x, y, x, y), turned by step of 32 steps, so that quarter turns are exact."""
-    c, s = np.cos(step * np.pi / 16), np.sin(step * np.pi / 16)
+    """The tests' offsets (x, y, x, y), turned by step of TURNS steps, so that quarter turns are exact."""
+    c, s = np.cos(step * 2 * np.pi / TURNS), np.sin(step * 2 * np.pi / TURNS)
     a, b, p, q = _PAIRS.T
     return np.rint(np.stack([c * a - s * b, s * a + c * b, c * p - s * q, s * p + c * q])).astype(int)
 
 
-_TURNS = np.stack([_turned(step) for step in range(32)])
+_TURNS = np.stack([_turned(step) for step in range(TURNS)])
 
 
 def decode(media: bytes | None) -> np.ndarray | None:
-    """Grey pixels of a PNG (8 bits, not interlaced) or of a binary PGM or PPM; None for anything else."""
+    """Grey pixels of a PNG (not interlaced) or of a binary PGM or PPM; None for anything else, whatever is wrong with it."""
     try:
         if media and media[:8] == b"\x89PNG\r\n\x1a\n":
             return _png(media)
         if media and media[:2] in (b"P5", b"P6"):
-            fields, at = [], 2
-            while len(fields) < 3:
-                while media[at : at + 1].isspace():
-                    at += 1
-                if at >= len(media):
-                    return None
-                if media[at : at + 1] == b"#":
-                    at = media.index(b"\n", at)
-                    continue
-                end = at
-                while end < len(media) and not media[end : end + 1].isspace():
-                    end += 1
-                fields.append(int(media[at:end]))
-                at = end
-            width, height, top = fields
-            depth = 3 if media[1:2] == b"6" else 1
-            if top > 255 or min(width, height) < 1:
-                return None
-            raw = np.frombuffer(media, np.uint8, width * height * depth, at + 1).reshape(height, width, depth)
-            return _grey(raw)
-    except (ValueError, IndexError, KeyError, struct.error, zlib.error):
+            return _pnm(media)
+    except (ValueError, TypeError, LookupError, ArithmeticError, struct.error, zlib.error):
         pass
     return None
 
 
+def _pnm(media: bytes) -> np.ndarray | None:
+    fields, at = [], 2
+    while len(fields) < 3:
+        while media[at : at + 1].isspace():
+            at += 1
+        if at >= len(media):
+            return None
+        if media[at : at + 1] == b"#":
+            at = media.index(b"\n", at)
+            continue
+        end = at
+        while end < len(media) and not media[end : end + 1].isspace():
+            end += 1
+        fields.append(int(media[at:end]))
+        at = end
+    width, height, top = fields
+    depth = 3 if media[1:2] == b"6" else 1
+    if not 0 < top < 65536 or min(width, height) < 1 or width * height > PIXELS:
+        return None
+    kind = np.dtype(">u2" if top > 255 else "u1")
+    raw = np.frombuffer(media, kind, width * height * depth, at + 1).reshape(height, width, depth)
+    return _grey(raw if top == 255 else raw.astype(np.float32) * (255 / top))
+
+
 def _grey(raw: np.ndarray) -> np.ndarray:
     if raw.shape[2] < 3:
         return raw[:, :, 0].astype(np.float32)
@@ -108,8 +130,8 @@ def _grey(raw: np.ndarray) -> np.ndarray:
 
 
 def _png(media: bytes) -> np.ndarray | None:
-    at, data, palette, head = 8, b"", None, None
-    while at < len(media):
+    at, parts, palette, head = 8, [], None, None
+    while at + 8 <= len(media):
         size, kind = struct.unpack(">I4s", media[at : at + 8])
         body = media[at + 8 : at + 8 + size]
         if kind == b"IHDR":
@@ -117,32 +139,57 @@ def _png(media: bytes) -> np.ndarray | None:
         elif kind == b"PLTE":
             palette = np.frombuffer(body, np.uint8).reshape(-1, 3)
         elif kind == b"IDAT":
-            data += body
+            parts.append(body)
         at += size + 12
-    if head is None or head[2] != 8 or head[6]:
+    if head is None or head[6] or min(head[:2]) < 1 or head[0] * head[1] > PIXELS:
+        return None
+    width, height, deep, depth = head[0], head[1], head[2], {0: 1, 2: 3, 3: 1, 4: 2, 6: 4}[head[3]]
+    if deep not in (1, 2, 4, 8, 16) or deep < 8 and depth > 1 or head[3] == 3 and palette is None:
         return None
-    width, height, depth = head[0], head[1], {0: 1, 2: 3, 3: 1, 4: 2, 6: 4}[head[3]]
-    rows = np.frombuffer(zlib.decompress(data), np.uint8).reshape(height, 1 + width * depth)
-    out = np.zeros((height, width * depth), np.uint8)
-    before = np.zeros(width * depth, np.uint8)
-    for y, row in enumerate(rows):
-        line = row[1:].copy()
-        if row[0] == 2:
-            line += before
-        elif row[0] == 1:
-            line = np.add.accumulate(line.reshape(width, depth), axis=0, dtype=np.uint8).reshape(-1)
-        elif row[0]:
-            for i in range(len(line)):
-                a = int(line[i - depth]) if i >= depth else 0
-                b, c = int(before[i]), int(before[i - depth]) if i >= depth else 0
-                p = a + b - c
-                near = min((abs(p - a), 0, a), (abs(p - b), 1, b), (abs(p - c), 2, c))[2]
-                line[i] = (int(line[i]) + ((a + b) // 2 if row[0] == 3 else near)) & 255
-        out[y] = before = line
+    step, line = max(1, depth * deep // 8), -(-width * depth * deep // 8)
+    want = height * (1 + line)
+    data = zlib.decompressobj().decompress(b"".join(parts), want)  # no more than the header says
+    rows = np.frombuffer(data, np.uint8, want).reshape(height, 1 + line)
+    out, before = np.empty((height, line), np.uint8), bytes(line)
+    for y in range(height):
+        before = _unfiltered(int(rows[y, 0]), rows[y, 1:], before, step)
+        out[y] = np.frombuffer(before, np.uint8)
+    if deep == 16:
+        out = out[:, ::2]  # the high bytes
+    elif deep < 8:
+        out = (np.unpackbits(out, axis=1).reshape(height, -1, deep) @ (1 << np.arange(deep)[::-1])).astype(np.uint8)[:, :width]
+        if head[3] == 0:
+            out = out * (255 // ((1 << deep) - 1))
     out = out.reshape(height, width, depth)
     return _grey(palette[out[:, :, 0]] if head[3] == 3 else out)
 
 
+def _unfiltered(kind: int, row: np.ndarray, before: bytes, step: int) -> bytes:
+    """A line of a PNG without its filter."""
+    if kind == 0:
+        return row.tobytes()
+    if kind == 2:
+        return (row + np.frombuffer(before, np.uint8)).tobytes()
+    if kind == 1:
+        whole = np.concatenate([row, np.zeros(-len(row) % step, np.uint8)])
+        return np.add.accumulate(whole.reshape(-1, step), axis=0, dtype=np.uint8).tobytes()[: len(row)]
+    line = bytearray(row.tobytes())
+    if kind == 3:
+        for i, b in enumerate(before):
+            line[i] = line[i] + ((line[i - step] if i >= step else 0) + b >> 1) & 255
+        return bytes(line)
+    if kind != 4:
+        raise ValueError("no such filter")
+    for i in range(min(step, len(line))):
+        line[i] = line[i] + before[i] & 255
+    for i in range(step, len(line)):
+        a, b, c = line[i - step], before[i], before[i - step]
+        p, q = b - c, a - c
+        to_a, to_b, to_c = abs(p), abs(q), abs(p + q)
+        line[i] = line[i] + (a if to_a <= to_b and to_a <= to_c else b if to_b <= to_c else c) & 255
+    return bytes(line)
+
+
 def _box(image: np.ndarray, radius: int) -> np.ndarray:
     """Means over squares, edges repeated."""
     size = 2 * radius + 1
@@ -163,54 +210,86 @@ def _scaled(image: np.ndarray, scale: float) -> np.ndarray:
     return ((1 - fy) * ((1 - fx) * image[y0][:, x0] + fx * image[y0][:, x1]) + fy * ((1 - fx) * image[y1][:, x0] + fx * image[y1][:, x1])).astype(np.float32)
 
 
+def _strongest(values: np.ndarray, radius: int) -> np.ndarray:
+    """The largest value within radius of each place, in either direction."""
+    for axis in (0, 1):
+        pad = [(radius, radius) if axis == k else (0, 0) for k in (0, 1)]
+        values = np.lib.stride_tricks.sliding_window_view(np.pad(values, pad, constant_values=-np.inf), 2 * radius + 1, axis).max(axis=-1)
+    return values
+
+
 def describe(image: np.ndarray | None) -> np.ndarray:
     """Corners as records: x, y, scale, angle, bits (32 bytes)."""
-    if image is None or min(image.shape) < 2 * RADIUS + 3:
-        return np.empty(0, _KIND)
-    cut_down = -(-max(image.shape) // SIDE)
-    if cut_down > 1:
-        h, w = (x // cut_down * cut_down for x in image.shape)
-        image = image[:h, :w].reshape(h // cut_down, cut_down, w // cut_down, cut_down).mean(axis=(1, 3))
-    found, parts = [], []
-    for scale in SCALES:
+    found, scale = [], 1.0
+    while image is not None:
         level = _box(_scaled(image, scale), 1)
         h, w = level.shape
         if min(h, w) < 2 * RADIUS + 3:
-            continue
+            break
         gy, gx = np.gradient(level)
         a, b, c = _box(gx * gx, 2), _box(gy * gy, 2), _box(gx * gy, 2)
         strength = a * b - c * c - 0.05 * (a + b) ** 2
-        inner = strength[RADIUS : h - RADIUS, RADIUS : w - RADIUS]
-        padded = np.pad(strength, 2, mode="constant", constant_values=-np.inf)
-        top = np.max([padded[i : i + h, j : j + w] for i in range(5) for j in range(5)], axis=0)[RADIUS : h - RADIUS, RADIUS : w - RADIUS]
-        ys, xs = np.nonzero((inner == top) & (inner > max(1.0, 0.01 * inner.max())))
+        inner, top = (x[RADIUS : h - RADIUS, RADIUS : w - RADIUS] for x in (strength, _strongest(strength, APART)))
+        ys, xs = np.nonzero((inner == top) & (inner > 1.0))
         if len(ys):
-            parts.append((scale, level, ys + RADIUS, xs + RADIUS, inner[ys, xs]))
-    each = max(1, CORNERS // max(1, len(parts)))
-    for scale, level, ys, xs, strong in parts:
-        best = np.lexsort((xs, ys, -strong))[:each]
-        ys, xs = ys[best], xs[best]
-        patches = level[ys[:, None, None] + _Y, xs[:, None, None] + _X] * _DISK
+            found.append(_tested(level, ys + RADIUS, xs + RADIUS, scale))
+        scale *= FACTOR
+    return np.concatenate(found) if found else np.empty(0, _KIND)
+
+
+def _tested(level: np.ndarray, ys: np.ndarray, xs: np.ndarray, scale: float) -> np.ndarray:
+    """The corners at these places of a level, some thousand at a time."""
+    out = np.empty(len(ys), _KIND)
+    for k in range(0, len(ys), 4096):
+        y, x = ys[k : k + 4096], xs[k : k + 4096]
+        patches = level[y[:, None, None] + _Y, x[:, None, None] + _X] * _DISK
         patches = patches - (patches.sum(axis=(1, 2)) / _DISK.sum())[:, None, None] * _DISK
         angle = np.arctan2((patches * _Y).sum(axis=(1, 2)), (patches * _X).sum(axis=(1, 2)))
-        turn = np.rint(angle * 16 / np.pi).astype(int) % 32
+        turn = np.rint(angle * TURNS / (2 * np.pi)).astype(int) % TURNS
         ox, oy, px, py = _TURNS[turn].transpose(1, 0, 2)
-        bits = level[ys[:, None] + oy, xs[:, None] + ox] < level[ys[:, None] + py, xs[:, None] + px]
-        out = np.empty(len(ys), _KIND)
-        out["x"], out["y"], out["scale"], out["angle"] = (xs + 0.5) / scale, (ys + 0.5) / scale, scale, angle
-        out["bits"] = np.packbits(bits, axis=1)
-        found.append(out)
-    return np.concatenate(found) if found else np.empty(0, _KIND)
+        bits = level[y[:, None] + oy, x[:, None] + ox] < level[y[:, None] + py, x[:, None] + px]
+        part = out[k : k + 4096]
+        part["x"], part["y"], part["scale"], part["angle"] = (x + 0.5) / scale, (y + 0.5) / scale, scale, angle
+        part["bits"] = np.packbits(bits, axis=1)
+    return out
 
 
-def consensus(a: np.ndarray, b: np.ndarray) -> int:
-    """The most corners of a that one similarity transform maps onto alike corners of b."""
-    if not len(a) or not len(b):
-        return 0
-    i, j = np.nonzero(_differ(a["bits"], b["bits"]) <= ALIKE)
-    if not len(i):
+def _differ(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bits in which descriptors differ."""
+    return np.bitwise_count(a[:, None, :].copy().view("<u8") ^ b[None, :, :].copy().view("<u8")).sum(axis=2, dtype=np.int32)
+
+
+def _matches(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of corners of the smaller image that have alike ones in the other, and of the most alike there."""
+    if len(a) > len(b):
+        j, i = _matches(b, a)
+        return i, j
+    best, at = np.full(len(a), ALIKE + 1), np.zeros(len(a), np.intp)
+    for k, m in itertools.product(range(0, len(a), 1024), range(0, len(b), 1024)):
+        differ = _differ(a["bits"][k : k + 1024], b["bits"][m : m + 1024])
+        least, rows = differ.argmin(axis=1), slice(k, k + differ.shape[0])
+        bits = differ[np.arange(len(least)), least]
+        at[rows] = np.where(bits < best[rows], least + m, at[rows])
+        best[rows] = np.minimum(best[rows], bits)
+    i = np.flatnonzero(best <= ALIKE)
+    return i, at[i]
+
+
+def _enough(a: np.ndarray, b: np.ndarray, inliers: int) -> bool:
+    """Whether enough corners have alike ones, as consensus needs."""
+    return len(_matches(a, b)[0]) >= inliers
+
+
+def consensus(a: np.ndarray, b: np.ndarray, enough: int | None = None) -> int:
+    """The most corners that one similarity transform maps onto alike corners of the other image, less four times those
+    that chance would bring there; with `enough`, the search ends at that number.
+    """
+    i, j = _matches(a, b)
+    if not len(i) or enough is not None and len(i) < enough:
         return 0
     p, q = a["x"][i] + 1j * a["y"][i], b["x"][j] + 1j * b["y"][j]
+    room = max(1.0, *(float(np.ptp(x["x"])) * float(np.ptp(x["y"])) for x in (a, b)))
+    chance = int(4 * len(i) * np.pi * MISS**2 / room)
     turn = a["scale"][i] / b["scale"][j] * np.exp(1j * (b["angle"][j] - a["angle"][i]))
     best = 0
     for k in range(len(i)):
@@ -223,7 +302,30 @@ def consensus(a: np.ndarray, b: np.ndarray) -> int:
         fine = (q[far] - q[k]) / (p[far] - p[k]) if p[far] != p[k] else turn[k]
         hit = near & (np.abs(fine * (p - p[k]) + q[k] - q) <= MISS)
         best = max(best, min(len(set(p[hit])), len(set(q[hit]))))
-    return best
+        if enough is not None and best >= enough + chance:
+            break
+    return max(0, best - chance)
+
+
+_BITS = [np.random.default_rng(1000 + number).permutation(TESTS)[:KEY] for number in range(TABLES)]
+_SEEDS = np.random.default_rng(11).integers(1, 1 << 63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def table_keys(bits: np.ndarray, number: int) -> np.ndarray:
+    """The entries of descriptors in a Hamming table: KEY of their bits and the table's number."""
+    at = _BITS[number]
+    picked = bits[:, at // 8] >> (7 - at % 8).astype(np.uint8) & 1
+    return picked.astype(np.int64) @ (1 << np.arange(KEY, dtype=np.int64)) | number << KEY
+
+
+def sketch(bits: np.ndarray) -> np.ndarray:
+    """For each of SKETCHES hashes the smallest over the entries of an image's descriptors, with the hash's number."""
+    if not len(bits):
+        return np.empty(0, np.int64)
+    keys = np.concatenate([table_keys(bits, number) for number in range(TABLES)]).astype(np.uint64)
+    mixed = (keys ^ keys >> np.uint64(17)) * np.uint64(0x9E3779B97F4A7C15)
+    low = ((mixed ^ mixed >> np.uint64(29))[:, None] * _SEEDS[None, :]).min(axis=0)
+    return (low >> np.uint64(5) | np.arange(SKETCHES, dtype=np.uint64) << np.uint64(59)).astype(np.int64)
 
 
 def _described(media: DataFrame, id_col: str, media_col: str) -> DataFrame:
@@ -231,50 +333,46 @@ def _described(media: DataFrame, id_col: str, media_col: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pixels, corners, n = [], [], []
+            pixels, corners, sketches = [], [], []
             for value in batch.column(1):
                 image = decode(value.as_py())
                 found = describe(image)
                 said = b"raw" + (value.as_py() or b"") if image is None else str(image.shape).encode() + image.tobytes()
                 pixels.append(None if said == b"raw" else xxhash.xxh3_128_digest(said))
                 corners.append(found.tobytes())
-                n.append(len(found))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(pixels, pa.binary()), pa.array(corners, pa.binary())], ["_id", "_n", "_pixels", "_corners"])
+                sketches.append(sketch(found["bits"]))
+            n = pa.array([len(x) // _KIND.itemsize for x in corners], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), n, pa.array(pixels, pa.binary()), pa.array(corners, pa.binary()), pa.array(sketches, pa.list_(pa.int64()))], ["_id", "_n", "_pixels", "_corners", "_sketch"]
+            )
 
     rows = media.select(F.col(id_col).alias("_id"), F.col(media_col).alias("_media"))
-    return rows.mapInArrow(run, f"_id {kind}, _n bigint, _pixels binary, _corners binary")
+    return rows.mapInArrow(run, f"_id {kind}, _n bigint, _pixels binary, _corners binary, _sketch array<bigint>")
 
 
-_ORDERS = [np.arange(TESTS), *(np.random.default_rng(k).permutation(TESTS) for k in range(1, -(-TABLES // (TESTS // KEY))))]
-
-
-def table_keys(bits: np.ndarray, number: int) -> np.ndarray:
-    """The entries of descriptors in a Hamming table: KEY of their bits and the table's number."""
-    order, word = divmod(number, TESTS // KEY)
-    at = _ORDERS[order][word * KEY : word * KEY + KEY]
-    picked = bits[:, at // 8] >> (7 - at % 8).astype(np.uint8) & 1
-    return picked.astype(np.int64) @ (1 << np.arange(KEY, dtype=np.int64)) | number << KEY
+_WORDS = ["_w0", "_w1", "_w2", "_w3"]
 
 
 def _entries(own: DataFrame, numbers: list[int]) -> DataFrame:
-    """_id, _bucket, _bits: the entries of an image's corners in these Hamming tables, with the descriptors."""
+    """_bucket, _label, _w0 .. _w3 (the descriptor), _id: the entries of the images' corners in these Hamming tables."""
     kind = own.schema["_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            each = [_corner_array(v.as_py())["bits"] for v in batch.column(1)]
-            where = np.repeat(np.arange(len(each)), [len(x) for x in each])
-            bits = np.concatenate(each) if each else np.empty((0, TESTS // 8), np.uint8)
-            ids, raw = batch.column(0).take(pa.array(where)), pa.array([x.tobytes() for x in bits], pa.binary())
+            each = [_corner_array(v.as_py())["bits"] for v in batch.column(2)]
+            where = pa.array(np.repeat(np.arange(len(each)), [len(x) for x in each]))
+            bits = np.ascontiguousarray(np.concatenate(each)) if each else np.empty((0, TESTS // 8), np.uint8)
+            words = [pa.array(x) for x in np.ascontiguousarray(bits.view("<i8").T)]
+            ids, labels = batch.column(0).take(where), batch.column(1).take(where)
             for number in numbers:
-                yield pa.RecordBatch.from_arrays([ids, pa.array(table_keys(bits, number)), raw], ["_id", "_bucket", "_bits"])
+                yield pa.RecordBatch.from_arrays([pa.array(table_keys(bits, number)), labels, *words, ids], ["_bucket", "_label", *_WORDS, "_id"])
 
-    return own.select("_id", "_corners").mapInArrow(run, f"_id {kind}, _bucket bigint, _bits binary")
+    schema = f"_bucket bigint, _label bigint, {', '.join(f'{w} bigint' for w in _WORDS)}, _id {kind}"
+    return own.select("_id", F.xxhash64("_label").alias("_label"), "_corners").mapInArrow(run, schema)
 
 
-def alike_groups(bits: np.ndarray) -> np.ndarray:
-    """For each descriptor the number of its group: those that chains of alike descriptors connect."""
-    words = np.ascontiguousarray(bits).view("<u8")
+def alike_groups(words: np.ndarray) -> np.ndarray:
+    """For each descriptor the number of its group: those that chains of descriptors, each within HINT bits, connect."""
     distinct, back = np.unique(words, axis=0, return_inverse=True)
     group, left, n = np.full(len(distinct), -1), np.arange(len(distinct)), 0
     while len(left):
@@ -283,19 +381,75 @@ def alike_groups(bits: np.ndarray) -> np.ndarray:
             one = todo.pop()
             group[one] = n
             if len(left):
-                near = np.bitwise_count(distinct[left] ^ distinct[one]).sum(axis=1) <= ALIKE
+                near = np.bitwise_count(distinct[left] ^ distinct[one]).sum(axis=1) <= HINT
                 todo.extend(left[near])
                 left = left[~near]
         n += 1
     return group[back.ravel()]
 
 
-def _alike_members(entries: DataFrame) -> DataFrame:
-    """_bucket, _id: the entries with an alike descriptor of another image; alike ones of an entry are a bucket."""
+def _runs(buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of runs of equal values."""
+    starts = np.flatnonzero(np.concatenate([[True], buckets[1:] != buckets[:-1]])) if len(buckets) else np.empty(0, np.intp)
+    return starts, np.append(starts[1:], len(buckets)).astype(np.intp)
+
+
+def entry_votes(buckets: np.ndarray, labels: np.ndarray, words: np.ndarray) -> tuple[list[tuple[np.ndarray, np.ndarray, np.ndarray]], list[tuple[int, np.ndarray]]]:
+    """Of whole buckets, sorted: (places, places, bits that differ) of alike descriptors with different labels, and (name, places) of groups too large for that."""
+    starts, ends = _runs(buckets)
+    if not len(starts):
+        return [], []
+    mixed = (ends - starts > 1) & (np.minimum.reduceat(labels, starts) != np.maximum.reduceat(labels, starts))
+    votes, crowds = [], []
+    few = mixed & (ends - starts <= linking.BLOCK)
+    at = np.flatnonzero(np.repeat(few, ends - starts))
+    for step in range(1, linking.BLOCK):
+        if len(at) <= step:
+            break
+        i, j = at[:-step], at[step:]
+        held = buckets[i] == buckets[j]
+        if not held.any():
+            break
+        votes.append(_compared(i[held], j[held], labels, words))
+    for start, end in zip(starts[mixed & ~few], ends[mixed & ~few], strict=True):
+        groups = alike_groups(words[start:end])
+        for g in np.flatnonzero(np.bincount(groups) > 1):
+            own = start + np.flatnonzero(groups == g)
+            if (labels[own] == labels[own[0]]).all():
+                continue
+            if len(own) <= linking.BLOCK:
+                i, j = np.triu_indices(len(own), 1)
+                votes.append(_compared(own[i], own[j], labels, words))
+            else:
+                crowds.append((xxhash.xxh3_64_intdigest(words[own].min(axis=0).tobytes() + buckets[start].tobytes()) - (1 << 63), own))
+    return votes, crowds
+
+
+def _compared(i: np.ndarray, j: np.ndarray, labels: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    apart = labels[i] != labels[j]
+    i, j = i[apart], j[apart]
+    bits = np.bitwise_count(words[i] ^ words[j]).sum(axis=1, dtype=np.int32)
+    return i[bits <= HINT], j[bits <= HINT], bits[bits <= HINT]
+
+
+def _votes(entries: DataFrame) -> DataFrame:
+    """_bucket (null for votes), _a, _b (null for members of crowds), _x, _y (stand for the descriptors), _bits."""
     kind = entries.schema["_id"].dataType.simpleString()
+    names = ["_bucket", "_a", "_b", "_x", "_y", "_bits"]
+
+    def found(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        buckets, labels = (table.column(c).to_numpy() for c in ("_bucket", "_label"))
+        words = np.stack([table.column(c).to_numpy() for c in _WORDS], axis=1)
+        votes, crowds = entry_votes(buckets, labels, words.view(np.uint64))
+        ids, whole = table.column("_id").combine_chunks(), words[:, 0] ^ words[:, 1] * 3 ^ words[:, 2] * 5 ^ words[:, 3] * 7
+        for i, j, bits in votes:
+            none = pa.nulls(len(i), pa.int64())
+            yield pa.RecordBatch.from_arrays([none, ids.take(pa.array(i)), ids.take(pa.array(j)), pa.array(whole[i]), pa.array(whole[j]), pa.array(bits)], names)
+        for name, own in crowds:
+            yield _crowd(name, ids.take(pa.array(own)), names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
+        rest, crowded = None, None
         for batch in itertools.chain(batches, [None]):
             if batch is not None:
                 table = pa.Table.from_batches([batch])
@@ -303,42 +457,46 @@ def _alike_members(entries: DataFrame) -> DataFrame:
             if rest is None or not len(rest):
                 continue
             buckets = rest.column("_bucket").to_numpy()
-            # an entry may go on in the next batch
+            # a bucket may go on in the next batch
             whole = len(rest) if batch is None else int(np.searchsorted(buckets, buckets[-1]))
             done, rest = rest.slice(0, whole), rest.slice(whole)
-            starts = np.flatnonzero(np.diff(buckets[:whole], prepend=-1))
-            ends = np.append(starts[1:], whole)
-            wide = ends - starts > 1
-            rows, names = [], []
-            if wide.any():
-                bits = np.frombuffer(b"".join(done.column("_bits").to_pylist()), np.uint8).reshape(-1, TESTS // 8)
-            for start, end in zip(starts[wide], ends[wide], strict=True):
-                groups = alike_groups(bits[start:end])
-                many = np.bincount(groups)
-                for g in np.flatnonzero(many > 1):
-                    own = start + np.flatnonzero(groups == g)
-                    # each group's name is a digest of its entry and its least descriptor
-                    name = xxhash.xxh3_64_intdigest(bits[own[0] : own[0] + 1].tobytes() + buckets[start].tobytes()) - (1 << 63)
-                    rows.append(own)
-                    names.append(np.full(len(own), name, np.int64))
-            if rows:
-                at = pa.array(np.concatenate(rows))
-                for part in done.select(["_id"]).take(at).append_column("_bucket", pa.array(np.concatenate(names))).to_batches():
-                    yield part
-
-    dealt = entries.repartition("_bucket").sortWithinPartitions("_bucket", "_bits")
-    return dealt.select("_id", "_bucket", "_bits").mapInArrow(run, f"_id {kind}, _bucket bigint").distinct()
-
-
-def _members(own: DataFrame) -> DataFrame:
-    """_bucket, _id, _many: the images that have alike corners in an entry of a Hamming table."""
+            if crowded is not None and len(done):
+                more = int(np.searchsorted(done.column("_bucket").to_numpy(), crowded, side="right"))
+                yield _crowd(crowded, done.column("_id").slice(0, more).combine_chunks(), names)
+                done, crowded = done.slice(more), None
+            yield from found(done)
+            if len(rest) > HELD:
+                crowded = int(buckets[-1])
+                yield _crowd(crowded, rest.column("_id").combine_chunks(), names)
+                rest = None
+
+    dealt = entries.repartition("_bucket").sortWithinPartitions("_bucket")
+    return dealt.mapInArrow(run, f"_bucket bigint, _a {kind}, _b {kind}, _x bigint, _y bigint, _bits int")
+
+
+def _crowd(name: int, ids: pa.Array, names: list[str]) -> pa.RecordBatch:
+    """The images of a bucket that is too large for votes."""
+    ids = pc.unique(ids)
+    none = [pa.nulls(len(ids), kind) for kind in (ids.type, pa.int64(), pa.int64(), pa.int32())]
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), name, np.int64)), ids, *none], names)
+
+
+def _met(own: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The candidate pairs (_a, _b) between components, and the members (_bucket, _id) of crowded buckets, from all tables."""
     parts = []
     for k in range(0, TABLES, AT_ONCE):
-        parts.append(staged(_alike_members(_entries(own, list(range(k, min(k + AT_ONCE, TABLES))))), "image-alike"))
+        parts.append(staged(_votes(_entries(own, list(range(k, min(k + AT_ONCE, TABLES))))), "image-votes"))
         # Spark deletes a shuffle's files once nothing refers to it, here and in the JVM
         gc.collect()
         own.sparkSession.sparkContext._jvm.System.gc()
-    return shared_buckets(functools.reduce(DataFrame.unionByName, parts))
+    met = functools.reduce(DataFrame.unionByName, parts)
+    ends = [F.struct(F.col(i).alias("id"), F.col(d).alias("d")) for i, d in (("_a", "_x"), ("_b", "_y"))]
+    votes = met.filter("_bucket is null").select(F.least(*ends).alias("_p"), F.greatest(*ends).alias("_q"), "_bits")
+    counted = votes.groupBy(F.col("_p.id").alias("_a"), F.col("_q.id").alias("_b")).agg(
+        F.min("_bits").alias("_bits"), (F.min("_p.d") != F.max("_p.d")).alias("_many_p"), (F.min("_q.d") != F.max("_q.d")).alias("_many_q")
+    )
+    pairs = counted.filter((F.col("_bits") <= NEAR) | F.col("_many_p") & F.col("_many_q")).select("_a", "_b")
+    return pairs, met.filter("_bucket is not null").select("_bucket", F.col("_a").alias("_id")).distinct()
 
 
 def _corner_array(raw: bytes) -> np.ndarray:
@@ -355,70 +513,58 @@ def possible_pairs(left: list, right: list, inliers: int) -> list[tuple]:
     return out
 
 
-def _enough(a: np.ndarray, b: np.ndarray, inliers: int) -> bool:
-    """Whether enough corners of a have alike ones in b, as consensus needs."""
-    return (_differ(a["bits"], b["bits"]).min(axis=1) <= ALIKE).sum() >= inliers
-
-
-def _differ(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Bits in which descriptors differ."""
-    return np.bitwise_count(a[:, None, :].copy().view("<u8") ^ b[None, :, :].copy().view("<u8")).sum(axis=2, dtype=np.int32)
+def _alike(pairs: DataFrame, own: DataFrame, inliers: int) -> DataFrame:
+    """The pairs with geometric consensus."""
+    kind = own.schema["_id"].dataType.simpleString()
+    sides = [own.select(F.col("_id").alias(i), F.col("_corners").alias(c)) for i, c in (("_a", "_ca"), ("_b", "_cb"))]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = [consensus(_corner_array(x.as_py()), _corner_array(y.as_py()), inliers) >= inliers for x, y in zip(batch.column(2), batch.column(3), strict=True)]
+            yield batch.select(["_a", "_b"]).filter(pa.array(held, pa.bool_()))
 
-def _alike(pairs: DataFrame, own: DataFrame, inliers: int) -> DataFrame:
-    """The pairs with geometric consensus. Corners are not joined to each pair: workers hold a part of them at a time."""
-    spark, kind = own.sparkSession, own.schema["_id"].dataType.simpleString()
-    chunks = F.expr(f"transform(sequence(0, (size(_bs) - 1) div {TOGETHER}), i -> slice(_bs, i * {TOGETHER} + 1, {TOGETHER}))")
-    sides = pairs.groupBy("_a").agg(F.collect_list("_b").alias("_bs")).select("_a", F.posexplode(chunks).alias("_chunk", "_bs"))
-    left = own.select(F.col("_id").alias("_a"), "_corners")
-    sides = staged(sides.join(left, "_a").repartition("_a", "_chunk").select("_a", "_bs", "_corners"), "image-pairs")
-    parts = 1 + (own.agg(F.sum("_n")).first()[0] or 0) // HELD
-    out = []
-    for k in range(parts):
-        part = own.filter(F.pmod(F.xxhash64("_id"), F.lit(parts)) == k).select("_id", "_corners")
-        held = spark.sparkContext.broadcast({r[0]: bytes(r[1]) for r in part.toLocalIterator()})
-
-        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                found = []
-                for a, others, corners in zip(*batch.columns, strict=True):
-                    x, a = _corner_array(corners.as_py()), a.as_py()
-                    for b in others.as_py():
-                        y = held.value.get(b)
-                        if y is not None and _enough(x, y := _corner_array(y), inliers) and consensus(x, y) >= inliers:
-                            found.append((a, b))
-                ids = batch.schema.field(0).type
-                yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in found], ids), pa.array([p[1] for p in found], ids)], ["_a", "_b"])
-
-        out.append(sides.mapInArrow(run, f"_a {kind}, _b {kind}"))
-    return functools.reduce(DataFrame.unionByName, out)
+    both = pairs.join(sides[0], "_a").join(sides[1], "_b").select("_a", "_b", "_ca", "_cb")
+    return both.mapInArrow(run, f"_a {kind}, _b {kind}")
 
 
 def image_copies(media: DataFrame, id_col: str, media_col: str, inliers: int = INLIERS) -> DataFrame:
-    """One row per input row: id_col, n_corners, class_id (smallest identifier of equal pixels), component_id, n_links.
+    """One row per input row: id_col, n_corners, class_id (smallest identifier of equal pixels), component_id, n_confirmed.
 
-    component_id: the smallest identifier among images connected by links; n_links: links that were confirmed with
+    component_id: the smallest identifier among images connected by links; n_confirmed: links that were confirmed with
     the row's class, enough to connect its component (pairs that are connected already are not compared).
     """
     shown = staged(_described(media, id_col, media_col), "image-corners")
     classes = cut(shown.filter("_pixels is not null and _id is not null").groupBy("_pixels").agg(F.min("_id").alias("_rep")))
-    own = shown.join(classes, (shown["_pixels"] == classes["_pixels"]) & (F.col("_id") == F.col("_rep"))).select("_id", "_n", "_corners").dropDuplicates(["_id"])
+    own = shown.join(classes, (shown["_pixels"] == classes["_pixels"]) & (F.col("_id") == F.col("_rep"))).select("_id", "_n", "_corners", "_sketch").dropDuplicates(["_id"])
     own = staged(own.filter("_n > 0"), "image-classes")
-    members = staged(_members(own), "image-members")
-    popular = cut(popularity(members))
-    load = own.select("_id", F.lit(None).cast("binary").alias("_load"), F.col("_corners").alias("_more"))
-    labels, links = connect(members, popular, load, lambda pairs: _alike(pairs, own, inliers), lambda _, left, right: possible_pairs(left, right, inliers))
+    check = lambda pairs: _alike(pairs, own, inliers)
+
+    def joined(links: DataFrame | None, more: DataFrame) -> DataFrame | None:
+        more = cut(more)
+        return links if more.isEmpty() else more if links is None else links.unionByName(more)
+
+    sketched = own.select("_id", F.explode("_sketch").alias("_bucket")).withColumn("_pop", F.xxhash64("_id"))
+    links = joined(None, check(cut(stars(sketched))))
+    labels = labelled(own, links)
+    pairs, members = _met(own.join(labels, F.col("_id") == F.col("_node")).select("_id", "_label", "_corners"))
+    links = joined(links, check(cut(pairs)))
+    members = cut(members)
+    if not members.isEmpty():
+        members = cut(shared_buckets(members))
+        popular = cut(popularity(members).withColumn("_class", F.lit(0)))
+        load = own.select("_id", F.lit(None).cast("binary").alias("_load"), F.col("_corners").alias("_more"))
+        links = connect(members, popular, load, check, lambda _, left, right: possible_pairs(left, right, inliers), links)[1]
     known = classes.withColumn("_component", F.col("_rep")).withColumn("_links", F.lit(0).cast("bigint"))
     if links is not None:
         ends = links.select(F.col("_a").alias("_end")).union(links.select(F.col("_b").alias("_end"))).groupBy("_end").agg(F.count(F.lit(1)).alias("_links"))
-        found = labels.join(ends, F.col("_node") == F.col("_end"), "left").select("_node", "_label", F.coalesce("_links", F.lit(0)).alias("_links"))
+        found = labelled(own, links).join(ends, F.col("_node") == F.col("_end"), "left").select("_node", "_label", F.coalesce("_links", F.lit(0)).alias("_links"))
         known = classes.join(found, F.col("_rep") == F.col("_node"), "left").select(
             "_pixels", "_rep", F.coalesce("_label", "_rep").alias("_component"), F.coalesce("_links", F.lit(0)).cast("bigint").alias("_links")
         )
     out = shown.join(known, "_pixels", "left")
     mine = lambda c: F.when(F.col("_id").isNotNull(), F.coalesce(c, "_id"))
     return out.select(
-        F.col("_id").alias(id_col), F.col("_n").alias("n_corners"), mine("_rep").alias("class_id"), mine("_component").alias("component_id"), F.coalesce("_links", F.lit(0)).alias("n_links")
+        F.col("_id").alias(id_col), F.col("_n").alias("n_corners"), mine("_rep").alias("class_id"), mine("_component").alias("component_id"), F.coalesce("_links", F.lit(0)).alias("n_confirmed")
     )
 
 

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from .common import cut
 
-#: Records of a bucket that are compared with as many others at a time.
-BLOCK = 64
+#: Records of a bucket that are compared with as many others at a time, and blocks on each side of a cell: what one
+#: task compares without a break. A group of any size is dealt out over cells of this size.
+BLOCK, CELL = 64, 16
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -57,9 +58,18 @@ def popularity(members: DataFrame) -> DataFrame:
     return members.groupBy("_id").agg(F.sum(F.col("_many") - 1).alias("_pop"))
 
 
-def _labelled(popular: DataFrame, links: DataFrame) -> DataFrame:
+def labelled(nodes: DataFrame, links: DataFrame | None) -> DataFrame:
+    """_node, _label of all nodes (_id): the smallest node that links connect them with, or the node itself."""
+    if links is None:
+        return nodes.select(F.col("_id").alias("_node"), F.col("_id").alias("_label"))
     known = components(links)
-    return popular.select("_id").join(known, F.col("_id") == F.col("_node"), "left").select(F.col("_id").alias("_node"), F.coalesce("_label", "_id").alias("_label"))
+    return nodes.select("_id").join(known, F.col("_id") == F.col("_node"), "left").select(F.col("_id").alias("_node"), F.coalesce("_label", "_id").alias("_label"))
+
+
+def stars(members: DataFrame) -> DataFrame:
+    """The distinct pairs (_a, _b) of each bucket's hub and its others. members: _bucket, _id and, to choose the hub, _pop."""
+    hubs = members.groupBy("_bucket").agg(F.max(F.struct("_pop", "_id"))["_id"].alias("_hub"))
+    return members.join(hubs, "_bucket").filter("_id <> _hub").select(F.least("_id", "_hub").alias("_a"), F.greatest("_id", "_hub").alias("_b")).distinct()
 
 
 def connect(
@@ -68,65 +78,89 @@ def connect(
     payload: DataFrame,
     check: Callable[[DataFrame], DataFrame],
     possible: Callable[[int, list, list], list[tuple]],
+    links: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
     """Labels (_node, _label) of the popular records, and the links (_a, _b) found, None if there are none.
 
-    members: _bucket (long), _id. payload: _id and the binary columns _load and _more.
+    members: _bucket (long), _id. popular: _id, _pop and _class, where records whose classes differ by more than 1 are
+    never linked. payload: _id and the binary columns _load and _more. links: those that are known already.
     check: keeps those of the pairs (_a, _b) that are links.
     possible: of (bucket, records, records), records being (id, label, load, more), the pairs with different labels that
     may be links; in buckets of at most BLOCK records, whose pairs are few, more is null, in larger ones the bucket is.
 
     First every bucket's most popular record is compared with the bucket's others, which connects nearly all of
     a group of copies at one pair a record. Then, in buckets whose records are not all connected, the pairs between
-    components are examined: blocks of records that are not of the bucket's largest component meet all blocks. Large
-    buckets with the same largest component are taken together, since they hold much the same records. So every pair
-    that could join two components is compared, without a row for each pair of a bucket.
+    components are examined: blocks of records that are not of the bucket's largest component meet all blocks of
+    classes near theirs. Large buckets with the same largest component are taken together, since they hold much the
+    same records; their blocks are dealt out over cells. So every pair that could join two components is compared,
+    without a row for each pair of a bucket.
     """
-    members = members.join(popular, "_id").select("_bucket", "_id", "_pop")
-    hubs = members.groupBy("_bucket").agg(F.max(F.struct("_pop", "_id"))["_id"].alias("_hub"))
-    stars = members.join(hubs, "_bucket").filter("_id <> _hub").select(F.least("_id", "_hub").alias("_a"), F.greatest("_id", "_hub").alias("_b")).distinct()
-    links = cut(check(cut(stars)))
-    labels = popular.select(F.col("_id").alias("_node"), F.col("_id").alias("_label"))
-    found = not links.isEmpty()
-    if found:
-        labels = _labelled(popular, links)
+    members = members.join(popular, "_id").select("_bucket", "_id", "_pop", "_class")
+    first = cut(check(cut(stars(members))))
+    if not first.isEmpty():
+        links = first if links is None else links.unionByName(first)
+    labels = labelled(popular, links)
     open_ = cut(_unconnected(members, labels))
     if not open_.isEmpty():
-        more = cut(check(cut(_met(_blocks(open_, payload), possible).distinct())))
+        more = cut(check(cut(_met(_blocks(open_, payload), _widths(open_), possible).distinct())))
         if not more.isEmpty():
-            links, found = links.unionByName(more), True
-            labels = _labelled(popular, links)
-    return labels, links if found else None
+            links = more if links is None else links.unionByName(more)
+            labels = labelled(popular, links)
+    return labels, links
 
 
 def _unconnected(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """The members of buckets with several components: _group, _bucket (null in large ones), _id, _label, _most (the largest component's label), _many (records of the group)."""
-    now = members.join(labels, F.col("_id") == F.col("_node")).select("_bucket", "_id", "_label")
+    """The members of buckets with several components: _group, _bucket (null in large ones), _id, _class, _label, _most (the largest component's label), _many (records of the group and class)."""
+    now = members.join(labels, F.col("_id") == F.col("_node")).select("_bucket", "_id", "_class", "_label")
     parts = now.groupBy("_bucket", "_label").agg(F.count(F.lit(1)).alias("_part"))
     largest = parts.groupBy("_bucket").agg(F.max(F.struct("_part", "_label"))["_label"].alias("_most"), F.sum("_part").alias("_many"), F.count(F.lit(1)).alias("_parts"))
     now = cut(now.join(largest.filter("_parts > 1").drop("_parts"), "_bucket"))
-    small = now.filter(F.col("_many") <= BLOCK).select(F.col("_bucket").alias("_group"), "_bucket", "_id", "_label", "_most", "_many")
-    large = now.filter(F.col("_many") > BLOCK).select("_id", "_label", "_most").distinct()
-    counts = large.groupBy("_most").agg(F.count(F.lit(1)).alias("_many"))
-    large = large.join(counts, "_most").select(F.xxhash64("_most").alias("_group"), F.lit(None).cast("bigint").alias("_bucket"), "_id", "_label", "_most", "_many")
+    small = now.filter(F.col("_many") <= BLOCK).select(F.col("_bucket").alias("_group"), "_bucket", "_id", F.lit(0).alias("_class"), "_label", "_most", "_many")
+    large = now.filter(F.col("_many") > BLOCK).select("_id", "_class", "_label", "_most").distinct()
+    counts = large.groupBy("_most", "_class").agg(F.count(F.lit(1)).alias("_many"))
+    large = large.join(counts, ["_most", "_class"]).select(F.xxhash64("_most").alias("_group"), F.lit(None).cast("bigint").alias("_bucket"), "_id", "_class", "_label", "_most", "_many")
     return small.unionByName(large)
 
 
 def _blocks(now: DataFrame, payload: DataFrame) -> DataFrame:
-    """_group, _bucket, _other (not of the largest component), _block, _records: about BLOCK records."""
-    block = F.pmod(F.xxhash64("_id"), F.ceil(F.col("_many") / BLOCK)).alias("_block")
+    """_group, _bucket, _class, _other (not of the largest component), _block, _records: about BLOCK records."""
+    blocks = F.ceil(F.col("_many") / BLOCK).cast("int")
     more = F.when(F.col("_bucket").isNull(), F.col("_more")).alias("_more")
     record = F.struct("_id", "_label", "_load", more).alias("_record")
-    loaded = now.join(payload, "_id").select("_group", "_bucket", (F.col("_label") != F.col("_most")).alias("_other"), block, record)
-    return loaded.groupBy("_group", "_bucket", "_other", "_block").agg(F.collect_list("_record").alias("_records"))
+    loaded = now.join(payload, "_id").select(
+        "_group", "_bucket", "_class", (F.col("_label") != F.col("_most")).alias("_other"), F.pmod(F.xxhash64("_id"), blocks).cast("int").alias("_block"), record
+    )
+    return loaded.groupBy("_group", "_bucket", "_class", "_other", "_block").agg(F.collect_list("_record").alias("_records"))
 
 
-def _met(blocks: DataFrame, possible: Callable[[int, list, list], list[tuple]]) -> DataFrame:
-    """The possible pairs (_a, _b) between blocks."""
+def _widths(now: DataFrame) -> DataFrame:
+    """_g, _o, _c, _wide: the number of blocks of a group's (or small bucket's) class."""
+    return now.select(F.col("_group").alias("_g"), F.col("_bucket").alias("_o"), F.col("_class").alias("_c"), F.ceil(F.col("_many") / BLOCK).cast("int").alias("_wide")).distinct()
+
+
+def _met(blocks: DataFrame, widths: DataFrame, possible: Callable[[int, list, list], list[tuple]]) -> DataFrame:
+    """The possible pairs (_a, _b) between blocks.
+
+    A block of one side goes to every cell of the other side's blocks, so that a group of n blocks becomes
+    (n / CELL)^2 keys, none of which holds more than CELL^2 pairs of blocks of each kind.
+    """
     kind = blocks.schema["_records"].dataType.elementType["_id"].dataType.simpleString()
-    left = blocks.filter("_other").select("_group", F.col("_bucket").alias("_of"), F.col("_block").alias("_lb"), F.col("_records").alias("_left"))
-    together = F.col("_of").eqNullSafe(F.col("_bucket")) & (~F.col("_other") | (F.col("_lb") <= F.col("_block")))
-    pairs = left.join(blocks, "_group").filter(together).select("_bucket", "_left", "_records")
+    near = F.array(F.col("_class") - 1, F.col("_class"), F.col("_class") + 1)
+    cells = F.explode(F.sequence(F.lit(0), ((F.col("_wide") - 1) / CELL).cast("int")))
+    at = (F.col("_block") / CELL).cast("int")
+
+    def dealt(side: DataFrame, towards: str) -> DataFrame:
+        """side, once for each cell of blocks of the class in the column `towards`."""
+        same = (F.col("_group") == F.col("_g")) & F.col("_bucket").eqNullSafe(F.col("_o")) & (F.col(towards) == F.col("_c"))
+        return side.join(widths, same).select(*side.columns, cells.alias("_cell"))
+
+    others = blocks.filter("_other").select("_group", F.col("_bucket").alias("_of"), "_class", F.col("_block").alias("_lb"), F.col("_records").alias("_left"), F.explode(near).alias("_to"), at.alias("_row"))
+    left = dealt(others.withColumn("_bucket", F.col("_of")), "_to").select("_group", "_of", F.col("_class").alias("_from"), "_to", "_lb", "_left", "_row", F.col("_cell").alias("_col"))
+    toward = blocks.select("_group", "_bucket", F.col("_class").alias("_to"), "_other", "_block", "_records", F.explode(near).alias("_from"), at.alias("_col"))
+    right = dealt(toward, "_from").withColumnRenamed("_cell", "_row")
+    # two blocks of others meet once: in the lower class, or lower number of one class, first
+    once = ~F.col("_other") | (F.struct("_from", "_lb") <= F.struct("_to", "_block"))
+    pairs = left.join(right, ["_group", "_from", "_to", "_row", "_col"]).filter(F.col("_of").eqNullSafe(F.col("_bucket")) & once).select("_bucket", "_left", "_records")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -21,13 +21,15 @@ a shingle has is one shingle of all its words.
 Defined results
 * null or empty text, or white space: an empty set, linked with nothing.
 * null identifiers: never linked, component null, kept. Repeated rows: equal
-  sets are linked whatever their identifiers; rows with one identifier are one.
+  sets are linked whatever their identifiers; rows with one identifier are one
+  document, of which keep_first() keeps one row.
 * very long texts: whole. Empty table: empty result. Other columns are ignored
   by near_dedup() and returned untouched by keep_first().
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, staged
+from .common import cut, one_of_each, staged
 from .linking import connect, popularity, shared_buckets
 
 SHINGLE, BANDS, ROWS = 5, 52, 6
@@ -203,7 +205,9 @@ def _connected(signed: DataFrame, docs: DataFrame, id_col: str, text_col: str, s
     values = lambda b: F.substring(F.col("_sig"), b * (2 * ROWS) + 1, F.lit(2 * ROWS))
     bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(values(b), b).bitwiseAND(F.lit(~BAND_MASK)).bitwiseOR(b.cast("bigint")))
     members = staged(shared_buckets(signed.select("_id", F.explode(bands).alias("_bucket"))), "near-members")
-    popular = cut(popularity(members))
+    width = math.log(100 / share) * (1 + 1e-9) if share < 100 else 1e-9
+    of_size = F.floor(F.log(F.col("_n").cast("double")) / F.lit(width)).cast("int").alias("_class")  # links differ by 1 at most
+    popular = cut(popularity(members).join(signed.select("_id", of_size), "_id"))
     if popular.isEmpty():
         return None
     full = staged(_full_sets(docs, popular.select("_id"), id_col, text_col), "near-sets")
@@ -234,6 +238,8 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that stay, one of each component, with all their columns; identifiers are taken to be unique."""
-    gone = near_dedup(docs, id_col, text_col).filter("not kept").select(F.col(id_col).alias("_gone"))
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]), "left_anti")
+    """The rows of docs that stay, one of each component, with all their columns."""
+    gone = near_dedup(docs, id_col, text_col).filter("not kept").select(F.col(id_col).alias("_gone")).distinct()
+    rest = docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]), "left_anti")
+    unnamed = rest.filter(F.col(id_col).isNull())  # no identifier, no component: all stay
+    return one_of_each(rest.filter(F.col(id_col).isNotNull()), [id_col]).unionByName(unnamed)
