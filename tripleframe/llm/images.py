@@ -65,6 +65,8 @@ PIXELS = 1 << 27
 
 #: Hamming tables that are filled at a time: their entries are what takes disk.
 AT_ONCE = 2
+#: Images that a worker describes or takes apart before it hands them on.
+PORTION = 256
 #: Entries of one bucket that a worker holds; of larger ones all images go to linking's blocks.
 HELD = 200_000
 
@@ -328,11 +330,17 @@ def sketch(bits: np.ndarray) -> np.ndarray:
     return (low >> np.uint64(5) | np.arange(SKETCHES, dtype=np.uint64) << np.uint64(59)).astype(np.int64)
 
 
+def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for k in range(0, len(batch), PORTION):
+            yield batch.slice(k, PORTION)
+
+
 def _described(media: DataFrame, id_col: str, media_col: str) -> DataFrame:
     kind = media.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _portions(batches):
             pixels, corners, sketches = [], [], []
             for value in batch.column(1):
                 image = decode(value.as_py())
@@ -358,7 +366,7 @@ def _entries(own: DataFrame, numbers: list[int]) -> DataFrame:
     kind = own.schema["_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _portions(batches):
             each = [_corner_array(v.as_py())["bits"] for v in batch.column(2)]
             where = pa.array(np.repeat(np.arange(len(each)), [len(x) for x in each]))
             bits = np.ascontiguousarray(np.concatenate(each)) if each else np.empty((0, TESTS // 8), np.uint8)
