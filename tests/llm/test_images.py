@@ -175,9 +175,17 @@ def test_crowded_entries_go_to_blocks(spark, monkeypatch):
     logo = rng.integers(0, 2**63, (1, 4), dtype=np.uint64)
     words = np.concatenate([np.repeat(logo, 300, axis=0), rng.integers(0, 2**63, (5, 4), dtype=np.uint64)])
     votes, crowds = images.entry_votes(np.zeros(305, np.int64), np.arange(305), words)
-    assert not votes and [len(own) for _, own in crowds] == [300]
+    assert not sum(len(v[0]) for v in votes) and [len(own) for _, own in crowds] == [300]
     votes, crowds = images.entry_votes(np.zeros(305, np.int64), np.zeros(305, np.int64), words)
     assert not sum(len(v[0]) for v in votes) and not crowds
+    labels = np.array([0] * 280 + list(range(1, 26)))  # most are connected: the others are compared with them
+    votes, crowds = images.entry_votes(np.zeros(305, np.int64), labels, words)
+    assert not sum(len(v[0]) for v in votes) and len(crowds[0][1]) == 300
+    some = rng.integers(0, 2**63, (200, 4), dtype=np.uint64)
+    some[100:] = some[:100] ^ np.uint64(5)
+    votes, crowds = images.entry_votes(np.repeat([3, 9], 100), np.arange(200) % 150, np.concatenate([some[:50], some[100:150], some[50:100], some[150:]]))
+    pairs = {(min(i, j), max(i, j)) for v in votes for i, j in zip(*map(list, v[:2]))}
+    assert not crowds and pairs == {(min(i, i + 50), i + 50) for base in (0, 100) for i in range(base, base + 50)}
     monkeypatch.setattr(images.linking, "BLOCK", 4)
     rows = [(i, pgm(grey(photo(i % 6)) if i < 6 else noisy(grey(photo(i % 6)), i, 3))) for i in range(36)]
     out = images.image_copies(spark.createDataFrame(rows, "media_id bigint, media binary"), "media_id", "media").collect()

@@ -14,9 +14,9 @@
    copies. Then all entries are filled in, and descriptors of an entry that belong
    to images that are not connected yet are compared: images are candidates
    if they have one pair of descriptors there that differ in at most NEAR bits, or
-   two pairs in at most HINT. Where more than linking.BLOCK alike descriptors of
-   several components meet (a logo), pairs are not listed: the images' blocks are
-   compared (see linking).
+   two pairs in at most HINT. Where a descriptor has more than linking.BLOCK such
+   counterparts (a logo), pairs are not listed: the images' blocks are compared
+   (see linking).
 4. A candidate pair is linked by geometric consensus: a similarity transform
    must map enough corners of one image onto alike corners of the other.
 
@@ -52,10 +52,11 @@ from . import linking
 from .common import cut, staged
 from .linking import connect, labelled, popularity, shared_buckets, stars
 
-#: Ratio of the pyramid's scales, pixels between corners, radius of a patch, tests, turns that a patch may have.
-FACTOR, APART, RADIUS, TESTS, TURNS = 0.84, 4, 8, 256, 64
+#: Ratio of the pyramid's scales, pixels between corners, radius of a patch, tests, the extent of tests along the
+#: patch's orientation, and the turns that a patch may have.
+FACTOR, APART, RADIUS, TESTS, ACROSS, TURNS = 0.84, 4, 8, 256, 0.7, 64
 #: Hamming tables, bits of a key, and entries of an image in the first comparison.
-TABLES, KEY, SKETCHES = 10, 24, 16
+TABLES, KEY, SKETCHES = 12, 24, 16
 #: Bits in which descriptors may differ: for one pair to make a candidate, for two pairs, and for matching corners.
 NEAR, HINT, ALIKE = 20, 32, 40
 #: Pixels by which a mapped corner may miss, and corners that a link needs.
@@ -72,6 +73,8 @@ HELD = 200_000
 
 _random = np.random.default_rng(7)
 _POINTS = _random.normal(0, RADIUS / 2.2, (TESTS, 2, 2))
+# patches get brighter along their orientation: tests across it tell them apart, tests along it have the same result in most
+_POINTS[:, :, 0] = _POINTS[:, :, 0].mean(axis=1, keepdims=True) + ACROSS * (_POINTS[:, :, 0] - _POINTS[:, :, 0].mean(axis=1, keepdims=True))
 _POINTS *= np.minimum(1, (RADIUS - 0.5) / np.linalg.norm(_POINTS, axis=2))[:, :, None]  # turned points stay in the patch
 _PAIRS = _POINTS.reshape(TESTS, 4)
 _KIND = np.dtype([("x", "f4"), ("y", "f4"), ("scale", "f4"), ("angle", "f4"), ("bits", "u1", 32)])
@@ -379,23 +382,6 @@ def _entries(own: DataFrame, numbers: list[int]) -> DataFrame:
     return own.select("_id", F.xxhash64("_label").alias("_label"), "_corners").mapInArrow(run, schema)
 
 
-def alike_groups(words: np.ndarray) -> np.ndarray:
-    """For each descriptor the number of its group: those that chains of descriptors, each within HINT bits, connect."""
-    distinct, back = np.unique(words, axis=0, return_inverse=True)
-    group, left, n = np.full(len(distinct), -1), np.arange(len(distinct)), 0
-    while len(left):
-        todo, left = [left[0]], left[1:]
-        while todo:
-            one = todo.pop()
-            group[one] = n
-            if len(left):
-                near = np.bitwise_count(distinct[left] ^ distinct[one]).sum(axis=1) <= HINT
-                todo.extend(left[near])
-                left = left[~near]
-        n += 1
-    return group[back.ravel()]
-
-
 def _runs(buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of runs of equal values."""
     starts = np.flatnonzero(np.concatenate([[True], buckets[1:] != buckets[:-1]])) if len(buckets) else np.empty(0, np.intp)
@@ -403,7 +389,7 @@ def _runs(buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def entry_votes(buckets: np.ndarray, labels: np.ndarray, words: np.ndarray) -> tuple[list[tuple[np.ndarray, np.ndarray, np.ndarray]], list[tuple[int, np.ndarray]]]:
-    """Of whole buckets, sorted: (places, places, bits that differ) of alike descriptors with different labels, and (name, places) of groups too large for that."""
+    """Of whole buckets, sorted: (places, places, bits that differ) of alike descriptors with different labels, and (bucket, places) of those with too many counterparts, these included."""
     starts, ends = _runs(buckets)
     if not len(starts):
         return [], []
@@ -420,19 +406,31 @@ def entry_votes(buckets: np.ndarray, labels: np.ndarray, words: np.ndarray) -> t
             break
         votes.append(_compared(i[held], j[held], labels, words))
     for start, end in zip(starts[mixed & ~few], ends[mixed & ~few], strict=True):
-        groups = alike_groups(words[start:end])
-        for g in np.flatnonzero(np.bincount(groups) > 1):
-            own = start + np.flatnonzero(groups == g)
-            if (labels[own] == labels[own[0]]).all():
-                continue
-            if len(own) <= linking.BLOCK:
-                i, j = np.triu_indices(len(own), 1)
-                votes.append(_compared(own[i], own[j], labels, words))
-            else:
-                crowds.append((xxhash.xxh3_64_intdigest(words[own].min(axis=0).tobytes() + buckets[start].tobytes()) - (1 << 63), own))
+        i, j, bits = _all_alike(labels[start:end], words[start:end])
+        many = np.bincount(np.concatenate([i, j]), minlength=end - start) > linking.BLOCK
+        crowd = many[i] | many[j]
+        votes.append((start + i[~crowd], start + j[~crowd], bits[~crowd]))
+        if crowd.any():
+            crowds.append((int(buckets[start]), start + np.unique(np.concatenate([i[crowd], j[crowd]]))))
     return votes, crowds
 
 
+def _all_alike(labels: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The alike pairs of a bucket with different labels: those that are not of the commonest label against all."""
+    names, which, counts = np.unique(labels, return_inverse=True, return_counts=True)
+    left = np.flatnonzero(which != counts.argmax())
+    out = [np.empty((3, 0), np.intp)]
+    for k in range(0, len(left), step := max(1, (1 << 20) // len(labels))):
+        i = left[k : k + step]
+        bits = np.bitwise_count(words[i][:, None, :] ^ words[None, :, :]).sum(axis=2, dtype=np.int32)
+        # both of two that are not of the commonest label see each other: the first counts
+        seen = (bits <= HINT) & (which[i][:, None] != which[None, :]) & ((which == counts.argmax())[None, :] | (i[:, None] < np.arange(len(labels))[None, :]))
+        x, y = np.nonzero(seen)
+        out.append(np.stack([i[x], y, bits[x, y]]))
+    i, j, bits = np.concatenate(out, axis=1)
+    return i, j, bits.astype(np.int32)
+
+
 def _compared(i: np.ndarray, j: np.ndarray, labels: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     apart = labels[i] != labels[j]
     i, j = i[apart], j[apart]
