@@ -8,8 +8,8 @@
    pixels, so that their number grows with the area, whatever is shown. Each gets
    an orientation (its patch's centroid of brightness) and 256 binary brightness
    tests turned by it. Brightness and contrast edits leave the tests as they are.
-3. A descriptor enters TABLES Hamming tables, keyed by KEY of its bits. SKETCHES of
-   an image's entries, those of smallest hash, bring together images that share
+3. A descriptor enters TABLES Hamming tables, keyed by KEY of its bits. SKETCHES pairs
+   of an image's entries, those of smallest hash, bring together images that share
    many: each is compared with one other, which connects nearly all of a group of
    copies. Then all entries are filled in, and descriptors of an entry that belong
    to images that are not connected yet are compared: images are candidates
@@ -68,6 +68,8 @@ PIXELS = 1 << 27
 AT_ONCE = 2
 #: Images that a worker describes or takes apart before it hands them on.
 PORTION = 256
+#: Pixels of images that are described together.
+TOGETHER = 1 << 20
 #: Entries of one bucket that a worker holds; of larger ones all images go to linking's blocks.
 HELD = 200_000
 
@@ -90,6 +92,9 @@ def _turned(step: int) -> np.ndarray:
 
 
 _TURNS = np.stack([_turned(step) for step in range(TURNS)])
+#: The tests' two places in a flattened patch, for each turn, and the weights of its brightness about its middle.
+_PLACES = np.stack([(_TURNS[:, 1] + RADIUS) * (2 * RADIUS + 1) + _TURNS[:, 0] + RADIUS, (_TURNS[:, 3] + RADIUS) * (2 * RADIUS + 1) + _TURNS[:, 2] + RADIUS], axis=1)
+_MOMENTS = np.stack([(_X * _DISK).ravel(), (_Y * _DISK).ravel()], axis=1).astype(np.float32)
 
 
 def decode(media: bytes | None) -> np.ndarray | None:
@@ -196,64 +201,85 @@ def _unfiltered(kind: int, row: np.ndarray, before: bytes, step: int) -> bytes:
 
 
 def _box(image: np.ndarray, radius: int) -> np.ndarray:
-    """Means over squares, edges repeated."""
-    size = 2 * radius + 1
-    sums = np.pad(image, radius + 1, mode="edge").astype(np.float64).cumsum(0).cumsum(1)[: image.shape[0] + size, : image.shape[1] + size]
-    return ((sums[size:, size:] - sums[:-size, size:] - sums[size:, :-size] + sums[:-size, :-size]) / size**2).astype(np.float32)
+    """Means over squares of the last two axes, edges repeated."""
+    out, size = image, 2 * radius + 1
+    for axis in (-2, -1):
+        pad = [(0, 0)] * (out.ndim + axis) + [(radius, radius)] + [(0, 0)] * (-1 - axis)
+        wide, n = np.pad(out, pad, mode="edge"), out.shape[axis]
+        cuts = [wide[(..., slice(k, k + n)) + (slice(None),) * (-1 - axis)] for k in range(size)]
+        out = functools.reduce(np.add, cuts)
+    return out * np.float32(1 / size**2)
 
 
 def _scaled(image: np.ndarray, scale: float) -> np.ndarray:
-    """Bilinear reduction."""
+    """Bilinear reduction of the last two axes."""
     if scale == 1:
         return image
-    h, w = (max(1, round(x * scale)) for x in image.shape)
+    h, w = (max(1, round(x * scale)) for x in image.shape[-2:])
     y, x = (np.arange(h) + 0.5) / scale - 0.5, (np.arange(w) + 0.5) / scale - 0.5
-    y, x = y.clip(0, image.shape[0] - 1), x.clip(0, image.shape[1] - 1)
-    y0, x0 = np.minimum(y.astype(int), max(0, image.shape[0] - 2)), np.minimum(x.astype(int), max(0, image.shape[1] - 2))
-    y1, x1 = np.minimum(y0 + 1, image.shape[0] - 1), np.minimum(x0 + 1, image.shape[1] - 1)
-    fy, fx = (y - y0)[:, None], (x - x0)[None, :]
-    return ((1 - fy) * ((1 - fx) * image[y0][:, x0] + fx * image[y0][:, x1]) + fy * ((1 - fx) * image[y1][:, x0] + fx * image[y1][:, x1])).astype(np.float32)
+    y, x = y.clip(0, image.shape[-2] - 1), x.clip(0, image.shape[-1] - 1)
+    y0, x0 = np.minimum(y.astype(int), max(0, image.shape[-2] - 2)), np.minimum(x.astype(int), max(0, image.shape[-1] - 2))
+    y1, x1 = np.minimum(y0 + 1, image.shape[-2] - 1), np.minimum(x0 + 1, image.shape[-1] - 1)
+    fy, fx = (y - y0).astype(np.float32)[:, None], (x - x0).astype(np.float32)[None, :]
+    low, high = image[..., y0, :], image[..., y1, :]
+    rows = low + fy * (high - low)
+    left, right = rows[..., x0], rows[..., x1]
+    return (left + fx * (right - left)).astype(np.float32)
 
 
 def _strongest(values: np.ndarray, radius: int) -> np.ndarray:
-    """The largest value within radius of each place, in either direction."""
-    for axis in (0, 1):
-        pad = [(radius, radius) if axis == k else (0, 0) for k in (0, 1)]
-        values = np.lib.stride_tricks.sliding_window_view(np.pad(values, pad, constant_values=-np.inf), 2 * radius + 1, axis).max(axis=-1)
+    """The largest value within radius of each place, in either direction; by windows of twice the size each time."""
+    size = 2 * radius + 1
+    for axis in (-2, -1):
+        pad = [(0, 0)] * (values.ndim + axis) + [(radius, radius)] + [(0, 0)] * (-1 - axis)
+        values, wide = np.pad(values, pad, constant_values=-np.inf), 1
+        while wide < size:
+            by = min(wide, size - wide)
+            tail = (slice(None),) * (-1 - axis)
+            values = np.maximum(values[(..., slice(0, -by), *tail)], values[(..., slice(by, None), *tail)])
+            wide += by
     return values
 
 
 def describe(image: np.ndarray | None) -> np.ndarray:
     """Corners as records: x, y, scale, angle, bits (32 bytes)."""
-    found, scale = [], 1.0
-    while image is not None:
-        level = _box(_scaled(image, scale), 1)
-        h, w = level.shape
+    return np.empty(0, _KIND) if image is None else describe_all(image[None])[0]
+
+
+def describe_all(images: np.ndarray) -> list[np.ndarray]:
+    """The corners of each of several images of one size."""
+    parts, scale = [], 1.0
+    while True:
+        level = _box(_scaled(images, scale), 1)
+        _, h, w = level.shape
         if min(h, w) < 2 * RADIUS + 3:
             break
-        gy, gx = np.gradient(level)
+        gy, gx = np.gradient(level, axis=(1, 2))
         a, b, c = _box(gx * gx, 2), _box(gy * gy, 2), _box(gx * gy, 2)
-        strength = a * b - c * c - 0.05 * (a + b) ** 2
-        inner, top = (x[RADIUS : h - RADIUS, RADIUS : w - RADIUS] for x in (strength, _strongest(strength, APART)))
-        ys, xs = np.nonzero((inner == top) & (inner > 1.0))
-        if len(ys):
-            found.append(_tested(level, ys + RADIUS, xs + RADIUS, scale))
+        strength = a * b - c * c - np.float32(0.05) * (a + b) ** 2
+        inner, top = (x[:, RADIUS : h - RADIUS, RADIUS : w - RADIUS] for x in (strength, _strongest(strength, APART)))
+        where, ys, xs = np.nonzero((inner == top) & (inner > 1.0))
+        parts.append((where, _tested(level, where, ys + RADIUS, xs + RADIUS, scale)))
         scale *= FACTOR
-    return np.concatenate(found) if found else np.empty(0, _KIND)
+    if not parts:
+        return [np.empty(0, _KIND)] * len(images)
+    where, found = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+    order = np.argsort(where, kind="stable")
+    return np.split(found[order], np.searchsorted(where[order], np.arange(1, len(images))))
 
 
-def _tested(level: np.ndarray, ys: np.ndarray, xs: np.ndarray, scale: float) -> np.ndarray:
+def _tested(level: np.ndarray, where: np.ndarray, ys: np.ndarray, xs: np.ndarray, scale: float) -> np.ndarray:
     """The corners at these places of a level, some thousand at a time."""
     out = np.empty(len(ys), _KIND)
-    for k in range(0, len(ys), 4096):
-        y, x = ys[k : k + 4096], xs[k : k + 4096]
-        patches = level[y[:, None, None] + _Y, x[:, None, None] + _X] * _DISK
-        patches = patches - (patches.sum(axis=(1, 2)) / _DISK.sum())[:, None, None] * _DISK
-        angle = np.arctan2((patches * _Y).sum(axis=(1, 2)), (patches * _X).sum(axis=(1, 2)))
+    for k in range(0, len(ys), 2048):
+        n, y, x = where[k : k + 2048], ys[k : k + 2048], xs[k : k + 2048]
+        patches = level[n[:, None, None], y[:, None, None] + _Y, x[:, None, None] + _X].reshape(len(n), -1)
+        moments = patches @ _MOMENTS
+        angle = np.arctan2(moments[:, 1], moments[:, 0])
         turn = np.rint(angle * TURNS / (2 * np.pi)).astype(int) % TURNS
-        ox, oy, px, py = _TURNS[turn].transpose(1, 0, 2)
-        bits = level[y[:, None] + oy, x[:, None] + ox] < level[y[:, None] + py, x[:, None] + px]
-        part = out[k : k + 4096]
+        first, second = (_PLACES[turn, side] for side in (0, 1))
+        bits = np.take_along_axis(patches, first, axis=1) < np.take_along_axis(patches, second, axis=1)
+        part = out[k : k + 2048]
         part["x"], part["y"], part["scale"], part["angle"] = (x + 0.5) / scale, (y + 0.5) / scale, scale, angle
         part["bits"] = np.packbits(bits, axis=1)
     return out
@@ -313,7 +339,7 @@ def consensus(a: np.ndarray, b: np.ndarray, enough: int | None = None) -> int:
 
 
 _BITS = [np.random.default_rng(1000 + number).permutation(TESTS)[:KEY] for number in range(TABLES)]
-_SEEDS = np.random.default_rng(11).integers(1, 1 << 63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SEEDS = np.random.default_rng(11).integers(1, 1 << 63, 2 * SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def table_keys(bits: np.ndarray, number: int) -> np.ndarray:
@@ -324,12 +350,13 @@ def table_keys(bits: np.ndarray, number: int) -> np.ndarray:
 
 
 def sketch(bits: np.ndarray) -> np.ndarray:
-    """For each of SKETCHES hashes the smallest over the entries of an image's descriptors, with the hash's number."""
+    """For each of SKETCHES pairs of hashes the smallest two over the entries of an image's descriptors, with the pair's number."""
     if not len(bits):
         return np.empty(0, np.int64)
     keys = np.concatenate([table_keys(bits, number) for number in range(TABLES)]).astype(np.uint64)
     mixed = (keys ^ keys >> np.uint64(17)) * np.uint64(0x9E3779B97F4A7C15)
     low = ((mixed ^ mixed >> np.uint64(29))[:, None] * _SEEDS[None, :]).min(axis=0)
+    low = (low[::2] ^ low[1::2] >> np.uint64(9)) * np.uint64(0x9E3779B97F4A7C15)
     return (low >> np.uint64(5) | np.arange(SKETCHES, dtype=np.uint64) << np.uint64(59)).astype(np.int64)
 
 
@@ -339,16 +366,28 @@ def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(k, PORTION)
 
 
+def _corners_of(media: list[bytes | None]) -> Iterator[tuple[np.ndarray | None, np.ndarray]]:
+    """Pixels and corners of each; runs of images of one size go together, up to some million pixels."""
+    same: list[np.ndarray] = []
+    for image in itertools.chain(map(decode, media), [...]):
+        if same and (image is None or image is ... or image.shape != same[0].shape or (len(same) + 1) * image.size > TOGETHER):
+            yield from zip(same, describe_all(np.stack(same)), strict=True)
+            same = []
+        if image is None:
+            yield None, np.empty(0, _KIND)
+        elif image is not ...:
+            same.append(image)
+
+
 def _described(media: DataFrame, id_col: str, media_col: str) -> DataFrame:
     kind = media.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _portions(batches):
+            media = batch.column(1).to_pylist()
             pixels, corners, sketches = [], [], []
-            for value in batch.column(1):
-                image = decode(value.as_py())
-                found = describe(image)
-                said = b"raw" + (value.as_py() or b"") if image is None else str(image.shape).encode() + image.tobytes()
+            for value, (image, found) in zip(media, _corners_of(media), strict=True):
+                said = b"raw" + (value or b"") if image is None else str(image.shape).encode() + image.tobytes()
                 pixels.append(None if said == b"raw" else xxhash.xxh3_128_digest(said))
                 corners.append(found.tobytes())
                 sketches.append(sketch(found["bits"]))
