@@ -70,6 +70,8 @@ AT_ONCE = 2
 PORTION = 256
 #: Pixels of images that are described together.
 TOGETHER = 1 << 20
+#: Identifiers at most that are broadcast.
+FEW = 1 << 20
 #: Entries of one bucket that a worker holds; of larger ones all images go to linking's blocks.
 HELD = 200_000
 
@@ -526,14 +528,27 @@ def _crowd(name: int, ids: pa.Array, names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), name, np.int64)), ids, *none], names)
 
 
+def _with_labels(own: DataFrame, labels: DataFrame) -> DataFrame:
+    """_id, _label, _corners."""
+    moved = cut(labels.filter("_node <> _label"))
+    few = moved.count() <= FEW
+    out = own.join(F.broadcast(moved) if few else moved, F.col("_id") == F.col("_node"), "left").select("_id", F.coalesce("_label", "_id").alias("_label"), "_corners")
+    return out if few else staged(out, "image-labelled")
+
+
+def _released(df: DataFrame) -> None:
+    """Spark deletes a shuffle's files once nothing refers to it, here and in the JVM."""
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
 def _met(own: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The candidate pairs (_a, _b) between components, and the members (_bucket, _id) of crowded buckets, from all tables."""
     parts = []
+    _released(own)
     for k in range(0, TABLES, AT_ONCE):
         parts.append(staged(_votes(_entries(own, list(range(k, min(k + AT_ONCE, TABLES))))), "image-votes"))
-        # Spark deletes a shuffle's files once nothing refers to it, here and in the JVM
-        gc.collect()
-        own.sparkSession.sparkContext._jvm.System.gc()
+        _released(own)
     met = functools.reduce(DataFrame.unionByName, parts)
     ends = [F.struct(F.col(i).alias("id"), F.col(d).alias("d")) for i, d in (("_a", "_x"), ("_b", "_y"))]
     votes = met.filter("_bucket is null").select(F.least(*ends).alias("_p"), F.greatest(*ends).alias("_q"), "_bits")
@@ -561,6 +576,9 @@ def possible_pairs(left: list, right: list, inliers: int) -> list[tuple]:
 def _alike(pairs: DataFrame, own: DataFrame, inliers: int) -> DataFrame:
     """The pairs with geometric consensus."""
     kind = own.schema["_id"].dataType.simpleString()
+    ends = cut(pairs.select(F.col("_a").alias("_id")).union(pairs.select(F.col("_b").alias("_id"))).distinct())
+    if ends.count() <= FEW:  # the corners of other images stay where they are
+        own = own.join(F.broadcast(ends), "_id", "left_semi")
     sides = [own.select(F.col("_id").alias(i), F.col("_corners").alias(c)) for i, c in (("_a", "_ca"), ("_b", "_cb"))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -572,6 +590,20 @@ def _alike(pairs: DataFrame, own: DataFrame, inliers: int) -> DataFrame:
     return both.mapInArrow(run, f"_a {kind}, _b {kind}")
 
 
+def _representatives(shown: DataFrame, classes: DataFrame) -> DataFrame:
+    """_id, _corners, _sketch of the classes' representatives with corners."""
+    known = shown.filter("_n > 0 and _id is not null")
+    narrow = known.select("_id", "_pixels").join(classes, "_pixels")
+    # all rows of an identifier but one are left out: it may repeat, and have several pictures
+    others = cut(narrow.groupBy("_id").agg(F.min(F.when(F.col("_id") == F.col("_rep"), F.col("_pixels"))).alias("_first"), F.count(F.lit(1)).alias("_times")).filter("_first is null or _times > 1"))
+    if others.count() <= FEW:  # the corners stay where they are
+        found = known.join(F.broadcast(others), "_id", "left").filter("_times is null or _pixels = _first")
+        once = known.join(F.broadcast(others.select("_id")), "_id", "left_anti")
+        return once.select("_id", "_corners", "_sketch").unionByName(found.filter("_times is not null").dropDuplicates(["_id"]).select("_id", "_corners", "_sketch"))
+    found = known.join(others, "_id", "left").filter("_times is null or _pixels = _first").dropDuplicates(["_id"])
+    return staged(found.select("_id", "_corners", "_sketch"), "image-classes")
+
+
 def image_copies(media: DataFrame, id_col: str, media_col: str, inliers: int = INLIERS) -> DataFrame:
     """One row per input row: id_col, n_corners, class_id (smallest identifier of equal pixels), component_id, n_confirmed.
 
@@ -580,8 +612,7 @@ def image_copies(media: DataFrame, id_col: str, media_col: str, inliers: int = I
     """
     shown = staged(_described(media, id_col, media_col), "image-corners")
     classes = cut(shown.filter("_pixels is not null and _id is not null").groupBy("_pixels").agg(F.min("_id").alias("_rep")))
-    own = shown.join(classes, (shown["_pixels"] == classes["_pixels"]) & (F.col("_id") == F.col("_rep"))).select("_id", "_n", "_corners", "_sketch").dropDuplicates(["_id"])
-    own = staged(own.filter("_n > 0"), "image-classes")
+    own = _representatives(shown, classes)
     check = lambda pairs: _alike(pairs, own, inliers)
 
     def joined(links: DataFrame | None, more: DataFrame) -> DataFrame | None:
@@ -591,7 +622,7 @@ def image_copies(media: DataFrame, id_col: str, media_col: str, inliers: int = I
     sketched = own.select("_id", F.explode("_sketch").alias("_bucket")).withColumn("_pop", F.xxhash64("_id"))
     links = joined(None, check(cut(stars(sketched))))
     labels = labelled(own, links)
-    pairs, members = _met(own.join(labels, F.col("_id") == F.col("_node")).select("_id", "_label", "_corners"))
+    pairs, members = _met(_with_labels(own, labels))
     links = joined(links, check(cut(pairs)))
     members = cut(members)
     if not members.isEmpty():
