@@ -458,12 +458,13 @@ def entry_votes(buckets: np.ndarray, labels: np.ndarray, words: np.ndarray) -> t
 
 def _all_alike(labels: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The alike pairs of a bucket with different labels: those that are not of the commonest label against all."""
-    names, which, counts = np.unique(labels, return_inverse=True, return_counts=True)
+    _, which, counts = np.unique(labels, return_inverse=True, return_counts=True)
+    words = np.asfortranarray(words)
     left = np.flatnonzero(which != counts.argmax())
     out = [np.empty((3, 0), np.intp)]
     for k in range(0, len(left), step := max(1, (1 << 20) // len(labels))):
         i = left[k : k + step]
-        bits = np.bitwise_count(words[i][:, None, :] ^ words[None, :, :]).sum(axis=2, dtype=np.int32)
+        bits = functools.reduce(np.add, [np.bitwise_count(words[i, w][:, None] ^ words[None, :, w]).astype(np.uint16) for w in range(words.shape[1])])
         # both of two that are not of the commonest label see each other: the first counts
         seen = (bits <= HINT) & (which[i][:, None] != which[None, :]) & ((which == counts.argmax())[None, :] | (i[:, None] < np.arange(len(labels))[None, :]))
         x, y = np.nonzero(seen)
@@ -479,19 +480,33 @@ def _compared(i: np.ndarray, j: np.ndarray, labels: np.ndarray, words: np.ndarra
     return i[bits <= HINT], j[bits <= HINT], bits[bits <= HINT]
 
 
+def packed_votes(x: np.ndarray, y: np.ndarray, bits: np.ndarray, turned: np.ndarray) -> np.ndarray:
+    """A vote for a pair of images as one number: what stands for the two descriptors, 32 bits of each, the first image's above."""
+    low = [(w ^ w >> np.uint64(29)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32) for w in (np.where(turned, y, x), np.where(turned, x, y))]
+    return (low[0] << np.uint64(32) | low[1]).view(np.int64)
+
+
 def _votes(entries: DataFrame) -> DataFrame:
-    """_bucket (null for votes), _a, _b (null for members of crowds), _x, _y (stand for the descriptors), _bits."""
+    """_bucket (null for votes), _a, _b (null for members of crowds), _vote (see packed_votes; two for a pair that is a candidate by one)."""
     kind = entries.schema["_id"].dataType.simpleString()
-    names = ["_bucket", "_a", "_b", "_x", "_y", "_bits"]
+    names = ["_bucket", "_a", "_b", "_vote"]
 
     def found(table: pa.Table) -> Iterator[pa.RecordBatch]:
         buckets, labels = (table.column(c).to_numpy() for c in ("_bucket", "_label"))
-        words = np.stack([table.column(c).to_numpy() for c in _WORDS], axis=1)
-        votes, crowds = entry_votes(buckets, labels, words.view(np.uint64))
-        ids, whole = table.column("_id").combine_chunks(), words[:, 0] ^ words[:, 1] * 3 ^ words[:, 2] * 5 ^ words[:, 3] * 7
+        words = np.stack([table.column(c).to_numpy() for c in _WORDS], axis=1).view(np.uint64)
+        votes, crowds = entry_votes(buckets, labels, words)
+        ids, whole = table.column("_id").combine_chunks(), words[:, 0] ^ words[:, 1] * np.uint64(3) ^ words[:, 2] * np.uint64(5) ^ words[:, 3] * np.uint64(7)
         for i, j, bits in votes:
-            none = pa.nulls(len(i), pa.int64())
-            yield pa.RecordBatch.from_arrays([none, ids.take(pa.array(i)), ids.take(pa.array(j)), pa.array(whole[i]), pa.array(whole[j]), pa.array(bits)], names)
+            if not len(i):
+                continue
+            a, b = ids.take(pa.array(i)), ids.take(pa.array(j))
+            turned = pc.greater(a, b)
+            swap = turned.to_numpy(zero_copy_only=False)
+            vote = packed_votes(whole[i], whole[j], bits, swap)
+            sure = np.flatnonzero(bits <= NEAR)
+            at = pa.array(np.concatenate([np.arange(len(i)), sure, sure]))
+            vote = np.concatenate([vote, np.full(len(sure), np.iinfo(np.int64).min), np.full(len(sure), np.iinfo(np.int64).max)])
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(vote), pa.int64()), pc.if_else(turned, b, a).take(at), pc.if_else(turned, a, b).take(at), pa.array(vote)], names)
         for name, own in crowds:
             yield _crowd(name, ids.take(pa.array(own)), names)
 
@@ -518,13 +533,13 @@ def _votes(entries: DataFrame) -> DataFrame:
                 rest = None
 
     dealt = entries.repartition("_bucket").sortWithinPartitions("_bucket")
-    return dealt.mapInArrow(run, f"_bucket bigint, _a {kind}, _b {kind}, _x bigint, _y bigint, _bits int")
+    return dealt.mapInArrow(run, f"_bucket bigint, _a {kind}, _b {kind}, _vote bigint")
 
 
 def _crowd(name: int, ids: pa.Array, names: list[str]) -> pa.RecordBatch:
     """The images of a bucket that is too large for votes."""
     ids = pc.unique(ids)
-    none = [pa.nulls(len(ids), kind) for kind in (ids.type, pa.int64(), pa.int64(), pa.int32())]
+    none = [pa.nulls(len(ids), kind) for kind in (ids.type, pa.int64())]
     return pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), name, np.int64)), ids, *none], names)
 
 
@@ -550,12 +565,10 @@ def _met(own: DataFrame) -> tuple[DataFrame, DataFrame]:
         parts.append(staged(_votes(_entries(own, list(range(k, min(k + AT_ONCE, TABLES))))), "image-votes"))
         _released(own)
     met = functools.reduce(DataFrame.unionByName, parts)
-    ends = [F.struct(F.col(i).alias("id"), F.col(d).alias("d")) for i, d in (("_a", "_x"), ("_b", "_y"))]
-    votes = met.filter("_bucket is null").select(F.least(*ends).alias("_p"), F.greatest(*ends).alias("_q"), "_bits")
-    counted = votes.groupBy(F.col("_p.id").alias("_a"), F.col("_q.id").alias("_b")).agg(
-        F.min("_bits").alias("_bits"), (F.min("_p.d") != F.max("_p.d")).alias("_many_p"), (F.min("_q.d") != F.max("_q.d")).alias("_many_q")
-    )
-    pairs = counted.filter((F.col("_bits") <= NEAR) | F.col("_many_p") & F.col("_many_q")).select("_a", "_b")
+    # two votes by different descriptors of both images: of the least and the largest, both halves differ
+    counted = met.filter("_bucket is null").groupBy("_a", "_b").agg(F.min("_vote").alias("_low"), F.max("_vote").alias("_high"))
+    differ = F.col("_low").bitwiseXOR(F.col("_high"))
+    pairs = counted.filter((F.shiftrightunsigned(differ, 32) != 0) & (differ.bitwiseAND(F.lit((1 << 32) - 1)) != 0)).select("_a", "_b")
     return pairs, met.filter("_bucket is not null").select("_bucket", F.col("_a").alias("_id")).distinct()
 
 
