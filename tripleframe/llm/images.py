@@ -560,15 +560,17 @@ def _released(df: DataFrame) -> None:
 def _met(own: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The candidate pairs (_a, _b) between components, and the members (_bucket, _id) of crowded buckets, from all tables."""
     parts = []
-    _released(own)
     for k in range(0, TABLES, AT_ONCE):
-        parts.append(staged(_votes(_entries(own, list(range(k, min(k + AT_ONCE, TABLES))))), "image-votes"))
         _released(own)
+        parts.append(staged(_votes(_entries(own, list(range(k, min(k + AT_ONCE, TABLES))))), "image-votes"))
+    _released(own)
     met = functools.reduce(DataFrame.unionByName, parts)
     # two votes by different descriptors of both images: of the least and the largest, both halves differ
     counted = met.filter("_bucket is null").groupBy("_a", "_b").agg(F.min("_vote").alias("_low"), F.max("_vote").alias("_high"))
     differ = F.col("_low").bitwiseXOR(F.col("_high"))
     pairs = counted.filter((F.shiftrightunsigned(differ, 32) != 0) & (differ.bitwiseAND(F.lit((1 << 32) - 1)) != 0)).select("_a", "_b")
+    pairs = cut(pairs)
+    _released(own)
     return pairs, met.filter("_bucket is not null").select("_bucket", F.col("_a").alias("_id")).distinct()
 
 
@@ -636,7 +638,7 @@ def image_copies(media: DataFrame, id_col: str, media_col: str, inliers: int = I
     links = joined(None, check(cut(stars(sketched))))
     labels = labelled(own, links)
     pairs, members = _met(_with_labels(own, labels))
-    links = joined(links, check(cut(pairs)))
+    links = joined(links, check(pairs))
     members = cut(members)
     if not members.isEmpty():
         members = cut(shared_buckets(members))
