@@ -72,6 +72,8 @@ PORTION = 256
 TOGETHER = 1 << 20
 #: Identifiers at most that are broadcast.
 FEW = 1 << 20
+#: Pairs that are compared at a time, for each core.
+PAIRS_A_CORE = 8192
 #: Entries of one bucket that a worker holds; of larger ones all images go to linking's blocks.
 HELD = 200_000
 
@@ -601,8 +603,16 @@ def _alike(pairs: DataFrame, own: DataFrame, inliers: int) -> DataFrame:
             held = [consensus(_corner_array(x.as_py()), _corner_array(y.as_py()), inliers) >= inliers for x, y in zip(batch.column(2), batch.column(3), strict=True)]
             yield batch.select(["_a", "_b"]).filter(pa.array(held, pa.bool_()))
 
-    both = pairs.join(sides[0], "_a").join(sides[1], "_b").select("_a", "_b", "_ca", "_cb")
-    return both.mapInArrow(run, f"_a {kind}, _b {kind}")
+    # corners travel with each pair: so many pairs at a time as each core of the cluster can hold, then their shuffles go
+    rounds, out = 1 + pairs.count() // (PAIRS_A_CORE * own.sparkSession.sparkContext.defaultParallelism), []
+    for k in range(rounds):
+        part = pairs.filter(F.pmod(F.xxhash64("_a", "_b"), F.lit(rounds)) == k)
+        both = part.join(sides[0], "_a").join(sides[1], "_b").select("_a", "_b", "_ca", "_cb")
+        out.append(both.mapInArrow(run, f"_a {kind}, _b {kind}"))
+        if rounds > 1:
+            out[-1] = cut(out[-1])
+            _released(own)
+    return functools.reduce(DataFrame.unionByName, out)
 
 
 def _representatives(shown: DataFrame, classes: DataFrame) -> DataFrame:
