@@ -4,7 +4,7 @@ import zlib
 
 import numpy as np
 
-from tripleframe.llm import images
+from tripleframe.llm import images, linking
 
 from .data import clashing
 
@@ -171,6 +171,7 @@ def test_grey_png_of_every_depth():
 
 def test_crowded_entries_go_to_blocks(spark, monkeypatch):
     """A corner that all images share: no pair is listed, and the copies among them are found."""
+    monkeypatch.setattr(images, "COUNTERPARTS", 64)
     rng = np.random.default_rng(1)
     logo = rng.integers(0, 2**63, (1, 4), dtype=np.uint64)
     words = np.concatenate([np.repeat(logo, 300, axis=0), rng.integers(0, 2**63, (5, 4), dtype=np.uint64)])
@@ -186,7 +187,9 @@ def test_crowded_entries_go_to_blocks(spark, monkeypatch):
     votes, crowds = images.entry_votes(np.repeat([3, 9], 100), np.arange(200) % 150, np.concatenate([some[:50], some[100:150], some[50:100], some[150:]]))
     pairs = {(min(i, j), max(i, j)) for v in votes for i, j in zip(*map(list, v[:2]))}
     assert not crowds and pairs == {(min(i, i + 50), i + 50) for base in (0, 100) for i in range(base, base + 50)}
-    monkeypatch.setattr(images.linking, "BLOCK", 4)
+    monkeypatch.setattr(linking, "BLOCK", 4)
+    monkeypatch.setattr(images, "HELD", 3)  # every bucket is crowded
+    monkeypatch.setattr(images, "SHORT", 2)
     rows = [(i, pgm(grey(photo(i % 6)) if i < 6 else noisy(grey(photo(i % 6)), i, 3))) for i in range(36)]
     out = images.image_copies(spark.createDataFrame(rows, "media_id bigint, media binary"), "media_id", "media").collect()
     assert {r["media_id"]: r["component_id"] for r in out} == {i: i % 6 for i, _ in rows}

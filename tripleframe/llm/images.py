@@ -14,7 +14,7 @@
    copies. Then all entries are filled in, and descriptors of an entry that belong
    to images that are not connected yet are compared: images are candidates
    if they have one pair of descriptors there that differ in at most NEAR bits, or
-   two pairs in at most HINT. Where a descriptor has more than linking.BLOCK such
+   two pairs in at most HINT. Where a descriptor has more than COUNTERPARTS such
    counterparts (a logo), pairs are not listed: the images' blocks are compared
    (see linking).
 4. A candidate pair is linked by geometric consensus: a similarity transform
@@ -48,7 +48,6 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import linking
 from .common import cut, staged
 from .linking import connect, labelled, popularity, shared_buckets, stars
 
@@ -72,8 +71,12 @@ PORTION = 256
 TOGETHER = 1 << 20
 #: Identifiers at most that are broadcast.
 FEW = 1 << 20
+#: Alike descriptors of other components in an entry, up to which a descriptor's pairs are listed.
+COUNTERPARTS = 1024
 #: Pairs that are compared at a time, for each core.
 PAIRS_A_CORE = 8192
+#: Entries of one bucket up to which all pairs are compared at once.
+SHORT = 64
 #: Entries of one bucket that a worker holds; of larger ones all images go to linking's blocks.
 HELD = 200_000
 
@@ -438,9 +441,9 @@ def entry_votes(buckets: np.ndarray, labels: np.ndarray, words: np.ndarray) -> t
         return [], []
     mixed = (ends - starts > 1) & (np.minimum.reduceat(labels, starts) != np.maximum.reduceat(labels, starts))
     votes, crowds = [], []
-    few = mixed & (ends - starts <= linking.BLOCK)
+    few = mixed & (ends - starts <= SHORT)
     at = np.flatnonzero(np.repeat(few, ends - starts))
-    for step in range(1, linking.BLOCK):
+    for step in range(1, SHORT):
         if len(at) <= step:
             break
         i, j = at[:-step], at[step:]
@@ -450,7 +453,7 @@ def entry_votes(buckets: np.ndarray, labels: np.ndarray, words: np.ndarray) -> t
         votes.append(_compared(i[held], j[held], labels, words))
     for start, end in zip(starts[mixed & ~few], ends[mixed & ~few], strict=True):
         i, j, bits = _all_alike(labels[start:end], words[start:end])
-        many = np.bincount(np.concatenate([i, j]), minlength=end - start) > linking.BLOCK
+        many = np.bincount(np.concatenate([i, j]), minlength=end - start) > COUNTERPARTS
         crowd = many[i] | many[j]
         votes.append((start + i[~crowd], start + j[~crowd], bits[~crowd]))
         if crowd.any():
