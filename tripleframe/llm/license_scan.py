@@ -3,10 +3,11 @@ r"""License scans by diagonal voting, in DataFrame operations only.
 Texts are lower-cased (A-Z) and cut into words; every rolling word 2-gram is
 hashed and joined to the positions of the same gram in the templates (a small
 broadcast table; the words themselves must agree too). A hit votes for the
-diagonal word position - template position. Diagonals at most GAP apart are
-merged, so that a span may have a word more or less than its template; a span
-counts if the template positions that it covers reach the template's share, and
-no better covered span overlaps it.
+diagonal word position - template position. A diagonal is merged with those at
+most GAP after it, so that a span may have words more or less than its template.
+A span is verified by order: its hits must be a chain of rising template positions
+and word positions, which gives its extent; it counts if the chain reaches the
+template's share, and no better covered span overlaps it.
 
 Base templates are short phrases that must be covered whole on one diagonal;
 other templates are notices whose labels are added to the base ones.
@@ -46,8 +47,8 @@ NOTICES = {
     "this is free and unencumbered software released into the public domain": "unlicense",
 }
 
-#: Diagonals merged, and the share of a notice's grams that a span must cover.
-GAP, COVER = 2, 0.8
+#: Diagonals merged, the share of a notice's grams that a span must cover, and words of a template at most.
+GAP, COVER, MOST_WORDS = 2, 0.8, 63
 
 
 def words_of(text: Column) -> Column:
@@ -65,15 +66,41 @@ def templates(spark: SparkSession, base: dict[str, str], notices: dict[str, str]
     rows = []
     for n, (phrase, label, is_base) in enumerate([(p, x, True) for p, x in base.items()] + [(p, x, False) for p, x in notices.items()]):
         words = phrase.split()
-        if not 2 <= len(words) <= 63:
-            raise ValueError(f"a template has 2 to 63 words: {phrase}")
+        if not 2 <= len(words) <= MOST_WORDS:
+            raise ValueError(f"a template has 2 to {MOST_WORDS} words: {phrase}")
         rows += [(n, label, is_base, len(words) - 1, i, a, b) for i, (a, b) in enumerate(zip(words, words[1:]))]
     out = spark.createDataFrame(rows, "_t int, _label string, _base boolean, _grams int, _at int, _ta string, _tb string")
     return out.withColumn("_th", F.xxhash64("_ta", "_tb"))
 
 
+def _in_order(near: str, grams: str) -> Column:
+    """The longest chains of hits on neighbouring diagonals: n, and the first and last word position.
+
+    A chain takes template positions in order, and its diagonals only rise (the text has words more) or only fall
+    (the text lacks words), so that words stand in the template's order. One entry for each of the two ways.
+    """
+    none = F.struct(F.lit(0).alias("n"), F.lit(None).cast("int").alias("first"), F.lit(None).cast("int").alias("last"))
+
+    def chain(diagonals: Column) -> Column:
+        def step(best: Column, at: Column) -> Column:  # best: for each diagonal, the best chain that ends on it or before it
+            def on(done: Column, d: Column) -> Column:
+                k = F.size(done)
+                here, before = F.get(best, k), F.get(done, k - 1)
+                up = F.when(before.isNull() | (here["n"] >= before["n"]), here).otherwise(before)
+                seen = F.getbit(d["_seen"], at) == 1
+                pos = (d["_diag"] + at).cast("int")
+                more = F.struct((up["n"] + 1).alias("n"), F.coalesce(up["first"], pos).alias("first"), pos.alias("last"))
+                return F.concat(done, F.array(F.when(seen, more).otherwise(up)))
+
+            return F.aggregate(diagonals, F.slice(best, 1, 0), on)
+
+        return F.element_at(F.aggregate(F.sequence(F.lit(0), F.col(grams) - 1), F.transform(diagonals, lambda _: none), step), -1)
+
+    return F.when(F.size(near) == 1, F.array(chain(F.col(near)))).otherwise(F.array(chain(F.col(near)), chain(F.reverse(F.col(near)))))
+
+
 def scan(
-    docs: DataFrame, base: dict[str, str] = BASE, notices: dict[str, str] = NOTICES, id_col: str = "doc_id", text_col: str = "text", gap: int = GAP, cover: float = COVER
+    docs: DataFrame, base: dict[str, str] = BASE, notices: dict[str, str] = NOTICES, id_col: str = "doc_id", text_col: str = "text", gap: int = GAP, cover_share: float = COVER
 ) -> DataFrame:
     """One row per input row: id_col, n_words, n_base, first_word, last_word, base_labels, labels, score, spans.
 
@@ -102,35 +129,34 @@ def scan(
             F.bit_or(F.expr("shiftleft(1L, _at)")).alias("_seen"),
         )
     )
-    line = Window.partitionBy("_u", "_t").orderBy("_diag")
-    far = F.col("_base") | (F.col("_diag") - F.lag("_diag").over(line) > gap)  # the phrases' diagonals stay apart
-    islands = votes.withColumn("_island", F.sum(F.coalesce(far.cast("int"), F.lit(0))).over(line))
-    spans = islands.groupBy("_u", "_t", "_island").agg(
-        F.first("_id").alias("_id"),
-        F.first("_n").alias("_n"),
-        F.first("_label").alias("_label"),
-        F.first("_base").alias("_base"),
-        F.min("_diag").alias("_start"),
-        (F.max("_diag") + F.first("_grams") + 1).alias("_end"),
-        (F.bit_count(F.bit_or("_seen")) / F.first("_grams")).alias("_cover"),
-    )
+    # merge: a diagonal and those at most `gap` after it, which are few; the vote that starts a span is the lowest
+    line = Window.partitionBy("_u", "_t").orderBy("_diag").rangeBetween(0, gap)
+    merged = votes.withColumn("_near", F.when(~F.col("_base"), F.sort_array(F.collect_list(F.struct("_diag", "_seen")).over(line))))
+    spans = merged.select("_u", "_id", "_n", "_label", "_base", "_grams", "_diag", "_seen", F.explode_outer(F.when(~F.col("_base"), _in_order("_near", "_grams"))).alias("_chain"))
+    cover = F.when(F.col("_base"), F.bit_count("_seen")).otherwise(F.col("_chain.n")) / F.col("_grams")
+    spans = spans.select(
+        "_u", "_id", "_n", "_label", "_base", "_diag", cover.alias("_cover"),
+        F.col("_chain.first").alias("_first"), F.least(F.col("_chain.last") + 2, "_n").alias("_end"),
+    )
     place = F.col("_base") & (F.col("_cover") == 1)
-    notice = ~F.col("_base") & (F.col("_cover") >= cover)
+    # of notices that overlap, the best covered: all that overlap one start near it
+    around = Window.partitionBy("_u").orderBy("_first").rangeBetween(-2 * MOST_WORDS, 2 * MOST_WORDS)
+    good = spans.withColumn("_good", ~F.col("_base") & (F.col("_cover") >= F.lit(cover_share))).withColumn("_at", F.when(F.col("_good"), F.struct("_first", "_end", "_cover")))
+    rivals = F.collect_set("_at").over(around)
+    beaten = F.exists("_rivals", lambda y: (y["_cover"] > F.col("_cover")) & (y["_first"] < F.col("_end")) & (F.col("_first") < y["_end"]))
+    good = good.withColumn("_rivals", F.when(F.col("_good"), rivals)).withColumn("_good", F.col("_good") & ~beaten).drop("_rivals", "_at")
     joined = lambda labels: F.array_join(F.array_sort(labels), ",")
-    span = F.struct(F.greatest("_start", F.lit(0)).alias("first_word"), F.least("_end", "_n").alias("end_word"), F.col("_label").alias("label"), F.col("_cover").alias("cover"))
-    out = spans.groupBy("_u").agg(
+    span = F.struct(F.col("_first").alias("first_word"), F.col("_end").alias("end_word"), F.col("_label").alias("label"), F.col("_cover").alias("cover"))
+    out = good.groupBy("_u").agg(
         F.first("_id").alias(id_col),
         F.first("_n").cast("bigint").alias("n_words"),
         F.count(F.when(place, 1)).alias("n_base"),
-        F.min(F.when(place, F.col("_start"))).cast("bigint").alias("first_word"),
-        F.max(F.when(place, F.col("_start"))).cast("bigint").alias("last_word"),
+        F.min(F.when(place, F.col("_diag"))).cast("bigint").alias("first_word"),
+        F.max(F.when(place, F.col("_diag"))).cast("bigint").alias("last_word"),
         F.collect_set(F.when(place, F.col("_label"))).alias("_places"),
         F.coalesce(F.max("_cover"), F.lit(0.0)).alias("score"),
-        F.array_sort(F.collect_list(F.when(notice, span))).alias("_found"),
+        F.array_sort(F.collect_set(F.when(F.col("_good"), span))).alias("spans"),
     )
-    beaten = lambda x, y: (y["cover"] > x["cover"]) & (y["first_word"] < x["end_word"]) & (x["first_word"] < y["end_word"])
-    best = F.filter("_found", lambda x: ~F.exists("_found", lambda y: beaten(x, y)))  # of notices that overlap, the best covered
-    out = out.withColumn("spans", best)
     return out.select(
         id_col, "n_words", "n_base", "first_word", "last_word", joined(F.col("_places")).alias("base_labels"),
         joined(F.array_union("_places", F.transform("spans", lambda x: x["label"]))).alias("labels"), "score", "spans",
