@@ -4,10 +4,10 @@ Base patterns find assignments, access key identifiers and long hexadecimal
 strings. Beside them, source and configuration syntax (`name = "literal"`,
 `"name": "literal"`, `name: literal`, `export NAME=literal`, `name := literal`)
 is lexed into name-literal pairs. Names assigned from other names or from sums
-of literals get the literals' values (constants are propagated within the text,
-to a fixed point), and every literal is scored by the target names that it
-reaches, directly or through others. Literals that score THRESHOLD or more are
-spans of kind `literal`. Spans count code points, the end exclusive.
+get the sums' values (constants are folded within the text, names in cycles stand
+for nothing), and every value is scored by the target names that it reaches,
+directly or through others. The literals of values that score THRESHOLD or more
+are spans of kind `literal`. Spans count code points, the end exclusive.
 
 Defined results
 * null or empty text: no spans. Very long texts are read whole; the patterns
@@ -51,7 +51,8 @@ SENSITIVE = {
 PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|<.*>|\$\{.*\}|\{\{.*\}\}|%.*%|change_?me|example|your[_-].*|none|null|true|false|todo|test|dummy)$")
 
 _PAIR = re.compile(
-    r"""(?P<q>["'])?(?P<name>[A-Za-z_][A-Za-z0-9_.-]{0,80})(?(q)(?P=q))[ \t]*(?::=|=>|[:=](?!=))[ \t]*"""
+    # each run of characters of names is entered at its start alone, so that long ones are read once
+    r"""(?<![A-Za-z0-9_.-])(?:(?P<q>["'])|[0-9.-]*+)(?P<name>[A-Za-z_][A-Za-z0-9_.-]*+)(?(q)(?P=q))[ \t]*+(?::=|=>|[:=](?!=))[ \t]*+"""
     r"""(?P<value>(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|[^\s"',;#+()\[\]{}]+)"""
     r"""(?:[ \t]*\+[ \t]*(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|[A-Za-z_][A-Za-z0-9_.]*))*)"""
 )
@@ -106,34 +107,77 @@ def pairs(text: str) -> list[tuple[str, list[tuple[str, int, int, bool]]]]:
 
 
 def literal_spans(text: str) -> list[tuple[int, int, str]]:
-    """Spans of literals that reach a sensitive name."""
+    """Spans of literals that reach a sensitive name.
+
+    A name's value is the sum of its atoms, with names replaced by what they were given last before (constants are
+    folded); it is scored as a whole, and all literals that are in it are spans if it is a secret.
+    """
     if "=" not in text and ":" not in text:
         return []
     found = pairs(text)
-    values: dict[str, set[int]] = {}  # a name's literals, by their place in `literals`
-    literals: dict[int, tuple[str, int]] = {}
-    reached: dict[int, float] = {}
-    sources: dict[str, set[str]] = {}
     named = {name for name, _ in found}
+    values: dict[str, list[_Value]] = {}  # what a name was given, in the order of the text
     for name, atoms in found:
-        for said, start, end, literal in atoms:
-            if not literal and said in named and said != name:
-                sources.setdefault(name, set()).add(said)
-            elif end > start:  # a bare word is a literal of configuration syntax unless it is a name itself
-                literals[start] = (said, end)
-                values.setdefault(name, set()).add(start)
-    worth = {name: name_score(name) for name in named}
-    for name in sorted(named, key=worth.__getitem__, reverse=True):  # most sensitive first: each name is walked once
-        if worth[name] < 0.4:
-            break
-        todo, seen = [name], {name}
+        values.setdefault(name, []).append([(said, start, end, not literal and said in named) for said, start, end, literal in atoms])
+    worth = {name: w for name in named if (w := name_score(name)) >= 0.4}
+    folded = _folded(values)
+    reached: dict[int, tuple[int, bool]] = {}
+    seen: set[str] = set()
+    for name in sorted(worth, key=lambda n: (-worth[n], n)):  # most sensitive first: what it reaches, no other name reaches better
+        todo = [name]
         while todo:
             at = todo.pop()
-            for start in values.get(at, ()):
-                reached[start] = max(reached.get(start, 0.0), worth[name])
-            todo += (more := sources.get(at, set()) - seen)
-            seen |= more
-    return [(start, len(KINDS) - 1, literals[start][1], "literal") for start, w in reached.items() if w + literal_score(literals[start][0]) >= THRESHOLD]
+            if at in seen:
+                continue
+            seen.add(at)
+            for value, whole in zip(values[at], folded[at], strict=True):
+                secret = worth[name] + literal_score(whole) >= THRESHOLD
+                for said, start, end, is_name in value:
+                    if is_name:
+                        todo.append(said)
+                    elif end > start:
+                        alone = worth[name] + literal_score(said) >= THRESHOLD
+                        reached[start] = (end, secret or alone or reached.get(start, (0, False))[1])
+                if secret:
+                    for start, end in _places(value, values):
+                        reached[start] = (end, True)
+    return [(start, len(KINDS) - 1, end, "literal") for start, (end, secret) in reached.items() if secret]
+
+
+#: The atoms of a value: text, start, end, whether it is the name of another value.
+_Value = list[tuple[str, int, int, bool]]
+#: Characters of a folded value that are scored; sums may double with each name, and the look of a literal is settled long before.
+FOLDED = 4096
+
+
+def _folded(values: dict[str, list[_Value]]) -> dict[str, list[str]]:
+    """The sums of all values, each name folded once, those that it needs before it; names in a cycle stand for nothing."""
+    done: dict[str, list[str]] = {}
+    for name in values:
+        todo = [(name, False)]
+        begun: set[str] = set()
+        while todo:
+            at, ready = todo.pop()
+            if at in done:
+                continue
+            if ready:
+                done[at] = ["".join((done[said][-1] if said in done else "") if is_name else said for said, _, _, is_name in value)[:FOLDED] for value in values[at]]
+            elif at not in begun:
+                begun.add(at)
+                todo.append((at, True))
+                todo += [(said, False) for value in values[at] for said, _, _, is_name in value if is_name and said not in done]
+    return done
+
+
+def _places(value: _Value, values: dict[str, list[_Value]]) -> list[tuple[int, int]]:
+    """The literals that a value is the sum of: its own, and those of names that are nothing but one sum of literals."""
+    out = []
+    for said, start, end, is_name in value:
+        if not is_name:
+            out.append((start, end))
+        else:
+            out += [(a, b) for _, a, b, name in values[said][-1] if not name]
+    return [(a, b) for a, b in out if b > a]
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
