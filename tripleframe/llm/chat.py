@@ -1,9 +1,10 @@
 r"""Chat formatting by schema fingerprints.
 
-A record's nested field paths (names, with [] for list items) are hashed; the
-fingerprint of those that a layout names selects a declarative mapping that says
-where the turns are. Tables of one layout are recognised by their schema; JSON records, whose layouts may
-differ from row to row, one by one. All become canonical turns (role, text).
+A record's nested field paths (names, with [] for list items) are hashed, less
+those of no layout that it has whole; the fingerprint alone selects a declarative
+mapping that says where the turns are. A table is recognised by its schema, JSON
+records, whose layouts may differ from row to row, one by one. All become
+canonical turns (role, text).
 
 Template: every turn is written as  <|start|>ROLE<|sep|>TEXT<|end|>\n . Control
 strings inside roles and texts are broken by a backslash after their first
@@ -16,8 +17,9 @@ Defined results
   null turns come first; repeated rows are turns of their own.
 * null conversation identifiers form one conversation. An empty table gives an
   empty result. Very long texts are formatted whole.
-* a JSON record that has no layout's fields, or that is no JSON: null turns. An
-  empty list of turns is a conversation without turns.
+* a JSON record that has no layout's fields, that is no JSON or is nested too
+  deeply: null turns. An empty list of turns is a conversation without turns.
+  Unpaired surrogates become U+FFFD.
 * records and tables are mapped by the fields that a layout names (the one with
   the most, if several fit); other fields and columns are ignored.
 """
@@ -25,6 +27,7 @@ Defined results
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import re
 from collections.abc import Iterator
@@ -70,7 +73,28 @@ def fingerprint(paths) -> str:
     return hashlib.sha256("\n".join(sorted(set(paths))).encode()).hexdigest()[:16]
 
 
-MAPPINGS = {fingerprint(x["paths"]): x for x in LAYOUTS.values()}
+def known_paths(paths) -> set[str]:
+    """Of a record's nested field paths, those of the layouts that it has whole; the rest says nothing about its turns."""
+    paths = set(paths)
+    return {p for x in LAYOUTS.values() if paths.issuperset(x["paths"]) for p in x["paths"]}
+
+
+def _mappings() -> dict[str, dict]:
+    """The layout of every schema, by its fingerprint: records may have several layouts' fields, of which the one with the most counts."""
+    out: dict[str, dict] = {}
+    for n in range(1, len(LAYOUTS) + 1):
+        for some in itertools.combinations(LAYOUTS.values(), n):
+            whole = known_paths(p for x in some for p in x["paths"])
+            out.setdefault(fingerprint(whole), max((x for x in LAYOUTS.values() if whole.issuperset(x["paths"])), key=lambda x: len(x["paths"])))
+    return out
+
+
+MAPPINGS = _mappings()
+
+
+def mapping_of(paths) -> dict | None:
+    """The layout that the fingerprint of these paths selects."""
+    return MAPPINGS.get(fingerprint(known_paths(paths)))
 
 
 def schema_paths(kind: T.DataType, at: str = "") -> list[str]:
@@ -102,20 +126,28 @@ def json_turns(record: str | None) -> list[tuple[str, str]] | None:
     """Canonical turns of one JSON record; null if it has no layout's fields."""
     try:
         value = json.loads(record)
-    except (TypeError, ValueError):
-        return None
-    if not isinstance(value, dict):
-        return None
-    paths = set(value_paths(value))
-    fits = [x for x in LAYOUTS.values() if "rows" not in x and (_empty(value, x) or paths.issuperset(x["paths"]) and _plain(value, x))]
-    if not fits:
+        if not isinstance(value, dict):
+            return None
+        mapping = mapping_of([*value_paths(value), *_item_paths(value)])
+        if mapping is None or "rows" in mapping or not _plain(value, mapping):
+            return None
+        return [(whole(role), whole(text)) for role, text in _canonical(value, mapping)]
+    except (TypeError, ValueError, RecursionError):  # no JSON, or nested too deeply to be read
         return None
-    return _canonical(value, MAPPINGS[fingerprint(max(fits, key=lambda x: len(x["paths"]))["paths"])])
 
 
-def _empty(record: dict, mapping: dict) -> bool:
-    """Whether the layout's list of turns is there, without any."""
-    return "each" in mapping and record.get(mapping["each"][0]) == []
+def whole(text: str) -> str:
+    """A text with U+FFFD for each half of a surrogate pair, which no encoding can hold."""
+    try:
+        text.encode()
+        return text
+    except UnicodeEncodeError:
+        return text.encode("utf-16", "surrogatepass").decode("utf-16", "replace")
+
+
+def _item_paths(record: dict) -> list[str]:
+    """The paths that items of a layout's list would have, where the list is empty."""
+    return [p for x in LAYOUTS.values() if "each" in x and record.get(x["each"][0]) == [] for p in x["paths"]]
 
 
 def _plain(record: dict, mapping: dict) -> bool:
@@ -129,16 +161,15 @@ def _plain(record: dict, mapping: dict) -> bool:
 def canonical_turns(df: DataFrame, id_col: str, json_col: str | None = None) -> DataFrame:
     """id_col and turns (array of role and text): from JSON records in json_col, or from the table's own columns.
 
-    A table is of the layout whose fields it has (the one with the most, if several fit).
+    A table is of the layout that the fingerprint of its schema selects.
     """
     if json_col is not None:
         turns = F.udf(json_turns, TURNS, useArrow=True)
         return df.select(F.col(id_col), turns(F.col(json_col)).alias("turns"))
-    paths = set(schema_paths(df.schema))
-    fits = [x for x in LAYOUTS.values() if paths.issuperset(x["paths"])]
-    if not fits:
+    paths = schema_paths(df.schema)
+    mapping = mapping_of(paths)
+    if mapping is None:
         raise ValueError("no mapping has these fields: " + ", ".join(sorted(paths)))
-    mapping = MAPPINGS[fingerprint(max(fits, key=lambda x: len(x["paths"]))["paths"])]
     empty = F.lit("")
     if "rows" in mapping:
         conv, turn, role, text = mapping["rows"]
