@@ -23,7 +23,7 @@ from __future__ import annotations
 import math
 import operator
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -142,32 +142,53 @@ def grade(docs: DataFrame, ratings: DataFrame, grades: int = 3, least: int | Non
 
     kept: the tail probability is 0.5 or more.
     """
-    weights, theta = train(docs, ratings, grades, id_col, text_col)
-    shared = docs.sparkSession.sparkContext.broadcast((weights, theta))  # bounded by BUCKETS
-    tail_of = (grades - 1 if least is None else least) - 1
-    kind = docs.schema[id_col].dataType.simpleString()
+    tails_of, kind = _scorer(docs, ratings, grades, id_col, text_col), docs.schema[id_col].dataType.simpleString()
+    wanted = _wanted(grades, least)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_bucket, cuts = shared.value
-        dense = np.zeros(BUCKETS)
-        dense[list(by_bucket)] = list(by_bucket.values())
         for batch in batches:
-            z = np.array([dense[features(t.as_py())].sum() for t in batch.column(1)])
-            tails = [_sigmoid(z - t) for t in cuts]
-            bounds = [np.ones(len(z)), *tails, np.zeros(len(z))]
+            tails = tails_of(batch.column(1))
+            bounds = [np.ones(len(batch)), *tails, np.zeros(len(batch))]
             best = np.argmax([a - b for a, b in zip(bounds, bounds[1:])], axis=0)
-            out = [pa.array(sum(tails), pa.float64()), pa.array(tails[tail_of], pa.float64()), pa.array(best.astype(np.int32)), pa.array(tails[tail_of] >= 0.5)]
+            out = [pa.array(sum(tails), pa.float64()), pa.array(tails[wanted], pa.float64()), pa.array(best.astype(np.int32)), pa.array(tails[wanted] >= 0.5)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *out], ["_id", "expected_grade", "tail_probability", "grade", "kept"])
 
-    rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
     schema = f"_id {kind}, expected_grade double, tail_probability double, grade int, kept boolean"
     return rows.mapInArrow(run, schema).withColumnRenamed("_id", id_col)
 
 
-def select_good(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs whose grade is good enough, with all their columns; identifiers are taken to be unique."""
-    bad = grade(docs, ratings, id_col=id_col, text_col=text_col).filter("not kept").select(F.col(id_col).alias("_bad"))
-    return docs.join(bad, docs[id_col].eqNullSafe(bad["_bad"]), "left_anti")
+def _wanted(grades: int, least: int | None) -> int:
+    """The place of the tail that selection asks for."""
+    return (grades - 1 if least is None else least) - 1
+
+
+def _scorer(docs: DataFrame, ratings: DataFrame, grades: int, id_col: str, text_col: str) -> Callable[[pa.Array], list[np.ndarray]]:
+    """A fitted model, as a function of a column of texts: their tail probabilities at each threshold."""
+    shared = docs.sparkSession.sparkContext.broadcast(train(docs, ratings, grades, id_col, text_col))  # bounded by BUCKETS
+    dense = np.zeros(0)
+
+    def tails_of(texts: pa.Array) -> list[np.ndarray]:
+        nonlocal dense
+        by_bucket, cuts = shared.value
+        if not len(dense):
+            dense = np.zeros(BUCKETS)
+            dense[list(by_bucket)] = list(by_bucket.values())
+        z = np.array([dense[features(t.as_py() or "")].sum() for t in texts])
+        return [_sigmoid(z - t) for t in cuts]
+
+    return tails_of
+
+
+def select_good(docs: DataFrame, ratings: DataFrame, grades: int = 3, least: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs whose grade is good enough, with all their columns; each row by its own text, whatever its identifier."""
+    tails_of, wanted, at = _scorer(docs, ratings, grades, id_col, text_col), _wanted(grades, least), len(docs.columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(tails_of(batch.column(at))[wanted] >= 0.5)).select(range(at))
+
+    return docs.select("*", F.col(text_col).cast("string").alias("_scored")).mapInArrow(run, docs.schema)
 
 
 def ratings_of(labels: DataFrame) -> DataFrame:
