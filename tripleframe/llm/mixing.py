@@ -16,9 +16,11 @@ Defined results
   rows of their own and share one u; repeated rows are rows of their own.
 * a domain without tokens: its residual is left alone. No labelled row: uniform
   posteriors. Labelled rows of domains without a target, or null, are ignored.
+* targets that no rates meet: the nearest rates after STEPS steps; target_gap tells.
 * empty table: an empty result. Very long texts: read whole; evidence beyond
   EVIDENCE tokens is scaled down so that posteriors stay soft.
-* other columns are ignored by mix() and returned untouched by take().
+* other columns are ignored by mix() and returned untouched by take(), which
+  takes each of several rows with one identifier by its own text.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged, text_of, unit_hash
+from .common import same_text, staged, text_of, unit_hash
 
 #: Labelled documents at most that the classifier is fitted on (a bounded sample: those of smallest hash).
 MAX_LABELLED = 20_000
@@ -67,22 +69,22 @@ def fit(docs: DataFrame, labelled: DataFrame, domains: list[str], id_col: str, t
 
 
 def memberships(docs: DataFrame, labelled: DataFrame, domains: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: _id, _tokens, _p0, _p1, ... in the order of domains."""
+    """One row per input row: _id, _same (stands for the text), _tokens, _p0, _p1, ... in the order of domains."""
     table, prior = fit(docs, labelled, domains, id_col, text_col)
-    rows = docs.select(F.monotonically_increasing_id().alias("_u"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    rows = docs.select(F.monotonically_increasing_id().alias("_u"), F.col(id_col).alias("_id"), same_text(text_of(text_col)).alias("_same"), F.col(text_col).alias("_text"))
     k = range(len(domains))
-    said = _grams(rows, F.col("_u"), F.col("_id"), F.col("_text")).drop("_text")
+    said = _grams(rows, F.col("_u"), F.col("_id"), F.col("_same"), F.col("_text")).drop("_text")
     scored = (
         said.join(F.broadcast(table), F.col("_bucket") == F.col("_b"), "left")
         .groupBy("_u")
-        .agg(F.first("_id").alias("_id"), F.count("_bucket").alias("_tokens"), *[F.coalesce(F.sum(f"_l{i}"), F.lit(0.0)).alias(f"_s{i}") for i in k])
+        .agg(F.first("_id").alias("_id"), F.first("_same").alias("_same"), F.count("_bucket").alias("_tokens"), *[F.coalesce(F.sum(f"_l{i}"), F.lit(0.0)).alias(f"_s{i}") for i in k])
     )
     soft = F.least(F.lit(1.0), F.lit(float(EVIDENCE)) / F.greatest(F.col("_tokens"), F.lit(1)))
-    scored = scored.select("_id", "_tokens", *[(F.col(f"_s{i}") * soft + F.lit(prior[i])).alias(f"_s{i}") for i in k])
+    scored = scored.select("_id", "_same", "_tokens", *[(F.col(f"_s{i}") * soft + F.lit(prior[i])).alias(f"_s{i}") for i in k])
     top = F.greatest(*[F.col(f"_s{i}") for i in k]) if len(domains) > 1 else F.col("_s0")
-    scored = scored.select("_id", "_tokens", *[F.exp(F.col(f"_s{i}") - top).alias(f"_s{i}") for i in k])
+    scored = scored.select("_id", "_same", "_tokens", *[F.exp(F.col(f"_s{i}") - top).alias(f"_s{i}") for i in k])
     total = sum((F.col(f"_s{i}") for i in k), F.lit(0.0))
-    return scored.select("_id", "_tokens", *[(F.col(f"_s{i}") / total).alias(f"_p{i}") for i in k])
+    return scored.select("_id", "_same", "_tokens", *[(F.col(f"_s{i}") / total).alias(f"_p{i}") for i in k])
 
 
 def rate_of(residuals: list[list[float]], start: float, most: float, n: int) -> Column:
@@ -94,8 +96,8 @@ def rate_of(residuals: list[list[float]], start: float, most: float, n: int) ->
     return rate
 
 
-def solve(soft: DataFrame, weights: list[float], max_rate: float, budget: float | None) -> tuple[list[list[float]], float]:
-    """The residuals of every step and the rate to start from."""
+def solve(soft: DataFrame, weights: list[float], max_rate: float, budget: float | None) -> tuple[list[list[float]], float, float]:
+    """The residuals of every step, the rate to start from, and the largest part of its target that a domain is off in the end."""
     n = len(weights)
 
     def sums(rate: Column) -> list[float]:
@@ -103,19 +105,23 @@ def solve(soft: DataFrame, weights: list[float], max_rate: float, budget: float
 
     plain = sums(F.lit(1.0))
     if not sum(plain):
-        return [], 1.0
+        return [], 1.0, 0.0
     if budget is None:  # as much as there is without repeating a domain beyond max_rate
         budget = min([sum(plain), *(max_rate * a / w for a, w in zip(plain, weights, strict=True) if w and a)])
     target = [w * budget for w in weights]
     start, steps = min(max_rate, budget / sum(plain)), []
     got = [a * start for a in plain]
+
+    def gap() -> float:
+        return max(abs(m - t) / max(t, 1.0) for m, t in zip(got, target, strict=True))
+
     while len(steps) < STEPS and any(a and abs(m - t) > TOLERANCE * max(t, 1) for m, t, a in zip(got, target, plain, strict=True)):
         steps.append([(m - t) / a if a else 0.0 for m, t, a in zip(got, target, plain, strict=True)])
         got = sums(rate_of(steps, start, max_rate, n))
-    return steps, start
+    return steps, start, gap()
 
 
-def mix(
+def _mixed(
     docs: DataFrame,
     labelled: DataFrame,
     targets: dict[str, float] | list[str],
@@ -125,21 +131,15 @@ def mix(
     budget: float | None = None,
     seed: int = 0,
 ) -> DataFrame:
-    """One row per input row: id_col, n_tokens, domain (the likeliest), membership (its posterior), rate, copies.
-
-    labelled: a table whose first two columns are an identifier and a domain.
-    targets: the share of tokens of each domain, scaled to a sum of 1; or domains only, whose shares are to stay as they
-    are: all documents have one rate then, 1 if there is no budget.
-    budget: the mix's expected tokens; if not given, all tokens, or fewer where max_rate binds.
-    """
+    """mix(), and _same, which stands for the row's text."""
     domains = sorted(targets)
     soft = staged(memberships(docs, labelled, domains, id_col, text_col), "mix-memberships")
     if isinstance(targets, dict):
         whole = sum(targets.values())
-        steps, start = solve(soft, [targets[d] / whole for d in domains], max_rate, budget)
+        steps, start, gap = solve(soft, [targets[d] / whole for d in domains], max_rate, budget)
     else:
         tokens = (soft.agg(F.sum("_tokens")).first()[0] or 0) if budget is not None else 0
-        steps, start = [], min(max_rate, budget / tokens if tokens else 1.0)
+        steps, start, gap = [], min(max_rate, budget / tokens if tokens else 1.0), 0.0
     best = F.greatest(*[F.struct(F.col(f"_p{i}").alias("p"), F.lit(-i).alias("order"), F.lit(d).alias("name")) for i, d in enumerate(domains)]) if len(domains) > 1 else F.struct(F.col("_p0").alias("p"), F.lit(domains[0]).alias("name"))
     out = soft.withColumn("_rate", rate_of(steps, start, max_rate, len(domains))).withColumn("_best", best)
     return out.select(
@@ -149,10 +149,29 @@ def mix(
         F.col("_best.p").alias("membership"),
         F.col("_rate").alias("rate"),
         F.floor(F.col("_rate") + unit_hash("_id", seed=seed)).cast("int").alias("copies"),
+        F.lit(gap).alias("target_gap"),
+        "_same",
     )
 
 
-def take(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of docs, each as often as `copies` says; identifiers are taken to be unique."""
-    taken = mixed.filter("copies > 0").select(F.col(id_col).alias("_mid"), F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return docs.join(taken, docs[id_col].eqNullSafe(taken["_mid"])).select(*[docs[c] for c in docs.columns])
+def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | list[str], **how) -> DataFrame:
+    """One row per input row: id_col, n_tokens, domain (the likeliest), membership (its posterior), rate, copies, target_gap.
+
+    labelled: a table whose first two columns are an identifier and a domain.
+    targets: the share of tokens of each domain, scaled to a sum of 1; or domains only, whose shares are to stay as they
+    are: all documents have one rate then, 1 if there is no budget.
+    id_col, text_col: the columns' names. max_rate: the largest rate (4). budget: the mix's expected tokens; if not
+    given, all tokens, or fewer where max_rate binds. seed: of the draw.
+    target_gap: the same in every row, the largest part of its target that a domain's expected tokens are off; above
+    TOLERANCE where no rates meet the targets (domains without tokens, a budget beyond max_rate).
+    """
+    return _mixed(docs, labelled, targets, **how).drop("_same")
+
+
+def take(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | list[str], **how) -> DataFrame:
+    """The rows of docs, each as often as its copies in mix() say. Rows are known by identifier and text."""
+    id_col, text = how.get("id_col", "doc_id"), text_of(how.get("text_col", "text"))
+    mixed = _mixed(docs, labelled, targets, **how)
+    taken = mixed.groupBy(F.col(id_col).alias("_mid"), F.col("_same").alias("_msame")).agg(F.first("copies").alias("_copies")).filter("_copies > 0")
+    taken = taken.select("_mid", "_msame", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    return docs.join(taken, docs[id_col].eqNullSafe(taken["_mid"]) & (same_text(text) == taken["_msame"])).select(*[docs[c] for c in docs.columns])
