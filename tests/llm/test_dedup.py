@@ -42,6 +42,50 @@ def test_exact_dedup_of_nothing_and_filter(spark):
     assert kept.count() == df.select(F.coalesce("text", F.lit(""))).distinct().count()
 
 
+def test_unique_rows_are_known_by_identifier_and_text(spark):
+    rows = [(1, "x"), (1, "x"), (1, "x"), (5, "copy"), (5, "alone"), (9, "copy"), (None, "copy"), (None, "no one"), (None, "no one"), (7, None), (8, "")]
+    kept = keep_unique(clashing(spark.createDataFrame(rows, "doc_id bigint, text string")))
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr) == sorted([(1, "x"), (5, "alone"), (9, "copy"), (None, "no one"), (8, "")], key=repr)
+
+
+def test_a_later_batch_meets_the_state(spark, tmp_path):
+    """Three batches from files, against brute force over all rows so far; digests that stand for several texts, too."""
+    import pytest
+
+    batches = [[(1, "a"), (2, "b"), (3, "a"), (4, None)], [(5, "a"), (6, "c"), (7, ""), (0, "b")], [(9, "c"), (8, "d")]]
+    for weak in (None, F.length(F.coalesce("text", F.lit("")))):
+        seen = []
+        for k, rows in enumerate(batches):
+            path = f"{tmp_path}/batch-{weak is None}-{k}"
+            spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(path)
+            seen += rows
+            out = exact_dedup(spark.read.parquet(path), digest=weak, state=f"file://{tmp_path}/state-{weak is None}").collect()
+            want = {r[0]: r for r in brute_exact(seen)}
+            assert sorted((r["doc_id"], r["keep_id"], r["group_size"], r["text_sha256"]) for r in out) == sorted(want[i] for i, _ in rows)
+    with pytest.raises(ValueError, match="Parquet"):
+        exact_dedup(docs(spark), state=f"file://{tmp_path}/other")
+
+
+def test_only_hit_texts_are_shuffled(spark):
+    """The plan of the byte check: texts meet the hits by a broadcast, before any exchange."""
+    from tripleframe.llm import exact_dedup as module
+
+    texts = docs(spark).select("text", F.col("doc_id").alias("_dg"))
+    plan = module._only_hits(texts, spark.range(3).select(F.col("id").alias("_dg")))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_results_outlive_another_scope(spark):
+    from tripleframe.llm.common import Scratch
+
+    held = exact_dedup(docs(spark))
+    with Scratch(spark) as scratch:
+        inner = near.near_dedup(docs(spark))
+        n = inner.count()
+    scratch.delete()
+    assert held.count() == docs(spark).count() == n and not scratch.paths
+
+
 def brute_near(rows, share=75):
     sets = []
     for _, t in rows:
@@ -105,6 +149,13 @@ def test_near_dedup_of_nothing_and_filter(spark):
     assert kept.columns == df.columns and kept.count() == near.near_dedup(df).filter("kept").count() < df.count()
 
 
+def test_first_of_repeated_identifiers(spark):
+    text = " ".join(words(1, 30))
+    rows = [(1, text), (1, text), (2, text), (3, "other words"), (None, text), (None, text)]
+    kept = near.keep_first(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted(((r["doc_id"] for r in kept.collect())), key=repr) == sorted([1, 3, None, None], key=repr)
+
+
 def test_bayesian_bounds():
     bounds = near.least_matches(0.75)
     assert all(a[1] <= b[1] for a, b in zip(bounds, bounds[1:]))

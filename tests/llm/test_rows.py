@@ -84,6 +84,25 @@ def test_chat_records_with_more_fields():
     assert all(chat.json_turns(json.dumps({"messages": x})) is None for x in odd)
 
 
+def test_chat_records_that_are_odd(spark):
+    deep = '{"messages": ' + "[" * 100_000 + "]" * 100_000 + "}"
+    half = '{"prompt": "a\\ud800b", "response": "\\udc00"}'
+    records = [(1, deep), (2, half), (3, "{"), (4, '{"prompt": {"x": "\\ud800"}, "response": "ok"}')]
+    turns = chat.canonical_turns(spark.createDataFrame(records, "id int, record string"), "id", "record")
+    out = {r["id"]: r["turns"] and [tuple(t) for t in r["turns"]] for r in turns.collect()}
+    assert out[1] is None and out[2] == [("user", "a\ufffdb"), ("assistant", "\ufffd")] and out[3] is None and out[4] is None
+    assert chat.format_chat(turns, "id").count() == 4
+
+
+def test_fingerprints_alone_select_the_layout():
+    for name, layout in chat.LAYOUTS.items():
+        paths = [*layout["paths"], "id", "source.name", "tags[]"]
+        assert chat.MAPPINGS[chat.fingerprint(chat.known_paths(paths))] is chat.mapping_of(paths)
+        assert len(chat.mapping_of(paths)["paths"]) >= len(layout["paths"]), name
+    assert chat.mapping_of(["prompt", "response", "completion"])["paths"] == ("prompt", "response")
+    assert chat.mapping_of(["text"]) is None
+
+
 def test_chat_layouts(spark):
     turns = [("user", "q"), ("assistant", "a")]
     records = {
@@ -149,6 +168,34 @@ def test_secret_assignments():
     assert literals('a = b\nb = a\nsecret = a\n') == []  # a cycle
 
 
+def test_secret_constants_are_folded():
+    assert literals('secret_part = "abc1X" + "Qz9_k"') == ["abc1X", "Qz9_k"]
+    assert literals('a = "Ab1x"\nb = "Zq9!"\npassword = a + b + "Ty_8"\n') == ["Ab1x", "Zq9!", "Ty_8"]
+    assert literals('a = "chan"\npassword = a + "geme"\n') == []  # a placeholder, once it is whole
+    key = "Zk3!pQ9x_7RtY"
+    assert literals("x" * 200 + f'_password = "{key}"') == [key]  # long names are read whole
+    assert literals(f'--password="{key}"') == [key]
+
+
+def test_secret_scan_is_linear():
+    import time
+
+    def seconds(n):
+        chain = "".join(f"n{i}_token = n{i + 1}_token\n" for i in range(n)) + f'n{n}_token = "Zk3!pQ9x_7RtY"'
+        start = time.perf_counter()
+        assert len(secret_scan.literal_spans(chain)) == 1
+        return time.perf_counter() - start
+
+    seconds(500)
+    assert seconds(8000) < 40 * seconds(500) + 1
+    doubled = 'a0 = "Zk3!pQ9x"\n' + "".join(f"a{i + 1} = a{i} + a{i}\n" for i in range(200)) + "password = a200\n"
+    assert literals(doubled) == ["Zk3!pQ9x"]
+    for text in ("a-" * 200_000, "x" * 400_000 + "=", "a." * 100_000 + "= 'x'", "a='" * 50_000):
+        start = time.perf_counter()
+        secret_scan.literal_spans(text)
+        assert time.perf_counter() - start < 5
+
+
 def test_secret_scan_rows(spark):
     df = docs(spark)
     assert secret_scan.scan(df).count() == df.count()
@@ -190,12 +237,47 @@ def test_license_notices(spark):
     df = spark.createDataFrame(list(enumerate(cases)), "doc_id bigint, text string")
     out = {r["doc_id"]: r for r in license_scan.scan(df).collect()}
     assert [out[i]["labels"] for i in range(len(cases))] == list(cases.values())
-    assert out[0]["spans"][0]["first_word"] == 50 and out[0]["score"] == 1
+    assert out[0]["spans"][0]["first_word"] == 50 and out[0]["spans"][0]["end_word"] == 57 and out[0]["score"] == 1
     assert license_scan.scan(empty(spark)).count() == 0
     df = docs(spark)
     assert license_scan.scan(df).count() == df.count()
 
 
+def brute_cover(text, notice, gap=license_scan.GAP):
+    """The best chain of a notice's 2-grams in the text: rising positions, diagonals that only rise or only fall within gap."""
+    w, t = brute_words(text), notice.split()
+    hits = [(j, i) for j in range(len(t) - 1) for i in range(len(w) - 1) if w[i : i + 2] == t[j : j + 2]]
+    best = 0
+    for sign in (1, -1):
+        for start in {i - j for j, i in hits}:
+            own, low = [(j, i - j) for j, i in hits if 0 <= (i - j) - start <= gap], {}
+            for j, d in sorted(own):
+                low[j, d] = 1 + max([n for (k, e), n in low.items() if k < j and (d - e) * sign >= 0], default=0)
+            best = max([best, *low.values()])
+    return best / (len(t) - 1)
+
+
+def test_license_spans_are_verified_by_order(spark):
+    rng = random.Random(2)
+    notice = "permission is hereby granted free of charge to any person obtaining a copy of this software"
+    cases = [" ".join(reversed(notice.split())), "charge to any person permission is hereby granted free of obtaining a copy of this software"]
+    for _ in range(150):
+        w = notice.split()
+        for _ in range(rng.randrange(4)):
+            k = rng.randrange(len(w))
+            w[k : k + rng.randrange(2)] = [rng.choice(["any", "of", "new", "a"])] * rng.randrange(3)
+        if rng.random() < 0.3:
+            rng.shuffle(w)
+        cases.append(" ".join([*words(rng.randrange(99), rng.randrange(5)), *w, *words(3, rng.randrange(5))]))
+    df = spark.createDataFrame(list(enumerate(cases)), "doc_id bigint, text string")
+    for r in license_scan.scan(df, base={}, notices={notice: "mit"}).collect():
+        want = brute_cover(cases[r["doc_id"]], notice)
+        assert abs(r["score"] - want) < 1e-9, cases[r["doc_id"]]
+        assert (r["labels"] == "mit") == (want >= license_scan.COVER)
+        for s in r["spans"]:
+            assert 0 <= s["first_word"] < s["end_word"] <= r["n_words"]
+
+
 def rated(spark, n, seed):
     rng = random.Random(seed)
     rows = []
@@ -227,6 +309,11 @@ def test_quality_edges(spark):
     assert quality.grade(empty(spark), odd).count() == 0
     frame = clashing(docs(spark, repeat=False))
     assert quality.select_good(frame, none).columns == frame.columns
+    train = rated(spark, 900, 1)
+    rows = [(None, "BAD!! " * 40), (None, " ".join(words(5, 60))), (3, "BAD!! " * 40), (3, " ".join(words(6, 60)))]
+    both = train.select("doc_id", "text").union(spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("doc_id", F.col("doc_id") + 10**6))
+    kept = quality.select_good(both, train.select("doc_id", "grade")).filter("doc_id is null or doc_id > 100000").collect()
+    assert sorted((r["doc_id"] is None, r["text"]) for r in kept) == sorted((i is None, t) for i, t in rows if not t.startswith("BAD"))
 
 
 def test_quality_thresholds_are_ordered(spark):
