@@ -69,22 +69,22 @@ def fit(docs: DataFrame, labelled: DataFrame, domains: list[str], id_col: str, t
 
 
 def memberships(docs: DataFrame, labelled: DataFrame, domains: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: _id, _same (stands for the text), _tokens, _p0, _p1, ... in the order of domains."""
+    """One row per input row: _id, _sa and _sb (stand for the text), _tokens, _p0, _p1, ... in the order of domains."""
     table, prior = fit(docs, labelled, domains, id_col, text_col)
-    rows = docs.select(F.monotonically_increasing_id().alias("_u"), F.col(id_col).alias("_id"), same_text(text_of(text_col)).alias("_same"), F.col(text_col).alias("_text"))
+    rows = docs.select(F.monotonically_increasing_id().alias("_u"), F.col(id_col).alias("_id"), *_known_by(text_col), F.col(text_col).alias("_text"))
     k = range(len(domains))
-    said = _grams(rows, F.col("_u"), F.col("_id"), F.col("_same"), F.col("_text")).drop("_text")
+    said = _grams(rows, F.col("_u"), F.col("_id"), F.col("_sa"), F.col("_sb"), F.col("_text")).drop("_text")
     scored = (
         said.join(F.broadcast(table), F.col("_bucket") == F.col("_b"), "left")
         .groupBy("_u")
-        .agg(F.first("_id").alias("_id"), F.first("_same").alias("_same"), F.count("_bucket").alias("_tokens"), *[F.coalesce(F.sum(f"_l{i}"), F.lit(0.0)).alias(f"_s{i}") for i in k])
+        .agg(F.first("_id").alias("_id"), F.first("_sa").alias("_sa"), F.first("_sb").alias("_sb"), F.count("_bucket").alias("_tokens"), *[F.coalesce(F.sum(f"_l{i}"), F.lit(0.0)).alias(f"_s{i}") for i in k])
     )
     soft = F.least(F.lit(1.0), F.lit(float(EVIDENCE)) / F.greatest(F.col("_tokens"), F.lit(1)))
-    scored = scored.select("_id", "_same", "_tokens", *[(F.col(f"_s{i}") * soft + F.lit(prior[i])).alias(f"_s{i}") for i in k])
+    scored = scored.select("_id", "_sa", "_sb", "_tokens", *[(F.col(f"_s{i}") * soft + F.lit(prior[i])).alias(f"_s{i}") for i in k])
     top = F.greatest(*[F.col(f"_s{i}") for i in k]) if len(domains) > 1 else F.col("_s0")
-    scored = scored.select("_id", "_same", "_tokens", *[F.exp(F.col(f"_s{i}") - top).alias(f"_s{i}") for i in k])
+    scored = scored.select("_id", "_sa", "_sb", "_tokens", *[F.exp(F.col(f"_s{i}") - top).alias(f"_s{i}") for i in k])
     total = sum((F.col(f"_s{i}") for i in k), F.lit(0.0))
-    return scored.select("_id", "_same", "_tokens", *[(F.col(f"_s{i}") / total).alias(f"_p{i}") for i in k])
+    return scored.select("_id", "_sa", "_sb", "_tokens", *[(F.col(f"_s{i}") / total).alias(f"_p{i}") for i in k])
 
 
 def rate_of(residuals: list[list[float]], start: float, most: float, n: int) -> Column:
@@ -131,7 +131,7 @@ def _mixed(
     budget: float | None = None,
     seed: int = 0,
 ) -> DataFrame:
-    """mix(), and _same, which stands for the row's text."""
+    """mix(), and _sa and _sb, which stand for the row's text."""
     domains = sorted(targets)
     soft = staged(memberships(docs, labelled, domains, id_col, text_col), "mix-memberships")
     if isinstance(targets, dict):
@@ -150,7 +150,8 @@ def _mixed(
         F.col("_rate").alias("rate"),
         F.floor(F.col("_rate") + unit_hash("_id", seed=seed)).cast("int").alias("copies"),
         F.lit(gap).alias("target_gap"),
-        "_same",
+        "_sa",
+        "_sb",
     )
 
 
@@ -165,13 +166,21 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | list[s
     target_gap: the same in every row, the largest part of its target that a domain's expected tokens are off; above
     TOLERANCE where no rates meet the targets (domains without tokens, a budget beyond max_rate).
     """
-    return _mixed(docs, labelled, targets, **how).drop("_same")
+    return _mixed(docs, labelled, targets, **how).drop("_sa", "_sb")
 
 
 def take(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | list[str], **how) -> DataFrame:
     """The rows of docs, each as often as its copies in mix() say. Rows are known by identifier and text."""
-    id_col, text = how.get("id_col", "doc_id"), text_of(how.get("text_col", "text"))
+    id_col, text_col = how.get("id_col", "doc_id"), how.get("text_col", "text")
     mixed = _mixed(docs, labelled, targets, **how)
-    taken = mixed.groupBy(F.col(id_col).alias("_mid"), F.col("_same").alias("_msame")).agg(F.first("copies").alias("_copies")).filter("_copies > 0")
-    taken = taken.select("_mid", "_msame", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return docs.join(taken, docs[id_col].eqNullSafe(taken["_mid"]) & (same_text(text) == taken["_msame"])).select(*[docs[c] for c in docs.columns])
+    taken = mixed.groupBy(F.col(id_col).alias("_mid"), F.col("_sa").alias("_ma"), F.col("_sb").alias("_mb")).agg(F.first("copies").alias("_copies")).filter("_copies > 0")
+    taken = taken.select("_mid", "_ma", "_mb", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    a, b = _known_by(text_col)
+    same = docs[id_col].eqNullSafe(taken["_mid"]) & (a == taken["_ma"]) & (b == taken["_mb"])
+    return docs.join(taken, same).select(*[docs[c] for c in docs.columns])
+
+
+def _known_by(text_col: str) -> list[Column]:
+    """128 bits that stand for the text, as two numbers, which aggregates by hash can hold."""
+    both = same_text(text_of(text_col))
+    return [both["a"].alias("_sa"), both["b"].alias("_sb")]
