@@ -7,6 +7,7 @@ costs only the tasks it was running.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from contextvars import ContextVar
@@ -50,6 +51,7 @@ class Scratch:
         _ACTIVE.reset(self._before)
 
     def delete(self) -> None:
+        release(self.spark)
         jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
         while self.paths:
             path = jvm.org.apache.hadoop.fs.Path(self.paths.pop())
@@ -76,6 +78,12 @@ def staged(df: DataFrame, what: str) -> DataFrame:
     return staged_at(df, what)[0]
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the files of shuffles and checkpoints to which nothing refers any more, here and in the JVM, and give memory back."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 #: Rows of a checkpoint that are worth a partition of their own.
 ROWS_A_PARTITION = 50_000
 

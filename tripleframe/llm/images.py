@@ -35,7 +35,6 @@ Defined results
 from __future__ import annotations
 
 import functools
-import gc
 import itertools
 import struct
 import zlib
@@ -48,7 +47,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, staged
+from .common import cut, release, staged
 from .linking import connect, labelled, popularity, shared_buckets, stars
 
 #: Ratio of the pyramid's scales, pixels between corners, radius of a patch, tests, the extent of tests along the
@@ -556,26 +555,20 @@ def _with_labels(own: DataFrame, labels: DataFrame) -> DataFrame:
     return out if few else staged(out, "image-labelled")
 
 
-def _released(df: DataFrame) -> None:
-    """Spark deletes a shuffle's files once nothing refers to it, here and in the JVM."""
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
-
-
 def _met(own: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The candidate pairs (_a, _b) between components, and the members (_bucket, _id) of crowded buckets, from all tables."""
     parts = []
     for k in range(0, TABLES, AT_ONCE):
-        _released(own)
+        release(own.sparkSession)
         parts.append(staged(_votes(_entries(own, list(range(k, min(k + AT_ONCE, TABLES))))), "image-votes"))
-    _released(own)
+    release(own.sparkSession)
     met = functools.reduce(DataFrame.unionByName, parts)
     # two votes by different descriptors of both images: of the least and the largest, both halves differ
     counted = met.filter("_bucket is null").groupBy("_a", "_b").agg(F.min("_vote").alias("_low"), F.max("_vote").alias("_high"))
     differ = F.col("_low").bitwiseXOR(F.col("_high"))
     pairs = counted.filter((F.shiftrightunsigned(differ, 32) != 0) & (differ.bitwiseAND(F.lit((1 << 32) - 1)) != 0)).select("_a", "_b")
     pairs = cut(pairs)
-    _released(own)
+    release(own.sparkSession)
     return pairs, met.filter("_bucket is not null").select("_bucket", F.col("_a").alias("_id")).distinct()
 
 
@@ -614,7 +607,7 @@ def _alike(pairs: DataFrame, own: DataFrame, inliers: int) -> DataFrame:
         out.append(both.mapInArrow(run, f"_a {kind}, _b {kind}"))
         if rounds > 1:
             out[-1] = cut(out[-1])
-            _released(own)
+            release(own.sparkSession)
     return functools.reduce(DataFrame.unionByName, out)
 
 

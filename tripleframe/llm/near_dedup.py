@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, one_of_each, staged
+from .common import cut, one_of_each, release, staged
 from .linking import connect, popularity, shared_buckets
 
 SHINGLE, BANDS, ROWS = 5, 52, 6
@@ -212,6 +212,7 @@ def _connected(signed: DataFrame, docs: DataFrame, id_col: str, text_col: str, s
         return None
     full = staged(_full_sets(docs, popular.select("_id"), id_col, text_col), "near-sets")
     some = staged(signed.join(popular.select("_id"), "_id", "left_semi").select("_id", _load(F.col("_n"), F.col("_sig")).alias("_load")), "near-signatures")
+    release(signed.sparkSession)
     bounds = least_matches(share / 100)
     possible = lambda bucket, left, right: possible_pairs(bucket, left, right, bounds, share)
     payload = some.join(full.select("_id", F.col("_short").alias("_more")), "_id")

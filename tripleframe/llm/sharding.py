@@ -9,11 +9,11 @@
    running sums over ranges place every row on the line of all bytes, and the
    line is cut into shards of equal length.
 
-Law `bytes`: shards differ by little. Rows of equal texts stay in one shard
-wherever it has room for them:
+Law `bytes`: shards differ by little. Rows of equal texts stay in one shard,
+unless they are more than a shard:
 * groups of more than LARGE of a shard's bytes are placed first, the largest
   first, each whole in the shard with the most room; there are at most shards /
-  LARGE of them. One that fits into no shard's room is split over shards.
+  LARGE of them. Those of more than a shard's bytes are split over shards.
 * all others move as one along the line, which fills the room that is left; so
   shards differ by LARGE of a shard or one group or row, whatever is more.
 
@@ -116,15 +116,16 @@ def split_keys(keys: DataFrame, total: int, shards: int, large: list[int]) -> tu
 
 
 def _placed_groups(groups: list[tuple[int, int, int]], total: int, shards: int) -> tuple[dict[int, int], list[int]]:
-    """The shard of each group (hash, bytes, rows) that fits whole into one, the largest first, and the bytes that shards have left."""
+    """The shard of each group (hash, bytes, rows) that is no larger than one, the largest first, and the bytes that shards have left."""
     room = [total // shards + (s < total % shards) for s in range(shards)]
+    most = max(room)
     where: dict[int, int] = {}
     for h, size, _ in sorted(groups, key=lambda g: (-g[1], g[0])):
-        s = max(range(shards), key=lambda s: (room[s], -s))
-        if size <= room[s]:
+        if size <= most:
+            s = max(range(shards), key=lambda s: (room[s], -s))
             where[h] = s
             room[s] -= size
-    return where, room
+    return where, [max(0, r) for r in room]
 
 
 def shard(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -152,7 +153,8 @@ def _sharded(docs: DataFrame, shards: int, id_col: str, text_col: str) -> DataFr
     large = by_text.filter((F.col("_rows") > 1) & (F.col("_bytes") > F.lit(LARGE * total / shards)))
     groups = [tuple(r) for r in large.collect()] if total else []  # shards / LARGE at most
     where, room = _placed_groups(groups, total, shards)
-    ends = [sum(room[: s + 1]) for s in range(shards)]
+    on_the_line = total - sum(size for h, size, _ in groups if h in where)
+    ends = [sum(room[: s + 1]) * on_the_line // max(1, sum(room)) for s in range(shards)]
     if total:
         ranged, splitters, filled = split_keys(keys, total, shards, sorted(h for h, *_ in groups))
     else:
