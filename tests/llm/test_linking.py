@@ -50,10 +50,10 @@ def test_five_thousand_unlinked_members_of_a_bucket(spark):
     widths, blocks = [], []
     real = linking._met
 
-    def watched(made, wide, possible):
+    def watched(made, possible):
         blocks.append(made.count())
-        widths.append(wide.agg(F.max("_wide")).first()[0])
-        return real(made, wide, possible)
+        widths.append(made.agg(F.max("_cells")).first()[0])
+        return real(made, possible)
 
     linking._met = watched
     try:
@@ -61,7 +61,7 @@ def test_five_thousand_unlinked_members_of_a_bucket(spark):
     finally:
         linking._met = real
     assert {(r["_a"], r["_b"]) for r in found.collect()} == wanted
-    assert blocks[0] <= 2 * n / linking.BLOCK + 2 * classes and widths[0] <= n / classes / linking.BLOCK + 2
+    assert blocks[0] <= 2 * n / linking.BLOCK + 2 * classes and widths[0] <= n / classes / linking.BLOCK / linking.CELL + 1
     assert {r["_node"]: r["_label"] for r in labels.collect()} == {i: i for i in range(n)} | {b: min(a for a, c in wanted if c == b) for _, b in wanted}
 
 

@@ -102,7 +102,7 @@ def connect(
     labels = labelled(popular, links)
     open_ = cut(_unconnected(members, labels))
     if not open_.isEmpty():
-        more = cut(check(cut(_met(_blocks(open_, payload), _widths(open_), possible).distinct())))
+        more = cut(check(cut(_met(_blocks(open_, payload), possible).distinct())))
         if not more.isEmpty():
             links = more if links is None else links.unionByName(more)
             labels = labelled(popular, links)
@@ -110,54 +110,45 @@ def connect(
 
 
 def _unconnected(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """The members of buckets with several components: _group, _bucket (null in large ones), _id, _class, _label, _most (the largest component's label), _many (records of the group and class)."""
+    """The members of buckets with several components: _group, _bucket (null in large ones), _id, _class, _label, _most (the largest component's label), _many (records of the group and class), _widest (those of the group's largest class)."""
     now = members.join(labels, F.col("_id") == F.col("_node")).select("_bucket", "_id", "_class", "_label")
     parts = now.groupBy("_bucket", "_label").agg(F.count(F.lit(1)).alias("_part"))
     largest = parts.groupBy("_bucket").agg(F.max(F.struct("_part", "_label"))["_label"].alias("_most"), F.sum("_part").alias("_many"), F.count(F.lit(1)).alias("_parts"))
     now = cut(now.join(largest.filter("_parts > 1").drop("_parts"), "_bucket"))
-    small = now.filter(F.col("_many") <= BLOCK).select(F.col("_bucket").alias("_group"), "_bucket", "_id", F.lit(0).alias("_class"), "_label", "_most", "_many")
+    small = now.filter(F.col("_many") <= BLOCK).select(F.col("_bucket").alias("_group"), "_bucket", "_id", F.lit(0).alias("_class"), "_label", "_most", "_many", F.col("_many").alias("_widest"))
     large = now.filter(F.col("_many") > BLOCK).select("_id", "_class", "_label", "_most").distinct()
     counts = large.groupBy("_most", "_class").agg(F.count(F.lit(1)).alias("_many"))
-    large = large.join(counts, ["_most", "_class"]).select(F.xxhash64("_most").alias("_group"), F.lit(None).cast("bigint").alias("_bucket"), "_id", "_class", "_label", "_most", "_many")
+    classes = counts.groupBy("_most").agg(F.max("_many").alias("_widest"), F.map_from_entries(F.collect_list(F.struct("_class", "_many"))).alias("_of"))  # a number for each class
+    large = large.join(classes, "_most").select(
+        F.xxhash64("_most").alias("_group"), F.lit(None).cast("bigint").alias("_bucket"), "_id", "_class", "_label", "_most", F.col("_of")[F.col("_class")].alias("_many"), "_widest"
+    )
     return small.unionByName(large)
 
 
 def _blocks(now: DataFrame, payload: DataFrame) -> DataFrame:
-    """_group, _bucket, _class, _other (not of the largest component), _block, _records: about BLOCK records."""
+    """_group, _bucket, _class, _other (not of the largest component), _block, _cells (of the group's largest class), _records: about BLOCK records."""
     blocks = F.ceil(F.col("_many") / BLOCK).cast("int")
     more = F.when(F.col("_bucket").isNull(), F.col("_more")).alias("_more")
     record = F.struct("_id", "_label", "_load", more).alias("_record")
     loaded = now.join(payload, "_id").select(
-        "_group", "_bucket", "_class", (F.col("_label") != F.col("_most")).alias("_other"), F.pmod(F.xxhash64("_id"), blocks).cast("int").alias("_block"), record
+        "_group", "_bucket", "_class", (F.col("_label") != F.col("_most")).alias("_other"), F.pmod(F.xxhash64("_id"), blocks).cast("int").alias("_block"), F.ceil(F.col("_widest") / (BLOCK * CELL)).cast("int").alias("_cells"), record
     )
-    return loaded.groupBy("_group", "_bucket", "_class", "_other", "_block").agg(F.collect_list("_record").alias("_records"))
-
-
-def _widths(now: DataFrame) -> DataFrame:
-    """_g, _o, _c, _wide: the number of blocks of a group's (or small bucket's) class."""
-    return now.select(F.col("_group").alias("_g"), F.col("_bucket").alias("_o"), F.col("_class").alias("_c"), F.ceil(F.col("_many") / BLOCK).cast("int").alias("_wide")).distinct()
+    return loaded.groupBy("_group", "_bucket", "_class", "_other", "_block", "_cells").agg(F.collect_list("_record").alias("_records"))
 
 
-def _met(blocks: DataFrame, widths: DataFrame, possible: Callable[[int, list, list], list[tuple]]) -> DataFrame:
+def _met(blocks: DataFrame, possible: Callable[[int, list, list], list[tuple]]) -> DataFrame:
     """The possible pairs (_a, _b) between blocks.
 
     A block of one side goes to every cell of the other side's blocks, so that a group of n blocks becomes
     (n / CELL)^2 keys, none of which holds more than CELL^2 pairs of blocks of each kind.
     """
     kind = blocks.schema["_records"].dataType.elementType["_id"].dataType.simpleString()
-    near = F.array(F.col("_class") - 1, F.col("_class"), F.col("_class") + 1)
-    cells = F.explode(F.sequence(F.lit(0), ((F.col("_wide") - 1) / CELL).cast("int")))
-    at = (F.col("_block") / CELL).cast("int")
-
-    def dealt(side: DataFrame, towards: str) -> DataFrame:
-        """side, once for each cell of blocks of the class in the column `towards`."""
-        same = (F.col("_group") == F.col("_g")) & F.col("_bucket").eqNullSafe(F.col("_o")) & (F.col(towards) == F.col("_c"))
-        return side.join(widths, same).select(*side.columns, cells.alias("_cell"))
-
-    others = blocks.filter("_other").select("_group", F.col("_bucket").alias("_of"), "_class", F.col("_block").alias("_lb"), F.col("_records").alias("_left"), F.explode(near).alias("_to"), at.alias("_row"))
-    left = dealt(others.withColumn("_bucket", F.col("_of")), "_to").select("_group", "_of", F.col("_class").alias("_from"), "_to", "_lb", "_left", "_row", F.col("_cell").alias("_col"))
-    toward = blocks.select("_group", "_bucket", F.col("_class").alias("_to"), "_other", "_block", "_records", F.explode(near).alias("_from"), at.alias("_col"))
-    right = dealt(toward, "_from").withColumnRenamed("_cell", "_row")
+    near = F.explode(F.array(F.col("_class") - 1, F.col("_class"), F.col("_class") + 1))
+    cells, at = F.explode(F.sequence(F.lit(0), F.col("_cells") - 1)), (F.col("_block") / CELL).cast("int")
+    left = blocks.filter("_other").select("_group", F.col("_bucket").alias("_of"), F.col("_class").alias("_from"), F.col("_block").alias("_lb"), F.col("_records").alias("_left"), at.alias("_row"), "_cells", near.alias("_to"))
+    left = left.select("_group", "_of", "_from", "_to", "_lb", "_left", "_row", cells.alias("_col"))
+    right = blocks.select("_group", "_bucket", F.col("_class").alias("_to"), "_other", "_block", "_records", at.alias("_col"), "_cells", near.alias("_from"))
+    right = right.select("_group", "_bucket", "_from", "_to", "_other", "_block", "_records", "_col", cells.alias("_row"))
     # two blocks of others meet once: in the lower class, or lower number of one class, first
     once = ~F.col("_other") | (F.struct("_from", "_lb") <= F.struct("_to", "_block"))
     pairs = left.join(right, ["_group", "_from", "_to", "_row", "_col"]).filter(F.col("_of").eqNullSafe(F.col("_bucket")) & once).select("_bucket", "_left", "_records")
