@@ -32,6 +32,30 @@ def test_sql_names(spark, tmp_path):
     assert tuple(got)[:3] == (True, True, False) and got[3].startswith("SELECT count(1) > 0")
 
 
+def test_sql_table_functions(spark, tmp_path):
+    """Each of them by sql(): distributed, with named arguments and lists, and under further SQL."""
+    from tripleframe.operators.pivot import pivot_rdf
+    from tripleframe.operators.profile import profile_rdf
+    from tripleframe.sources.reader import read_rdf_prefixes
+    from tripleframe.sqlapi import sql
+
+    nt, ttl = put(tmp_path, "x.nt", NT), put(tmp_path, "y.ttl", TTL)
+    put(tmp_path, "bad.nt", NT + "broken\n")
+    want = rows(read_rdf(spark, nt))
+    assert rows(sql(spark, f"SELECT * FROM read_rdf('{nt}')")) == want
+    assert sql(spark, f"SELECT count(*) FROM read_rdf(['{nt}', '{nt}'], filename => true) AS t WHERE filename LIKE '%x.nt'").first()[0] == 2 * len(want)
+    assert sql(spark, f"SELECT count(*) FROM READ_RDF ( ARRAY['{tmp_path}/b*.nt'] , strict_parsing := false, file_type = 'nt')").first()[0] == len(want)
+    assert rows(sql(spark, f"SELECT * FROM read_rdf_prefixes('{ttl}')")) == rows(read_rdf_prefixes(spark, ttl))
+    assert rows(sql(spark, f"SELECT predicate, subject_count FROM profile_rdf('{nt}')")) == rows(profile_rdf(spark, nt).select("predicate", "subject_count"))
+    assert rows(sql(spark, f"SELECT * FROM pivot_rdf('{nt}') -- read_rdf('no call')")) == rows(pivot_rdf(spark, nt))
+    full = tmp_path / "full.ttl"
+    full.write_text(STAFF)
+    assert tuple(sql(spark, f"SELECT is_valid_r2rml('{full}') AS a, can_call_inside_out('{full}') AS b, 'read_rdf(''x'')' AS c").first()) == (True, False, "read_rdf('x')")
+    assert sql(spark, f"SELECT sparql_to_sql('ASK {{ ?s ?p ?o }}', '{full}') AS q").first()[0].startswith("SELECT count(1) > 0")
+    with pytest.raises(InvalidInput, match="constant"):
+        sql(spark, "SELECT * FROM read_rdf(some_column)")
+
+
 def test_data_source(spark, tmp_path):
     register(spark)
     put(tmp_path, "a.nt", NT)

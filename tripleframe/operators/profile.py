@@ -26,27 +26,31 @@ def label() -> Column:
 def profile(triples: DataFrame, has_graphs: bool = True) -> DataFrame:
     """The profile of a triple table with object_kind; also _multi: some subject has the predicate more than once.
 
-    Counts and extremes are aggregated by predicate and label before any shuffle; the only large exchange is that of
-    (predicate, subject), which exact distinct counts need.
+    Two passes over the triples, each aggregated before any shuffle: counts and extremes by predicate, label and graph,
+    and the pairs of predicate and subject, whose exchange is the only large one and which exact distinct counts need.
     """
-    typed = triples.select("predicate", label().alias("_label"), "object")
+    graph = F.coalesce("graph", F.lit("")) if has_graphs else F.lit("")
+    typed = triples.select("predicate", label().alias("_label"), graph.alias("_g"), "object")
     # the empty list makes Spark aggregate strings by hash, not by sorting the table; it holds nothing
     nothing = F.collect_list(F.lit(None).cast("string"))
-    by_type = typed.groupBy("predicate", "_label").agg(F.count(F.lit(1)).alias("_n"), F.min("object").alias("_min"), F.max("object").alias("_max"), nothing.alias("_none"))
-    pair = lambda value: F.map_from_entries(F.array_sort(F.collect_list(F.struct("_label", value))))
+    by_graph = typed.groupBy("predicate", "_label", "_g").agg(F.count(F.lit(1)).alias("_n"), F.min("object").alias("_min"), F.max("object").alias("_max"), nothing.alias("_none"))
+    # a graph counts with the first of its labels, so that no set of graphs is held
+    said = F.struct("_label", (F.col("_n") + F.size("_none")).alias("n"), F.col("_min").alias("low"), F.col("_max").alias("high"))
+    whole = by_graph.groupBy("predicate", "_g").agg(F.collect_list(said).alias("_labels")).select("predicate", F.posexplode("_labels").alias("_at", "_is"))
+    by_type = whole.groupBy("predicate", F.col("_is._label").alias("_label")).agg(
+        F.sum("_is.n").alias("_n"), F.min("_is.low").alias("_min"), F.max("_is.high").alias("_max"), F.sum(F.when(F.col("_at") == 0, 1).otherwise(0)).alias("_graphs")
+    )
+    pair = lambda value: F.map_from_entries(F.array_sort(F.collect_list(F.struct("_label", F.col(value).alias("v")))))
     types = by_type.groupBy("predicate").agg(
         F.array_sort(F.collect_list("_label")).alias("types"),
-        pair((F.col("_n") + F.size("_none")).alias("v")).alias("count"),
-        pair(F.col("_min").alias("v")).alias("min"),
-        pair(F.col("_max").alias("v")).alias("max"),
+        pair("_n").alias("count"),
+        pair("_min").alias("min"),
+        pair("_max").alias("max"),
+        F.sum("_graphs").alias("graph_count"),
     )
     by_subject = triples.groupBy("predicate", "subject").agg(F.count(F.lit(1)).alias("_n"))
     subjects = by_subject.groupBy("predicate").agg(F.count(F.lit(1)).alias("subject_count"), (F.max("_n") > 1).alias("_multi"))
-    if has_graphs:
-        graphs = triples.select("predicate", F.coalesce("graph", F.lit("")).alias("_g")).distinct().groupBy("predicate").agg(F.count(F.lit(1)).alias("graph_count"))
-        out = types.join(graphs, "predicate").join(subjects, "predicate")
-    else:
-        out = types.join(subjects, "predicate").withColumn("graph_count", F.lit(1).cast("bigint"))
+    out = types.join(subjects, "predicate")
     return out.select("predicate", "types", "count", "min", "max", "graph_count", "subject_count", "_multi")
 
 

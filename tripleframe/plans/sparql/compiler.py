@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
@@ -235,11 +236,32 @@ class Compiler:
     def join(self, a: Solution | None, b: Solution) -> Solution:
         if a is None:
             return b
+        for n in a.vars:
+            if n in b.vars and (a.vars[n].optional or b.vars[n].optional):
+                return self.join_in_parts(a, b)
         left, right = self.alias(), self.alias()
         on, columns = self.shared(a, b, left, right)
         how = f"JOIN ({b.sql}) AS {right} ON {' AND '.join(on)}" if on else f"CROSS JOIN ({b.sql}) AS {right}"
         return Solution(f"SELECT {', '.join(columns) or '1 AS `_one`'} FROM ({a.sql}) AS {left} {how}", self.both(a, b))
 
+    def join_in_parts(self, a: Solution, b: Solution) -> Solution:
+        """A join on variables that may be unbound: sides are split by which of them are bound, so that each part joins by equality."""
+        loose = [n for n in a.vars if n in b.vars and (a.vars[n].optional or b.vars[n].optional)]
+        infos, parts = self.both(a, b), []
+        for bound_a in itertools.product(*[(True, False) if a.vars[n].optional else (True,) for n in loose]):
+            for bound_b in itertools.product(*[(True, False) if b.vars[n].optional else (True,) for n in loose]):
+                left, right = self.alias(), self.alias()
+                on = [f"{column(n, left)} = {column(n, right)}" for n in a.vars if n in b.vars and n not in loose]
+                on += [f"{column(n, left)} = {column(n, right)}" for n, x, y in zip(loose, bound_a, bound_b, strict=True) if x and y]
+                sides = []
+                for s, bound in ((a, bound_a), (b, bound_b)):
+                    tests = [f"{column(n)} IS {'NOT ' if x else ''}NULL" for n, x in zip(loose, bound, strict=True) if s.vars[n].optional]
+                    sides.append(f"(SELECT * FROM ({s.sql}) WHERE {' AND '.join(tests)})" if tests else f"({s.sql})")
+                columns = [f"{f'coalesce({column(n, left)}, {column(n, right)})' if n in loose else column(n, left if n in a.vars else right)} AS {column(n)}" for n in infos]
+                how = f"JOIN {sides[1]} AS {right} ON {' AND '.join(on)}" if on else f"CROSS JOIN {sides[1]} AS {right}"
+                parts.append(f"SELECT {', '.join(columns)} FROM {sides[0]} AS {left} {how}")
+        return Solution(" UNION ALL ".join(parts), infos)
+
     def optional(self, a: Solution, g: Group) -> Solution:
         filters = [e.expr for e in g.elements if isinstance(e, Filter)]
         b = self.group(Group([e for e in g.elements if not isinstance(e, Filter)]))
@@ -247,9 +269,29 @@ class Compiler:
         on, columns = self.shared(a, b, left, right)
         scope = {n: (column(n, right), i) for n, i in b.vars.items()}
         scope |= {n: (f"coalesce({column(n, left)}, {column(n, right)})" if n in b.vars else column(n, left), i) for n, i in a.vars.items()}
-        on += [Expressions(scope, None, None, "FILTER").truth(e) for e in filters]
+        plain = [e for e in filters if not _has_exists(e)]
+        on += [Expressions(scope, None, None, "FILTER").truth(e) for e in plain]
+        if len(plain) < len(filters):
+            return self.optional_where(a, b, on, columns, left, right, [e for e in filters if _has_exists(e)])
         return Solution(f"SELECT {', '.join(columns) or '1 AS `_one`'} FROM ({a.sql}) AS {left} LEFT JOIN ({b.sql}) AS {right} ON {' AND '.join(on) or 'true'}", self.both(a, b, True))
 
+    def optional_where(self, a: Solution, b: Solution, on: list[str], columns: list[str], left: str, right: str, filters: list) -> Solution:
+        """OPTIONAL whose filters hold EXISTS, which no join condition can: the filtered join, and the rows of a that it leaves out."""
+        infos, keys = self.both(a, b, True), [column(n) for n in a.vars]
+        # equal rows of a go together, with their number
+        grouped = f"SELECT {', '.join([*keys, 'count(1) AS `_times`'])} FROM ({a.sql}) GROUP BY {', '.join(keys)}" if keys else f"SELECT count(1) AS `_times` FROM ({a.sql})"
+        joined = f"SELECT {', '.join([*columns, f'{left}.`_times` AS `_times`', *[f'{left}.{k} AS {name(f"_k{i}")}' for i, k in enumerate(keys)]])} FROM ({grouped}) AS {left} JOIN ({b.sql}) AS {right} ON {' AND '.join(on) or 'true'}"
+        alias = self.alias()
+        inner = Solution(joined, infos)
+        test = " AND ".join(self.expressions(inner, alias, "FILTER").truth(e) for e in filters)
+        found = f"SELECT * FROM ({joined}) AS {alias} WHERE {test}"
+        l2, r2 = self.alias(), self.alias()
+        same = " AND ".join(f"{l2}.{k} <=> {r2}.{name(f'_k{i}')}" for i, k in enumerate(keys)) or "true"
+        shown = [f"coalesce({r2}.{column(n)}, {l2}.{column(n)}) AS {column(n)}" if n in a.vars else f"{r2}.{column(n)} AS {column(n)}" for n in infos]
+        times = f"explode(sequence(1L, {l2}.`_times`)) AS `_time`"
+        sql = f"SELECT {', '.join([*shown, times])} FROM ({grouped}) AS {l2} LEFT JOIN ({found}) AS {r2} ON {same}"
+        return Solution(f"SELECT {', '.join(column(n) for n in infos) or '1 AS `_one`'} FROM ({sql})", infos)
+
     def minus(self, a: Solution, b: Solution) -> Solution:
         common = [n for n in a.vars if n in b.vars]
         if not common:
@@ -390,6 +432,10 @@ class Compiler:
         return out[0] if len(out) == 1 else self.union(out)
 
 
+def _has_exists(e) -> bool:
+    return isinstance(e, Exists) or any(_has_exists(x) for x in getattr(e, "args", ()))
+
+
 def unit() -> Solution:
     """One solution without variables."""
     return Solution("SELECT 1 AS `_one`", {})

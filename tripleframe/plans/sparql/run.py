@@ -65,10 +65,10 @@ def execute_sparql(spark: SparkSession, query: str, mapping: str | Mapping, uniq
 
 
 def transitive_closure(edges: DataFrame) -> DataFrame:
-    """cte_from, cte_to of all paths of one edge or more: semi-naive iteration.
+    """cte_from, cte_to of all paths of one edge or more: semi-naive iteration by doubling.
 
-    Each round joins only the pairs that are new; a reliable checkpoint in the session's shared folder cuts lineage,
-    so lost executors cost the current round alone.
+    Each round joins the pairs that are new with all known ones; a reliable checkpoint in the session's shared folder
+    cuts lineage, so lost executors cost the current round alone.
     """
     spark = edges.sparkSession
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
@@ -81,11 +81,13 @@ def transitive_closure(edges: DataFrame) -> DataFrame:
             folder = "file://" + tempfile.mkdtemp(prefix="tripleframe-")
         spark.sparkContext.setCheckpointDir(folder)
     edges = edges.select("cte_from", "cte_to").filter("cte_from is not null and cte_to is not null").distinct().checkpoint()
-    step = edges.select(F.col("cte_from").alias("_via"), F.col("cte_to").alias("_next"))
+    # paths double in length each round, so that a chain of n edges takes log n rounds; pairs are found by their shortest halves
     known = new = edges
     while True:
-        found = new.join(step, F.col("cte_to") == F.col("_via")).select("cte_from", F.col("_next").alias("cte_to")).distinct()
-        new = found.join(known, ["cte_from", "cte_to"], "left_anti").checkpoint()
+        ends = lambda df, a, b: df.select(F.col("cte_from").alias(a), F.col("cte_to").alias(b))
+        ahead = ends(new, "cte_from", "_via").join(ends(known, "_via", "cte_to"), "_via").select("cte_from", "cte_to")
+        behind = ends(known, "cte_from", "_via").join(ends(new, "_via", "cte_to"), "_via").select("cte_from", "cte_to")
+        new = ahead.union(behind).distinct().join(known, ["cte_from", "cte_to"], "left_anti").checkpoint()
         if new.isEmpty():
             return known
-        known = known.union(new).checkpoint()
+        known = known.union(new)  # of checkpoints: nothing is written again

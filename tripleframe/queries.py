@@ -14,14 +14,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .model import COLUMNS, KIND
-from .operators.pivot import pivot, pivot_schema, union_extract, union_tag
-from .operators.profile import profile
+from .operators.pivot import pivot, pivot_rdf, pivot_schema, union_extract, union_tag
+from .operators.profile import profile, profile_rdf
 from .plans import r2rml
-from .plans.sparql.run import execute_sparql
+from .plans.mapping import can_call_inside_out, is_valid_r2rml
+from .plans.sparql.run import execute_sparql, sparql_to_sql
 from .plans.write import escape_literal, rows_to_triples, tables_to_triples, triples_to_lines, write_rdf
 from .sources.lines import statements
-from .sources.reader import read_rdf, read_rdf_prefixes
-from .sqlapi import catalog
+from .sources.paths import files_of
+from .sources.reader import read_rdf, read_rdf_prefixes, skipped_lines
+from .sqlapi import FUNCTIONS, catalog, sql
+from .streaming.reader import read_rdf_stream
 
 EX = "http://example.org/ns#"
 DATA = "http://data.example.org/"
@@ -62,8 +65,11 @@ def typed(value: Column | str, name: str) -> Column:
     return F.concat(quoted(value), F.lit(f"^^<{_XSD}{name}>"))
 
 
-def lines(df: DataFrame, subject: Column, objects: dict[str, Column], graph: Column | None = None) -> DataFrame:
-    """A line for each row and predicate."""
+def lines(df: DataFrame, subject: Column, objects: dict[str, Column], graph: Column | None = None, at_once: bool = False) -> DataFrame:
+    """A line for each row and predicate; at_once: as df's rows are dealt and in their order."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if not at_once and df.rdd.getNumPartitions() < cores:  # a table of few row groups: each row becomes several lines, which all cores should cut
+        df = df.repartition(cores)
     tail = F.lit(" .") if graph is None else F.concat(F.lit(" "), graph, F.lit(" ."))
     made = [F.concat(subject, F.lit(f" <{EX}{p}> "), o, tail) for p, o in objects.items()]
     return df.select(F.explode(F.array(*made)).alias("value")).filter("value is not null")
@@ -234,12 +240,12 @@ def pivot_lang_struct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"SELECT '{DATA}order/' || o_orderkey AS subject, '{DATA}customer/' || o_custkey AS customer, o_orderkey AS okey, o_orderpriority AS priority FROM orders WHERE o_orderstatus = 'F'"
+    f"SELECT '{DATA}status/' || o_orderstatus AS graph, '{DATA}order/' || o_orderkey AS subject, '{DATA}customer/' || o_custkey AS customer, o_orderkey AS okey, o_orderpriority AS priority FROM orders"
 )
 def pivot_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = numbered(order_lines(spark, sf_dir), True)
-    out = pivot(data, pivot_schema(profile(data).collect())).filter(F.col("graph") == f"{DATA}status/F")
-    return out.select("subject", *[F.col(f"`{EX}{c}`").alias(n) for c, n in (("customer", "customer"), ("key", "okey"), ("priority", "priority"))])
+    out = pivot(data, pivot_schema(profile(data).collect()))
+    return out.select("graph", "subject", *[F.col(f"`{EX}{c}`").alias(n) for c, n in (("customer", "customer"), ("key", "okey"), ("priority", "priority"))])
 
 
 @query(
@@ -451,7 +457,7 @@ sparql_query(
     f"SELECT {_C}c_custkey AS v_c, {_O}o_orderkey AS v_o FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND o_orderstatus = 'P'",
 )
 sparql_query("filter_numeric", "SELECT ?p ?s { ?p ex:size ?s FILTER(?s > 40 && ?s <= 45) }", f"SELECT {_P}p_partkey AS v_p, p_size::VARCHAR AS v_s FROM part WHERE p_size > 40 AND p_size <= 45")
-sparql_query("filter_regex", "SELECT ?n { ?x ex:nationName ?n FILTER REGEX(?n, '^[a-i].*a$', 'i') }", "SELECT DISTINCT n_name AS v_n FROM nation WHERE regexp_matches(lower(n_name), '^[a-i].*a$')")
+sparql_query("filter_regex", "SELECT ?n { ?x ex:nationName ?n FILTER REGEX(?n, '^nation.*[1-4]$', 'i') }", "SELECT DISTINCT n_name AS v_n FROM nation WHERE regexp_matches(lower(n_name), '^nation.*[1-4]$')")
 sparql_query(
     "bind_concat",
     "SELECT ?x { ?p ex:partName ?n ; ex:brand ?b BIND(CONCAT(UCASE(?b), ':', SUBSTR(?n, 1, 4)) AS ?x) }",
@@ -478,7 +484,7 @@ sparql_query(
     "minus", "SELECT ?c { ?c a ex:Customer MINUS { ?o ex:placedBy ?c ; ex:status 'F' } }", f"SELECT {_C}c_custkey AS v_c FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')"
 )
 sparql_query("exists", "SELECT ?n { ?x ex:nationName ?n FILTER EXISTS { ?s a ex:Supplier ; ex:ofNation ?x } }", "SELECT n_name AS v_n FROM nation WHERE n_nationkey IN (SELECT s_nationkey FROM supplier)")
-sparql_query("not_exists", "SELECT ?c { ?c a ex:Customer FILTER NOT EXISTS { ?o ex:placedBy ?c } }", f"SELECT {_C}c_custkey AS v_c FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+sparql_query("not_exists", "SELECT ?c { ?c a ex:Customer FILTER NOT EXISTS { ?o ex:placedBy ?c ; ex:status 'P' } }", f"SELECT {_C}c_custkey AS v_c FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")
 sparql_query(
     "values",
     f"SELECT ?r ?n {{ VALUES ?r {{ <{DATA}region/1> <{DATA}region/3> }} ?x ex:inRegion ?r ; ex:nationName ?n }}",
@@ -515,7 +521,7 @@ sparql_query(
 #: A chain over the turns of conversations, and a cycle over nation keys.
 _PATHS = r2rml.parse(
     _HEAD
-    + f'<#T> rr:logicalTable [ rr:sqlQuery "SELECT conv_id, turn, turn + 1 AS following FROM conversations WHERE turn < 3" ] ; rr:subjectMap [ rr:template "{DATA}turn/{{conv_id}}/{{turn}}" ] ; '
+    + f'<#T> rr:logicalTable [ rr:sqlQuery "SELECT conv_id, turn, turn + 1 AS following FROM conversations" ] ; rr:subjectMap [ rr:template "{DATA}turn/{{conv_id}}/{{turn}}" ] ; '
     + _ref("next", "turn/{conv_id}/{following}")
     + f' .\n<#N> rr:logicalTable [ rr:sqlQuery "SELECT n_nationkey, (n_nationkey + 5) % 25 AS other FROM nation" ] ; rr:subjectMap [ rr:template "{DATA}nation/{{n_nationkey}}" ] ; '
     + _ref("step", "nation/{other}")
@@ -524,35 +530,15 @@ _PATHS = r2rml.parse(
 
 
 @query(
-    f"""WITH RECURSIVE e AS (SELECT DISTINCT conv_id, turn AS a, turn + 1 AS b FROM conversations WHERE turn < 3),
+    f"""WITH RECURSIVE e AS (SELECT DISTINCT conv_id, turn AS a, turn + 1 AS b FROM conversations),
 c AS (SELECT conv_id, a, b FROM e UNION SELECT c.conv_id, c.a, e.b FROM c JOIN e ON c.conv_id = e.conv_id AND c.b = e.a)
-SELECT '{DATA}turn/' || conv_id || '/' || a AS v_x, '{DATA}turn/' || conv_id || '/' || b AS v_y FROM c"""
+SELECT '{DATA}turn/' || conv_id || '/' || a AS v_x, '{DATA}turn/' || conv_id || '/' || b AS v_y FROM c WHERE conv_id IS NOT NULL AND a IS NOT NULL"""
 )
 def sparql_path_plus(spark: SparkSession, sf_dir: str) -> DataFrame:
     views(spark, sf_dir, "conversations", "nation")
     return execute_sparql(spark, f"PREFIX ex: <{EX}> SELECT ?x ?y {{ ?x ex:next+ ?y }}", _PATHS)
 
 
-#: The same chain over all turns.
-_WHOLE_PATHS = r2rml.parse(
-    _HEAD
-    + f'<#T> rr:logicalTable [ rr:sqlQuery "SELECT conv_id, turn, turn + 1 AS following FROM conversations" ] ; rr:subjectMap [ rr:template "{DATA}turn/{{conv_id}}/{{turn}}" ] ; '
-    + _ref("next", "turn/{conv_id}/{following}")
-    + " .\n"
-)
-
-
-@query(
-    f"""WITH RECURSIVE e AS (SELECT DISTINCT conv_id, turn AS a, turn + 1 AS b FROM conversations),
-c AS (SELECT conv_id, a, b FROM e UNION SELECT c.conv_id, c.a, e.b FROM c JOIN e ON c.conv_id = e.conv_id AND c.b = e.a)
-SELECT '{DATA}turn/' || conv_id || '/' || a AS v_x, '{DATA}turn/' || conv_id || '/' || b AS v_y FROM c WHERE conv_id IS NOT NULL AND a IS NOT NULL"""
-)
-def sparql_path_plus_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The closure over every turn; sparql_path_plus has the first three."""
-    views(spark, sf_dir, "conversations")
-    return execute_sparql(spark, f"PREFIX ex: <{EX}> SELECT ?x ?y {{ ?x ex:next+ ?y }}", _WHOLE_PATHS)
-
-
 @query(f"SELECT {_N}a.n_nationkey AS v_x, {_N}b.n_nationkey AS v_y FROM nation a JOIN nation b ON a.n_nationkey % 5 = b.n_nationkey % 5")
 def sparql_path_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     views(spark, sf_dir, "conversations", "nation")
@@ -567,6 +553,312 @@ def sparql_outer_join_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.join(table(spark, sf_dir, "orders"), F.col("c_custkey") == F.col("o_custkey")).filter("v_rn = 'EUROPE'").select("c_custkey", "v_rn", "o_orderkey")
 
 
-@query()
+@query("SELECT * FROM (VALUES " + ", ".join(f"('{n}', '{k}')" for n, (k, *_) in FUNCTIONS.items()) + ") v(function_name, kind)")
 def function_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return catalog(spark)
+    return catalog(spark).filter("length(description) > 0 and size(examples) > 0").select("function_name", "kind")
+
+
+# readers of files: globs, codecs, ranges, lax and strict
+
+
+def _files(spark: SparkSession, text: DataFrame, files: int, codec: str = "none") -> str:
+    """Lines written as so many files."""
+    path = work_dir(spark)
+    text.repartition(files).write.option("compression", codec).option("lineSep", "\n").text(path)
+    return path
+
+
+_SUPPLIERS = "SELECT count(*) AS n, count(DISTINCT s_name) AS names FROM supplier"
+
+
+def supplier_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines(table(spark, sf_dir, "supplier"), iri("supplier", "s_suppkey"), {"name": quoted("s_name")})
+
+
+def _counted(df: DataFrame) -> DataFrame:
+    return df.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("object").alias("names"))
+
+
+@query(_SUPPLIERS)
+def read_gz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _files(spark, supplier_lines(spark, sf_dir), 2, "gzip")
+    return _counted(read_rdf(spark, f"{path}/*.txt.gz", file_type="nt"))
+
+
+@query("SELECT 2 * count(*) AS n, 2::BIGINT AS files FROM supplier")
+def read_globs_and_filenames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A list of a folder and a glob, and the files' names."""
+    path = _files(spark, supplier_lines(spark, sf_dir), 2)
+    found = read_rdf(spark, [path, f"{path}/part-*.txt"], file_type="nt", filename=True)
+    return found.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("filename").alias("files"))
+
+
+@query("SELECT count(*) AS n, count(DISTINCT c_custkey) AS subjects, sum(c_custkey)::BIGINT AS keys FROM customer")
+def read_byte_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file in many splits: every line is read once."""
+    df = table(spark, sf_dir, "customer")
+    path = _files(spark, lines(df, iri("customer", "c_custkey"), {"key": typed("c_custkey", "long")}), 1)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        found = read_rdf(spark, path, file_type="nt")
+        found.rdd.getNumPartitions()  # the splits are made by this session's setting now
+        return found.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("subject").alias("subjects"), F.sum(F.col("object").cast("bigint")).alias("keys"))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@query("SELECT count(*) - count(*) FILTER (s_suppkey % 3 = 0) AS n, count(*) FILTER (s_suppkey % 3 = 0) AS left_out, count(*) FILTER (s_suppkey % 3 = 1) AS odd FROM supplier")
+def read_lax(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the lines broken, a third with a space in an IRI, which lax reading takes as it is."""
+    key = F.substring_index(F.substring_index("value", ">", 1), "/", -1).cast("bigint")
+    text = supplier_lines(spark, sf_dir).select(
+        F.when(key % 3 == 0, F.replace("value", F.lit("> <"), F.lit("> "))).when(key % 3 == 1, F.replace("value", F.lit("#name>"), F.lit("#na me>"))).otherwise(F.col("value")).alias("value")
+    )
+    path = _files(spark, text, 2)
+    found = read_rdf(spark, path, strict_parsing=False, file_type="nt").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("predicate") == f"{EX}na me", 1)).alias("odd"))
+    return found.crossJoin(skipped_lines(spark, path, file_type="nt").agg(F.count(F.lit(1)).alias("left_out"))).select("n", "left_out", "odd")  # a row each
+
+
+@query("SELECT count(*) AS n FROM nation")
+def read_by_extension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The format by the file's name, upper case and all."""
+    path = f"{work_dir(spark)}/NATIONS.TTL"
+    mapping = r2rml.parse(_HEAD + _map("N", None, "nation/{n_nationkey}", _pom("name", "n_name")))
+    write_rdf(table(spark, sf_dir, "nation"), path, mapping, rdf_format="turtle", single_file=True)
+    return read_rdf(spark, path).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT unnest(['unknown type', 'unknown override', 'no files', 'bad content']) AS what, true AS raised")
+def read_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What readers refuse."""
+    path = _files(spark, supplier_lines(spark, sf_dir), 1)
+    tries = {
+        "unknown type": lambda: read_rdf(spark, f"{path}/*.txt").count(),
+        "unknown override": lambda: read_rdf(spark, path, file_type="x").count(),
+        "no files": lambda: read_rdf(spark, f"{path}/none-*.nt").count(),
+        "bad content": lambda: read_rdf(spark, path, file_type="rdf").count(),
+    }
+    return spark.createDataFrame([(what, _raises(run)) for what, run in tries.items()], "what string, raised boolean")
+
+
+def _raises(run: Callable[[], object]) -> bool:
+    try:
+        run()
+    except Exception:
+        return True
+    return False
+
+
+# RDF/XML by feature: one document for each region
+
+
+_XML_FEATURES = """
+SELECT 'id' AS feature, count(*) AS n FROM region UNION ALL SELECT 'attributes', count(*) FROM region UNION ALL SELECT 'datatype', count(*) FROM region
+UNION ALL SELECT 'xml literal', count(*) FROM region UNION ALL SELECT 'resource', count(*) FROM region UNION ALL SELECT 'collection', 2 * count(*) FROM region
+UNION ALL SELECT 'container', 2 * count(*) FROM region UNION ALL SELECT 'reified', 4 * count(*) FROM region UNION ALL SELECT 'nodes', count(*) FROM region"""
+
+
+@query(_XML_FEATURES)
+def rdfxml_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Identifiers, property attributes, datatypes, XML literals, resources, collections, containers and reification."""
+    key = F.col("r_regionkey").cast("string")
+    body = F.concat(
+        F.lit('<ex:Region rdf:ID="r'), key, F.lit('" ex:label="x"><ex:key rdf:datatype="http://www.w3.org/2001/XMLSchema#int">'), key,
+        F.lit('</ex:key><ex:note rdf:parseType="Literal"><b>'), F.col("r_name"), F.lit('</b></ex:note><ex:place rdf:parseType="Resource"><ex:in>'), F.col("r_name"),
+        F.lit('</ex:in></ex:place><ex:all rdf:parseType="Collection"><rdf:Description rdf:about="a"/><rdf:Description rdf:about="b"/></ex:all>'),
+        F.lit('<ex:bag><rdf:Bag><rdf:li>1</rdf:li><rdf:li>2</rdf:li></rdf:Bag></ex:bag><ex:said rdf:ID="s'), key, F.lit('">'), F.col("r_name"),
+        F.lit('</ex:said><ex:to rdf:nodeID="n'), key, F.lit('"/></ex:Region>'),
+    )
+    head = [f'<rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns:ex="{EX}" xml:base="{DATA}doc">']
+    path = _written(spark, _document(table(spark, sf_dir, "region"), head, ["</rdf:RDF>"], body))
+    p, o, rdf = F.col("predicate"), F.col("object"), "http://www.w3.org/1999/02/22-rdf-syntax-ns#"
+    feature = (
+        F.when((p == f"{rdf}type") & (o == f"{EX}Region") & F.col("subject").startswith(f"{DATA}doc#r"), "id")
+        .when(p == f"{EX}label", "attributes")
+        .when((p == f"{EX}key") & (F.col("object_datatype") == f"{_XSD}int"), "datatype")
+        .when((p == f"{EX}note") & (F.col("object_datatype") == f"{rdf}XMLLiteral") & o.startswith("<b>"), "xml literal")
+        .when(p == f"{EX}in", "resource")
+        .when((p == f"{rdf}first") & o.isin(f"{DATA}a", f"{DATA}b"), "collection")
+        .when(p.isin(f"{rdf}_1", f"{rdf}_2"), "container")
+        .when(F.col("subject").startswith(f"{DATA}doc#s"), "reified")
+        .when((p == f"{EX}to") & o.rlike("^n[0-9]+$"), "nodes")
+    )
+    return read_rdf(spark, path, file_type="rdf").select(feature.alias("feature")).filter("feature is not null").groupBy("feature").agg(F.count(F.lit(1)).alias("n"))
+
+
+# profiles and pivots of files
+
+
+@query("SELECT p AS predicate, t AS type, count(*) AS n FROM part, (VALUES ('name', 'VARCHAR'), ('size', 'INTEGER'), ('price', 'DOUBLE'), ('maker', 'IRI')) v(p, t) GROUP BY p, t")
+def profile_of_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = table(spark, sf_dir, "part")
+    text = lines(df, iri("part", "p_partkey"), {"name": quoted("p_name"), "size": typed("p_size", "int"), "price": typed("p_retailprice", "double"), "maker": iri("maker", F.url_encode("p_brand"))})
+    out = profile_rdf(spark, _files(spark, text, 3), file_type="nt")
+    return out.select(F.substring_index("predicate", "#", -1).alias("predicate"), F.explode("count").alias("type", "n"))
+
+
+@query("SELECT '' AS graph, count(*) AS n, count(DISTINCT s_suppkey) AS subjects FROM supplier, range(2) GROUP BY 1")
+def pivot_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A subject in two files is two rows."""
+    path = work_dir(spark)
+    for part in ("a", "b"):
+        supplier_lines(spark, sf_dir).coalesce(1).write.option("lineSep", "\n").text(f"{path}/{part}")
+    out = pivot_rdf(spark, [f"{path}/a", f"{path}/b"], file_type="nt")
+    return out.groupBy("graph").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("subject").alias("subjects"))
+
+
+@query("SELECT '" + DATA + "customer/' || o_custkey AS subject, string_agg(o_orderkey::VARCHAR, ',' ORDER BY o_orderkey DESC) AS orders FROM orders GROUP BY o_custkey")
+def pivot_list_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists are in the order of the file."""
+    sorted_lines = lines(table(spark, sf_dir, "orders").coalesce(1).sortWithinPartitions(F.desc("o_orderkey")).coalesce(1), iri("customer", "o_custkey"), {"order": typed("o_orderkey", "long")}, at_once=True)
+    path = work_dir(spark)
+    sorted_lines.write.option("lineSep", "\n").text(path)
+    out = pivot_rdf(spark, path, file_type="nt")
+    return out.select("subject", F.array_join(F.col(f"`{EX}order`").cast("array<string>"), ",").alias("orders"))
+
+
+@query("SELECT '" + DATA + "event/' || event_id AS subject, CASE WHEN event_id % 2 = 0 THEN event_id::INTEGER END AS kept FROM events")
+def pivot_lax_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Malformed integers are null in lax reading."""
+    value = F.when(F.col("event_id") % 2 == 0, typed("event_id", "int")).otherwise(typed("event_type", "int"))
+    path = _files(spark, lines(table(spark, sf_dir, "events"), iri("event", "event_id"), {"value": value}), 2)
+    out = pivot_rdf(spark, path, file_type="nt", strict_parsing=False)
+    return out.select("subject", F.col(f"`{EX}value`").alias("kept"))
+
+
+@query("SELECT true AS raised")
+def pivot_strict_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _files(spark, lines(table(spark, sf_dir, "events"), iri("event", "event_id"), {"value": typed("event_type", "int")}), 2)
+    return spark.createDataFrame([(_raises(lambda: pivot_rdf(spark, path, file_type="nt").select(f"`{EX}value`").collect()),)], "raised boolean")
+
+
+# mappings and writing
+
+
+@query("SELECT 'full' AS mapping, true AS valid, false AS inside_out UNION ALL SELECT 'rows', false, true UNION ALL SELECT 'orphan', false, false")
+def mapping_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = work_dir(spark)
+    orphan = 'rr:predicateObjectMap [ rr:predicate ex:in ; rr:objectMap [ rr:parentTriplesMap <#None> ] ]'
+    texts = {
+        "full": _HEAD + _map("N", "nation", "nation/{n_nationkey}", _pom("name", "n_name")),
+        "rows": _HEAD + _map("N", None, "nation/{n_nationkey}", _pom("name", "n_name")),
+        "orphan": _HEAD + _map("N", "nation", "nation/{n_nationkey}", orphan),
+    }
+    out = []
+    for name, text in texts.items():
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{folder}/{name}")
+        (path,) = files_of(spark, f"{folder}/{name}/part-*")
+        out.append((name, is_valid_r2rml(path), can_call_inside_out(path)))
+    return spark.createDataFrame(out, "mapping string, valid boolean, inside_out boolean")
+
+
+@query("SELECT '" + DATA + "nation/' || n_nationkey AS subject, n_name AS object FROM nation")
+def write_ignore_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mapping = r2rml.parse(_HEAD + _map("N", None, "nation/{N_NATIONKEY}", _pom("name", "N_Name")))
+    return rows_to_triples(table(spark, sf_dir, "nation"), mapping, ignore_case=True).select("subject", "object")
+
+
+@query("SELECT count(*) AS n, count(DISTINCT o_orderpriority) AS objects FROM orders")
+def write_keeps_repeated_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows say something of one subject: nothing is removed on writing."""
+    mapping = r2rml.parse(_HEAD + _map("O", None, "orders", _pom("priority", "o_orderpriority")))
+    path = f"{work_dir(spark)}/all.nq"
+    write_rdf(table(spark, sf_dir, "orders"), path, mapping, rdf_format="nquads", single_file=True)
+    return read_rdf(spark, path).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("object").alias("objects"))
+
+
+# more of SPARQL
+
+
+sparql_query(
+    "path_inverse",
+    "SELECT ?r ?n { ?r a ex:Region ; ^ex:inRegion ?x . ?x ex:nationName ?n }",
+    f"SELECT {_R}n_regionkey AS v_r, n_name AS v_n FROM nation WHERE n_regionkey IN (SELECT r_regionkey FROM region)",
+)
+sparql_query(
+    "path_negated",
+    "SELECT ?x ?v { ?x a ex:Nation ; !(ex:inRegion|ex:nationName|<http://www.w3.org/1999/02/22-rdf-syntax-ns#type>) ?v }",
+    f"SELECT {_N}n_nationkey AS v_x, n_nationkey::VARCHAR AS v_v FROM nation",
+)
+sparql_query("path_optional_step", "SELECT ?x ?y { ?x a ex:Nation ; ex:inRegion? ?y }", f"SELECT {_N}n_nationkey AS v_x, {_N}n_nationkey AS v_y FROM nation UNION ALL SELECT {_N}n_nationkey, {_R}n_regionkey FROM nation")
+sparql_query("path_star", "SELECT ?x ?y { ?x a ex:Nation ; ex:inRegion* ?y }", f"SELECT {_N}n_nationkey AS v_x, {_N}n_nationkey AS v_y FROM nation UNION ALL SELECT {_N}n_nationkey, {_R}n_regionkey FROM nation")
+sparql_query(
+    "functions",
+    "SELECT ?n ?a ?b ?c ?d ?e ?f { ?x ex:nationName ?n ; ex:nationKey ?k BIND(ABS(?k - 10) AS ?a) BIND(STRLEN(?n) AS ?b) BIND(MD5(?n) AS ?c) BIND(IF(?k > 5, 'high', 'low') AS ?d) BIND(REPLACE(LCASE(?n), 'a', 'o') AS ?e) BIND(STRAFTER(?n, '_') AS ?f) }",
+    "SELECT n_name AS v_n, abs(n_nationkey - 10)::VARCHAR AS v_a, length(n_name)::VARCHAR AS v_b, md5(n_name) AS v_c, CASE WHEN n_nationkey > 5 THEN 'high' ELSE 'low' END AS v_d, replace(lower(n_name), 'a', 'o') AS v_e, split_part(n_name, '_', 2) AS v_f FROM nation",
+)
+sparql_query(
+    "terms_and_casts",
+    "SELECT ?x ?i ?l ?s ?t { ?x ex:nationKey ?k BIND(isIRI(?x) AS ?i) BIND(isLiteral(?k) AS ?l) BIND(xsd:integer(STR(?k)) + 1 AS ?s) BIND(DATATYPE(?k) AS ?t) }",
+    f"SELECT {_N}n_nationkey AS v_x, 'true' AS v_i, 'true' AS v_l, (n_nationkey + 1)::VARCHAR AS v_s, '{_XSD}int' AS v_t FROM nation",
+)
+sparql_query(
+    "hashes",
+    "SELECT ?n ?a ?b { ?x ex:regionName ?n BIND(SHA1(?n) AS ?a) BIND(SHA256(?n) AS ?b) }",
+    "SELECT r_name AS v_n, sha1(r_name) AS v_a, sha256(r_name) AS v_b FROM region",
+)
+sparql_query(
+    "optional_exists",
+    "SELECT ?x ?n { ?x a ex:Nation OPTIONAL { ?x ex:nationName ?n FILTER EXISTS { ?s a ex:Supplier ; ex:ofNation ?x } } }",
+    f"SELECT {_N}n_nationkey AS v_x, CASE WHEN n_nationkey IN (SELECT s_nationkey FROM supplier) THEN n_name END AS v_n FROM nation",
+)
+sparql_query(
+    "template_join",
+    "SELECT ?c ?o { ?c a ex:Customer . ?o ex:placedBy ?c ; ex:status 'F' }",
+    f"SELECT {_C}c_custkey AS v_c, {_O}o_orderkey AS v_o FROM customer JOIN orders ON o_custkey = c_custkey WHERE o_orderstatus = 'F'",
+)
+
+
+@query(f"SELECT {_C}c_custkey AS v_c, n_name AS v_nn FROM customer JOIN nation ON c_nationkey = n_nationkey")
+def sparql_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """sparql_to_sql's text, run as SQL."""
+    views(spark, sf_dir, "customer", "nation")
+    return spark.sql(sparql_to_sql(f"PREFIX ex: <{EX}> SELECT ?c ?nn {{ ?c a ex:Customer ; ex:ofNation ?n . ?n ex:nationName ?nn }}", TPCH, spark))
+
+
+@query(f"SELECT {_C}c_custkey AS v_c, c_name AS v_n, c_mktsegment AS v_s FROM customer")
+def sparql_shared_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Patterns on one subject share its row where subjects are unique: no self-join."""
+    views(spark, sf_dir, "customer")
+    found = execute_sparql(spark, f"PREFIX ex: <{EX}> SELECT ?c ?n ?s {{ ?c ex:customerName ?n ; ex:segment ?s }}", TPCH, unique_subjects=True)
+    if "Join" in found._jdf.queryExecution().optimizedPlan().toString():
+        raise AssertionError("a self-join")
+    return found
+
+
+@query("SELECT unnest(['CONSTRUCT', 'DESCRIBE', 'GRAPH', 'SERVICE', 'scope', 'YEAR', 'parse']) AS what, true AS raised")
+def sparql_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tries = {
+        "CONSTRUCT": "CONSTRUCT { ?s ?p ?o } WHERE { ?s ?p ?o }", "DESCRIBE": "DESCRIBE ?s { ?s ?p ?o }", "GRAPH": "SELECT ?s { GRAPH ?g { ?s ?p ?o } }",
+        "SERVICE": "SELECT ?s { SERVICE <http://h/> { ?s ?p ?o } }", "scope": "SELECT ?s { ?s ?p ?o FILTER(?z > 1) }", "YEAR": "SELECT ?y { ?s ?p ?o BIND(YEAR(?o) AS ?y) }", "parse": "SELECT ?s { ?s ?p }",
+    }
+    return spark.createDataFrame([(what, _raises(lambda text=text: sparql_to_sql(text, TPCH))) for what, text in tries.items()], "what string, raised boolean")
+
+
+# names for SQL
+
+
+@query("SELECT 'read_rdf' AS what, count(*) AS n FROM supplier UNION ALL SELECT 'profile_rdf', 1 UNION ALL SELECT 'pivot_rdf', count(*) FROM supplier UNION ALL SELECT 'execute_sparql', count(*) FROM supplier")
+def sql_table_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Table functions under SQL, by sql()."""
+    path = _files(spark, supplier_lines(spark, sf_dir), 2)
+    folder = f"{work_dir(spark)}/map"
+    spark.createDataFrame([(_HEAD + _map("S", "supplier", "supplier/{s_suppkey}", _pom("name", "s_name")),)], "value string").coalesce(1).write.text(folder)
+    (mapping,) = files_of(spark, f"{folder}/part-*")
+    views(spark, sf_dir, "supplier")
+    return sql(
+        spark,
+        f"""SELECT 'read_rdf' AS what, count(*) AS n FROM read_rdf('{path}', file_type => 'nt') UNION ALL SELECT 'profile_rdf', count(*) FROM profile_rdf('{path}', file_type => 'nt')
+UNION ALL SELECT 'pivot_rdf', count(*) FROM pivot_rdf('{path}', file_type => 'nt')
+UNION ALL SELECT 'execute_sparql', count(*) FROM execute_sparql('PREFIX ex: <{EX}> SELECT ?s ?n {{ ?s ex:name ?n }}', '{mapping}')""",
+    )
+
+
+@query("SELECT count(*) AS n, count(DISTINCT s_name) AS names FROM supplier")
+def stream_of_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that arrive in a folder, read as a stream into a table."""
+    path, out = _files(spark, supplier_lines(spark, sf_dir), 3), work_dir(spark)
+    stream = read_rdf_stream(spark, path, max_files=1).writeStream.format("parquet").option("checkpointLocation", f"{out}/state")
+    stream.trigger(availableNow=True).start(f"{out}/rows").awaitTermination()
+    return _counted(spark.read.parquet(f"{out}/rows"))

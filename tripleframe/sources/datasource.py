@@ -1,8 +1,9 @@
 """A Python data source: spark.read.format("rdf").load(path), and SQL over it.
 
 One partition for each file; equality filters skip statements in the reader where
-spark.sql.python.filterPushdown.enabled is set. read_rdf() is the faster way for
-N-Triples and N-Quads, which it splits and parses without Python.
+spark.sql.python.filterPushdown.enabled is set. It opens files that executors see
+as local ones; read_rdf() reads all that Hadoop's file systems reach, and splits
+N-Triples and N-Quads, which it parses without Python.
 """
 
 from __future__ import annotations

@@ -1,9 +1,12 @@
 r"""N-Triples and N-Quads as Catalyst expressions.
 
-Lines are Spark's own text source, so files split, codecs work and unused
-columns cost nothing. A statement is checked by one anchored regular expression
-with possessive quantifiers (no backtracking, constant stack); its terms are
-then cut out by plain string functions, which stay in whole-stage code.
+Lines are Spark's own text source, so files split and codecs work. A statement
+is checked and cut into its terms by one pass of an anchored regular expression
+with possessive quantifiers (no backtracking, constant stack): the terms come out
+as lines of a text, since no statement holds a line break, and are then fields of
+an array. A generator makes a row of it, or none; so filters on terms are applied
+to the fields, not to another pass, and those on file names still reach the scan.
+Only the terms that are asked for are unescaped.
 """
 
 from __future__ import annotations
@@ -14,23 +17,37 @@ from pyspark.sql import functions as F
 from ..model import COLUMNS, KIND
 
 _ESCAPE = r"\\(?:[tbnrf\"'\\]|u[0-9A-Fa-f]{4}|U[0-9A-Fa-f]{8})"
-_STRICT_IRI = r"<(?:[^\x00-\x20<>\"{}|^`\\]|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8})*+>"
-_LAX_IRI = r"<[^>\n]*+>"
+_IRI_CHARS = r"[^\x00-\x20<>\"{}|^`\\]*+"
+_STRICT_IRI = rf"{_IRI_CHARS}(?:\\(?:u[0-9A-Fa-f]{{4}}|U[0-9A-Fa-f]{{8}}){_IRI_CHARS})*+"
+_LAX_IRI = r"[^>\n]*+"
 _BLANK = r"_:[^\s<>\"@^.,;]++(?:\.++[^\s<>\"@^.,;]++)*+"
-_STRING = rf"\"[^\"\\\n\r]*+(?:{_ESCAPE}[^\"\\\n\r]*+)*+\""
+_STRING = rf"[^\"\\\n\r]*+(?:{_ESCAPE}[^\"\\\n\r]*+)*+"
 _GAP = r"[ \t]*+"
 
 
 def _statement(iri: str, quads: bool) -> str:
-    literal = rf"{_STRING}(?:@[A-Za-z]++(?:-[A-Za-z0-9]++)*+|\^\^{iri})?+"
-    graph = rf"(?:(?:{iri}|{_BLANK}){_GAP})?+" if quads else ""
-    return rf"^{_GAP}(?:{iri}|{_BLANK}){_GAP}{iri}{_GAP}(?:{iri}|{_BLANK}|{literal}){_GAP}{graph}\.{_GAP}(?:#.*+)?+\r?$"
+    """Groups: subject, predicate's IRI, object's node or its literal's text, datatype behind ^^, language, graph."""
+    node = f"(<{iri}>|{_BLANK})"
+    literal = rf"\"({_STRING})\"(?:(\^\^<{iri})>|@([A-Za-z]++(?:-[A-Za-z0-9]++)*+))?+"
+    graph = rf"(?:{node}{_GAP})?+" if quads else "()"
+    return rf"^{_GAP}{node}{_GAP}<({iri})>{_GAP}(?:{node}|{literal}){_GAP}{graph}\.{_GAP}(?:#[^\n]*+)?+\r?\z"
 
 
 STATEMENT = {(strict, quads): _statement(_STRICT_IRI if strict else _LAX_IRI, quads) for strict in (True, False) for quads in (True, False)}
-_NOTHING = r"^[ \t\r]*+(?:#.*+)?+$"
+#: The fields of a statement, in the order of the groups.
+_S, _P, _O, _BODY, _DT, _LANG, _G = range(7)
+_CUT = "\n".join(f"${n + 1}" for n in range(7))
+
+
+_NOTHING = r"^[ \t\r]*+(?:#[^\n]*+)?+\z"
 _TOKENS = r"([^\\]++|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\.)"
-_LITERAL_HEAD = r"^\"([^\"\\]*+(?:\\.[^\"\\]*+)*+)\""
+
+
+def _begun(quads: bool) -> str:
+    """What a strict statement may begin with: matches as much of a bad line as is right."""
+    node, literal = f"(?:<{_STRICT_IRI}>|{_BLANK})", rf"\"{_STRING}\"(?:\^\^<{_STRICT_IRI}>|@[A-Za-z]++(?:-[A-Za-z0-9]++)*+)?+"
+    graph = f"(?:{node}{_GAP})?+" if quads else ""
+    return rf"^{_GAP}(?:{node}{_GAP}(?:<{_STRICT_IRI}>{_GAP}(?:(?:{node}|{literal}){_GAP}{graph}(?:\.{_GAP})?+)?+)?+)?+"
 
 
 def unescape(value: Column) -> Column:
@@ -49,67 +66,44 @@ def unescape(value: Column) -> Column:
     return F.when(F.instr(value, "\\") > 0, F.array_join(F.transform(tokens, decoded), "")).otherwise(value)
 
 
-def _trim_left(value: Column) -> Column:
-    return F.ltrim(value, F.lit(" \t"))
-
-
-def _head(value: Column) -> Column:
-    """The IRI (in angle brackets) or blank node that value starts with."""
-    blank = F.regexp_extract(value, rf"^{_BLANK}", 0)
-    return F.when(F.startswith(value, F.lit("<")), F.concat(F.substring_index(value, ">", 1), F.lit(">"))).otherwise(blank)
-
-
-def _after(value: Column, head: Column) -> Column:
-    return _trim_left(F.substr(value, F.length(head) + 1))
-
-
 def _name(term: Column) -> Column:
     """A term without its brackets, or a blank node's label."""
     inner = F.substr(term, F.lit(2), F.length(term) - 2)
     return F.when(F.startswith(term, F.lit("<")), unescape(inner)).otherwise(F.substr(term, F.lit(3)))
 
 
-def statements(lines: DataFrame, quads: bool, strict: bool = True, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+def statements(lines: DataFrame, quads: bool, strict: bool = True, value: str = "value", keep: tuple[str, ...] = (), file: Column | None = None) -> DataFrame:
     """The columns of a triple table, object_kind and the columns to keep, from lines of N-Triples or N-Quads.
 
-    strict: a line that is no statement, comment or blank fails the query. Otherwise IRIs may hold any character
-    but '>' and lines that still don't fit are left out.
+    strict: a line that is no statement, comment or blank fails the query with its text and the column from which it is
+    wrong. Otherwise IRIs may hold any character but '>' and lines that still don't fit are left out.
+    file: the name of the line's file for that message, made of columns to keep.
     """
     whole = F.col(value)
-    fits = whole.rlike(STATEMENT[strict, quads])
+    cut = F.split(F.when(F.instr(whole, "\n") == 0, F.regexp_replace(whole, STATEMENT[strict, quads], _CUT)), "\n", -1)
+    step = lines.select(whole.alias("_line"), cut.alias("_cut"), *keep)
+    fits = F.size("_cut") == F.lit(7)
+    row = F.when(fits, F.array("_cut"))
     if strict:
-        where = F.concat(F.lit(" in '"), F.col(keep[0]), F.lit("'")) if keep else F.lit("")
-        said = F.concat(F.lit("Syntax Error: 'Invalid syntax'"), where, F.lit(", at line: "), F.substring(whole, 1, 200))
-        fits = F.when(fits, F.lit(True)).when(whole.rlike(_NOTHING), F.lit(False)).otherwise(F.raise_error(said).cast("boolean"))
-    step = lines.filter(fits).select(_trim_left(whole).alias("_line"), *keep)
-    step = step.withColumn("_s", _head(F.col("_line")))
-    step = step.withColumn("_r1", _after(F.col("_line"), F.col("_s")))
-    step = step.withColumn("_p", F.concat(F.substring_index("_r1", ">", 1), F.lit(">")))
-    step = step.withColumn("_r2", _after(F.col("_r1"), F.col("_p")))
-    rest = F.col("_r2")
-    literal = F.startswith(rest, F.lit('"'))
-    plain = F.substring_index(F.substr(rest, F.lit(2)), '"', 1)
-    body = F.when(literal, F.when(F.instr(rest, "\\") > 0, F.regexp_extract(rest, _LITERAL_HEAD, 1)).otherwise(plain))
-    step = step.withColumn("_body", body)
-    step = step.withColumn("_o", F.when(F.col("_body").isNull(), _head(rest)))
-    step = step.withColumn("_r3", F.when(F.col("_body").isNull(), _after(rest, F.col("_o"))).otherwise(F.substr(rest, F.length("_body") + 3)))
-    tail = F.col("_r3")
-    typed = F.startswith(tail, F.lit("^^<"))
-    spoken = F.startswith(tail, F.lit("@"))
-    lang = F.regexp_extract(tail, r"^@([A-Za-z0-9-]++)", 1)
-    step = step.withColumn("_dt", F.when(F.col("_body").isNotNull() & typed, F.substring_index(F.substr(tail, F.lit(4)), ">", 1)))
-    step = step.withColumn("_lang", F.when(F.col("_body").isNotNull() & spoken, lang))
-    if quads:
-        past = F.when(F.col("_dt").isNotNull(), F.substr(tail, F.length("_dt") + 5)).when(F.col("_lang").isNotNull(), F.substr(tail, F.length("_lang") + 2)).otherwise(tail)
-        step = step.withColumn("_r4", _trim_left(past))
-        step = step.withColumn("_g", F.when(F.startswith("_r4", F.lit("<")) | F.startswith("_r4", F.lit("_:")), _head(F.col("_r4"))))
-        graph = _name(F.col("_g"))
-    else:
-        graph = F.lit(None).cast("string")
-    obj = F.when(F.col("_body").isNotNull(), unescape(F.col("_body"))).otherwise(_name(F.col("_o")))
-    kind = F.when(F.col("_body").isNotNull(), "L").when(F.startswith("_o", F.lit("<")), "I").otherwise("B")
-    made = dict(zip(COLUMNS, (graph, _name(F.col("_s")), _name(F.col("_p")), obj, unescape(F.col("_dt")), F.col("_lang")), strict=True))
-    return step.select(*[c.alias(n) for n, c in made.items()], kind.alias(KIND), *keep)
+        where = F.lit("") if file is None else F.concat(F.lit(" in '"), file, F.lit("'"))
+        at = F.length(F.regexp_extract("_line", _begun(quads), 0)) + 1
+        said = F.concat(F.lit("Syntax Error: 'Invalid syntax'"), where, F.lit(", column "), at.cast("string"), F.lit(", at line: "), F.substring("_line", 1, 200))
+        row = row.when(~F.col("_line").rlike(_NOTHING), F.raise_error(said).cast("array<array<string>>"))
+    step = step.select(F.explode(row).alias("_f"), *keep)
+    field = lambda i: F.get("_f", F.lit(i))
+    node, datatype, lang, graph = field(_O), field(_DT), field(_LANG), field(_G)
+    literal = node == ""
+    kind = F.when(literal, "L").when(F.startswith(node, F.lit("<")), "I").otherwise("B")
+    said = lambda x, is_: F.when(x != "", is_)
+    made = (
+        said(graph, _name(graph)) if quads else F.lit(None).cast("string"),
+        _name(field(_S)),
+        unescape(field(_P)),
+        F.when(literal, unescape(field(_BODY))).otherwise(_name(node)),
+        said(datatype, unescape(F.substr(datatype, F.lit(4)))),
+        said(lang, lang),
+    )
+    return step.select(*[c.alias(n) for n, c in zip(COLUMNS, made, strict=True)], kind.alias(KIND), *keep)
 
 
 def skipped(lines: DataFrame, quads: bool, strict: bool = False, value: str = "value") -> DataFrame:

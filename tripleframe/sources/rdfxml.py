@@ -10,6 +10,7 @@ from collections.abc import Iterator
 from urllib.parse import urljoin
 from xml.parsers import expat
 from xml.sax.saxutils import escape, quoteattr
+from zlib import crc32
 
 from ..errors import RdfSyntaxError
 from ..model import RDF
@@ -35,6 +36,7 @@ class RdfXml:
 
     def __init__(self, file: str = "", base: str = ""):
         self.file, self.out, self.fresh = file, [], 0
+        self.own = f"g{crc32(file.encode()):08x}"  # labels of blank nodes that the file doesn't name differ from file to file
         self.stack: list[_Frame] = [_Frame("document", base, None)]
         self.depth = 0  # of elements inside parseType Literal
         self.open_spaces: list[tuple[str | None, str]] = []
@@ -73,17 +75,21 @@ class RdfXml:
 
     def blank(self) -> str:
         self.fresh += 1
-        return f"genid{self.fresh}"
+        return f"{self.own}n{self.fresh}"
 
     def resolve(self, iri: str, base: str) -> str:
         if not base:
             return iri
         return urljoin(base, iri) if iri else base.split("#")[0]
 
-    def emit(self, s: str, p: str, o: str, datatype: str | None, lang: str | None, kind: str, reify: str | None = None) -> None:
+    def label(self, said: str) -> str:
+        """A label that the document gives, told apart from those that are made here."""
+        return f"{said}_" if said.startswith(self.own) else said
+
+    def emit(self, s: str, p: str, o: str, datatype: str | None, lang: str | None, kind: str, reify: str | None = None, blank: str = "I") -> None:
+        """blank: the kind of the subject."""
         self.out.append((None, s, p, o, datatype, lang, kind))
         if reify:
-            blank = "B" if s.startswith("genid") else "I"
             for n, v, d, la, k in (("type", RDF + "Statement", None, None, "I"), ("subject", s, None, None, blank), ("predicate", p, None, None, "I"), ("object", o, datatype, lang, kind)):
                 self.out.append((None, reify, RDF + n, v, d, la, k))
 
@@ -116,14 +122,15 @@ class RdfXml:
         elif (own := get("ID")) is not None:
             frame.subject = f"{frame.base}#{own}"
         elif (label := get("nodeID")) is not None:
-            frame.subject, kind = label, "B"
+            frame.subject, kind = self.label(label), "B"
         else:
             frame.subject, kind = self.blank(), "B"
+        frame.kind = kind
         if top.role == "property":
             if top.filled:
                 self.fail("a property has one node")
             top.filled = True
-            self.emit(top.subject, top.predicate, frame.subject, None, None, kind, top.reify)
+            self.emit(top.subject, top.predicate, frame.subject, None, None, kind, top.reify, top.kind)
         elif top.role == "collection":
             top.items.append((frame.subject, kind))
         if element != RDF + "Description":
@@ -138,7 +145,7 @@ class RdfXml:
                 self.emit(subject, name, value, None, frame.lang, "L")
 
     def property(self, frame: _Frame, top: _Frame, element: str, attributes: dict[str, str]) -> None:
-        frame.role, frame.subject, frame.predicate = "property", top.subject, element
+        frame.role, frame.subject, frame.predicate, frame.kind = "property", top.subject, element, top.kind
         if element == RDF + "li":
             top.li += 1
             frame.predicate = f"{RDF}_{top.li}"
@@ -150,8 +157,8 @@ class RdfXml:
         frame.parse = attributes.get(RDF + "parseType")
         if frame.parse == "Resource":
             node = self.blank()
-            self.emit(frame.subject, frame.predicate, node, None, None, "B", frame.reify)
-            frame.role, frame.subject = "node", node
+            self.emit(frame.subject, frame.predicate, node, None, None, "B", frame.reify, frame.kind)
+            frame.role, frame.subject, frame.kind = "node", node, "B"
         elif frame.parse == "Collection":
             frame.role = "collection"
         elif frame.parse is not None:
@@ -160,9 +167,9 @@ class RdfXml:
             more = {k: v for k, v in attributes.items() if k not in _SYNTAX and ":" in k}
             to, label = attributes.get(RDF + "resource"), attributes.get(RDF + "nodeID")
             if to is not None or label is not None or more:
-                node, kind = (self.resolve(to, frame.base), "I") if to is not None else (label, "B") if label is not None else (self.blank(), "B")
+                node, kind = (self.resolve(to, frame.base), "I") if to is not None else (self.label(label), "B") if label is not None else (self.blank(), "B")
                 frame.filled = True
-                self.emit(frame.subject, frame.predicate, node, None, None, kind, frame.reify)
+                self.emit(frame.subject, frame.predicate, node, None, None, kind, frame.reify, frame.kind)
                 self.attributes(node, frame, more)
 
     def tag(self, said: str, flat: list[str], spaces: list[tuple[str | None, str]]) -> str:
@@ -185,15 +192,15 @@ class RdfXml:
             return
         self.stack.pop()
         if frame.role == "literal":
-            self.emit(frame.subject, frame.predicate, "".join(frame.text).strip(" \t\r\n"), RDF + "XMLLiteral", None, "L", frame.reify)
+            self.emit(frame.subject, frame.predicate, "".join(frame.text).strip(" \t\r\n"), RDF + "XMLLiteral", None, "L", frame.reify, frame.kind)
         elif frame.role == "collection":
             nodes = [self.blank() for _ in frame.items]
             head, kind = (nodes[0], "B") if nodes else (RDF + "nil", "I")
-            self.emit(frame.subject, frame.predicate, head, None, None, kind, frame.reify)
+            self.emit(frame.subject, frame.predicate, head, None, None, kind, frame.reify, frame.kind)
             for i, (item, is_) in enumerate(frame.items):
                 self.emit(nodes[i], RDF + "first", item, None, None, is_)
                 last = i + 1 == len(nodes)
                 self.emit(nodes[i], RDF + "rest", RDF + "nil" if last else nodes[i + 1], None, None, "I" if last else "B")
         elif frame.role == "property" and not frame.filled:
             text = "".join(frame.text).strip(" \t\r\n")
-            self.emit(frame.subject, frame.predicate, text, frame.datatype, None if frame.datatype else frame.lang, "L", frame.reify)
+            self.emit(frame.subject, frame.predicate, text, frame.datatype, None if frame.datatype else frame.lang, "L", frame.reify, frame.kind)

@@ -33,12 +33,13 @@ def scan(
             continue
         text = spark.read.option("lineSep", "\n").text(files)
         block = F.col("_metadata.file_block_start")
-        text = text.select("value", _local(F.col("_metadata.file_path")).alias("filename"), block.alias("_block"))
+        text = text.select("value", F.col("_metadata.file_path").alias("_file"), block.alias("_block"))
         if not parallel_scan:
             text = text.coalesce(len(files))
-        table = lines.statements(text, kind == "nquads", strict_parsing, keep=("filename", "_block"))
+        name = _local(F.col("_file"))  # for rows that ask for it, and for errors
+        table = lines.statements(text, kind == "nquads", strict_parsing, keep=("_file", "_block"), file=name)
         pos = F.struct(F.col("_block").alias("block"), F.monotonically_increasing_id().alias("row"))
-        parts.append(table.select(*COLUMNS, KIND, "filename", pos.alias("_pos")))
+        parts.append(table.select(*COLUMNS, KIND, name.alias("filename"), pos.alias("_pos")))
     if whole:
         table = documents.scan(spark, whole, file_type, strict_parsing, prefix_expansion)
         pos = F.struct(F.lit(0).cast("bigint").alias("block"), F.col("_pos").alias("row"))
