@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Pieces that a worker remembers before it starts anew, and the longest piece that it remembers.
-REMEMBERED, LONGEST = 900_000, 64
+REMEMBERED, LONGEST = 400_000, 64
 
 OUTPUTS = {
     "n_tokens": "bigint",
