@@ -57,6 +57,20 @@ def test_validity(tmp_path):
         read_mapping("none.ttl")
 
 
+def test_malformed_mappings_are_mapping_errors(tmp_path):
+    (tmp_path / "bytes.ttl").write_bytes(b"\xff\xfe\x00")
+    (tmp_path / "bytes.yml").write_bytes(b"\xff\xfe\x00")
+    put(tmp_path, "half.ttl", STAFF.replace("rr:child", "rr:other"))
+    put(tmp_path, "pair.yml", "mappings:\n  m:\n    s: x$(a)\n    po:\n      - [p]\n")
+    put(tmp_path, "prefixes.yml", "prefixes: text\nmappings:\n  m: {s: x}\n")
+    put(tmp_path, "list.yml", "mappings:\n  m: [1, 2]\n")
+    for name in ("bytes.ttl", "bytes.yml", "half.ttl", "pair.yml", "prefixes.yml", "list.yml"):
+        path = str(tmp_path / name)
+        assert (is_valid_r2rml(path), can_call_inside_out(path)) == (False, False), name
+        with pytest.raises(MappingError):
+            read_mapping(path)
+
+
 def test_yarrrml_says_the_same_as_r2rml():
     text = """
 prefixes:

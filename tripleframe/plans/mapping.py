@@ -97,6 +97,8 @@ def read_text(path: str) -> str:
     try:
         with open(path.removeprefix("file://").removeprefix("file:"), encoding="utf-8") as file:
             return file.read()
+    except UnicodeDecodeError as e:
+        raise MappingError(f"Mapping file '{path}' is not UTF-8: {e.reason}") from None
     except OSError:
         pass
     from pyspark.sql import SparkSession
@@ -107,7 +109,10 @@ def read_text(path: str) -> str:
         where = jvm.org.apache.hadoop.fs.Path(path)
         system = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         if system.exists(where):
-            return bytes(spark.read.format("binaryFile").load(path).select("content").first()[0]).decode()
+            try:
+                return bytes(spark.read.format("binaryFile").load(path).select("content").first()[0]).decode()
+            except UnicodeDecodeError as e:
+                raise MappingError(f"Mapping file '{path}' is not UTF-8: {e.reason}") from None
     raise MappingError(f"Mapping file not found: '{path}'")
 
 
@@ -130,7 +135,7 @@ def is_valid_r2rml(path: str) -> bool:
 
 
 def can_call_inside_out(path: str) -> bool:
-    """Whether the file is a mapping for rows from outside; false if it can't be read."""
+    """Whether the file is a mapping for rows from outside; false if it can't be read or parsed, as in is_valid_r2rml()."""
     try:
         return read_mapping(path).can_call_inside_out()
     except MappingError:

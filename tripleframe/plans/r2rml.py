@@ -53,7 +53,10 @@ def _terms(graph: dict, node: dict, name: str, position: str) -> list:
     for to, *_ in node.get(f"{name}Map", ()):
         inner = graph[to]
         if position == "object" and inner.get("parentTriplesMap"):
-            joins = tuple((unquoted(_one(graph[j], "child")), unquoted(_one(graph[j], "parent"))) for j, *_ in inner.get("joinCondition", ()))
+            conditions = [graph[j] for j, *_ in inner.get("joinCondition", ())]
+            if not all(c.get("child") and c.get("parent") for c in conditions):
+                raise MappingError("R2RML mapping parse error: a join condition has no child or no parent")
+            joins = tuple((unquoted(_one(c, "child")), unquoted(_one(c, "parent"))) for c in conditions)
             out.append(Reference(_one(inner, "parentTriplesMap"), joins))
         else:
             out.append(_term(inner, position))

@@ -23,10 +23,14 @@ def parse(text: str, path: str = "") -> Mapping:
         raise MappingError(f"R2RML/YARRRML mapping parse error in '{path}': {e}") from None
     if not isinstance(doc, dict) or not isinstance(doc.get("mappings") or doc.get("mapping"), dict):
         raise MappingError(f"R2RML/YARRRML mapping parse error in '{path}': it has no mappings")
-    prefixes = {"rdf": RDF, **{str(k): str(v) for k, v in (doc.get("prefixes") or {}).items()}}
-    sources = doc.get("sources") or {}
-    maps = {name: _map(str(name), said or {}, prefixes, sources) for name, said in (doc.get("mappings") or doc.get("mapping")).items()}
-    return Mapping(maps)
+    said_prefixes, sources = doc.get("prefixes") or {}, doc.get("sources") or {}
+    if not isinstance(said_prefixes, dict) or not isinstance(sources, dict):
+        raise MappingError(f"R2RML/YARRRML mapping parse error in '{path}': prefixes and sources must have names")
+    prefixes = {"rdf": RDF, **{str(k): str(v) for k, v in said_prefixes.items()}}
+    try:
+        return Mapping({name: _map(str(name), said or {}, prefixes, sources) for name, said in (doc.get("mappings") or doc.get("mapping")).items()})
+    except (AttributeError, IndexError, KeyError, TypeError) as e:  # lists where mappings belong, pairs of one, and the like
+        raise MappingError(f"R2RML/YARRRML mapping parse error in '{path}': {e}") from None
 
 
 def _get(node: dict, *names: str):
@@ -84,6 +88,8 @@ def _object(said, prefixes: dict[str, str], more: list) -> Term | Reference:
 
 
 def _map(name: str, said: dict, prefixes: dict[str, str], sources: dict) -> TriplesMap:
+    if not isinstance(said, dict):
+        raise TypeError(f"mapping {name} has no fields")
     out = TriplesMap(name)
     for source in _list(_get(said, "sources", "source")):
         source = sources.get(source, source) if isinstance(source, str) else source

@@ -736,7 +736,7 @@ def pivot_strict_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # mappings and writing
 
 
-@query("SELECT 'full' AS mapping, true AS valid, false AS inside_out UNION ALL SELECT 'rows', false, true UNION ALL SELECT 'orphan', false, false")
+@query("SELECT 'full' AS mapping, true AS valid, false AS inside_out UNION ALL SELECT 'rows', false, true UNION ALL SELECT 'orphan', false, false UNION ALL SELECT 'broken', false, false")
 def mapping_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark)
     orphan = 'rr:predicateObjectMap [ rr:predicate ex:in ; rr:objectMap [ rr:parentTriplesMap <#None> ] ]'
@@ -744,6 +744,7 @@ def mapping_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
         "full": _HEAD + _map("N", "nation", "nation/{n_nationkey}", _pom("name", "n_name")),
         "rows": _HEAD + _map("N", None, "nation/{n_nationkey}", _pom("name", "n_name")),
         "orphan": _HEAD + _map("N", "nation", "nation/{n_nationkey}", orphan),
+        "broken": _HEAD + '<#N> rr:subjectMap [ rr:template "x ] .',
     }
     out = []
     for name, text in texts.items():
