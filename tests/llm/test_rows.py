@@ -299,6 +299,30 @@ def test_quality_on_held_out_rows(spark):
     assert all(0 <= r["expected_grade"] <= 2 and 0 <= r["tail_probability"] <= 1 for r in out)
 
 
+def test_quality_on_held_out_rows_of_the_tables(spark):
+    """Each rated document graded by a model fitted on three of four folds, without its own. Folds are by text, so that copies share one.
+
+    Many toxic documents have no word that enough others have, so that a fifth to a quarter of them stays with some 3,000 ratings.
+    """
+    from pathlib import Path
+
+    folder = "/root/testdata/sf0.1"
+    if not Path(folder).exists():
+        pytest.skip("no test tables")
+    documents = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    rated_docs = documents.join(quality.ratings_of(spark.read.parquet(f"{folder}/labels.parquet")), "doc_id")
+    fold, rows, kept = F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(4)), [0] * 3, [0] * 3
+    for k in range(4):
+        graded = quality.grade(rated_docs, rated_docs.filter(fold != k).select("doc_id", "grade"))
+        test = rated_docs.filter(fold == k).select("doc_id", F.col("grade").alias("truth"))
+        for truth, n, stay in graded.join(test, "doc_id").groupBy("truth").agg(F.count(F.lit(1)), F.sum(F.col("kept").cast("int"))).collect():
+            rows[truth] += n
+            kept[truth] += stay
+    print("rated:", rows, "kept:", kept)
+    poor, toxic, good = (stay / n for stay, n in zip(kept, rows, strict=True))
+    assert poor <= 0.02 and toxic <= 0.25 and good >= 0.99
+
+
 def test_quality_edges(spark):
     df = docs(spark)
     none = spark.createDataFrame([], "doc_id bigint, grade int")
