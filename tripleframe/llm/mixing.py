@@ -14,7 +14,8 @@
 Defined results
 * null text: no tokens, the domains' priors as posteriors. Null identifiers are
   rows of their own and share one u; repeated rows are rows of their own.
-* a domain without tokens: its residual is left alone. No labelled row: uniform
+* a domain without tokens (less than one is expected, by all posteriors): its
+  residual is left alone and it binds no budget. No labelled row: uniform
   posteriors. Labelled rows of domains without a target, or null, are ignored.
 * targets that no rates meet: the nearest rates after STEPS steps; target_gap tells.
 * empty table: an empty result. Very long texts: read whole; evidence beyond
@@ -40,6 +41,8 @@ BUCKETS = 4096
 EVIDENCE = 64
 #: Steps at most, and the relative residual that is good enough.
 STEPS, TOLERANCE = 40, 0.001
+#: Expected tokens of a domain that isn't absent; posteriors are never quite zero.
+LEAST_TOKENS = 1.0
 
 
 def _grams(docs: DataFrame, *keep: Column) -> DataFrame:
@@ -107,7 +110,7 @@ def solve(soft: DataFrame, weights: list[float], max_rate: float, budget: float
     if not sum(plain):
         return [], 1.0, 0.0
     if budget is None:  # as much as there is without repeating a domain beyond max_rate
-        budget = min([sum(plain), *(max_rate * a / w for a, w in zip(plain, weights, strict=True) if w and a)])
+        budget = min([sum(plain), *(max_rate * a / w for a, w in zip(plain, weights, strict=True) if w and a >= LEAST_TOKENS)])
     target = [w * budget for w in weights]
     start, steps = min(max_rate, budget / sum(plain)), []
     got = [a * start for a in plain]
@@ -115,8 +118,8 @@ def solve(soft: DataFrame, weights: list[float], max_rate: float, budget: float
     def gap() -> float:
         return max(abs(m - t) / max(t, 1.0) for m, t in zip(got, target, strict=True))
 
-    while len(steps) < STEPS and any(a and abs(m - t) > TOLERANCE * max(t, 1) for m, t, a in zip(got, target, plain, strict=True)):
-        steps.append([(m - t) / a if a else 0.0 for m, t, a in zip(got, target, plain, strict=True)])
+    while len(steps) < STEPS and any(a >= LEAST_TOKENS and abs(m - t) > TOLERANCE * max(t, 1) for m, t, a in zip(got, target, plain, strict=True)):
+        steps.append([(m - t) / a if a >= LEAST_TOKENS else 0.0 for m, t, a in zip(got, target, plain, strict=True)])
         got = sums(rate_of(steps, start, max_rate, n))
     return steps, start, gap()
 
