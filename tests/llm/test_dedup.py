@@ -4,6 +4,7 @@ from collections import defaultdict
 import numpy as np
 from pyspark.sql import functions as F
 
+from tripleframe.llm import common
 from tripleframe.llm import near_dedup as near
 from tripleframe.llm.exact_dedup import exact_dedup, keep_unique
 
@@ -178,3 +179,18 @@ def test_short_sets_never_lose_a_link():
         b = np.unique(np.concatenate([a[: rng.integers(30, len(a))], rng.integers(0, 1 << 36, 10).astype(np.uint64)]))
         if near.linked(a.tobytes(), b.tobytes(), 75):
             assert near.perhaps_linked(near.short_set(a), near.short_set(b), len(a), len(b), 75)
+
+
+def test_the_plan_of_the_rest_stays_small(spark):
+    """The joins that find near copies are planned once, not again wherever the dropped documents are read."""
+    for repeat, joins in ((False, 2), (True, 7)):
+        out = near.keep_first(docs(spark, repeat))
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("Join ") <= joins
+
+
+def test_the_heap_is_given_back_once_it_has_grown(spark, monkeypatch):
+    called = []
+    monkeypatch.setattr(common, "release", called.append)
+    for share, calls in ((1.0, 0), (0.0, 1)):
+        monkeypatch.setattr(common, "HEAP_SHARE", share)
+        assert common.cut(spark.range(3)).count() == 3 and len(called) == calls

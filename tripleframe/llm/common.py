@@ -69,6 +69,7 @@ def new_path(spark: SparkSession, what: str) -> str:
 def staged_at(df: DataFrame, what: str) -> tuple[DataFrame, str]:
     """staged(), and its path."""
     path = new_path(df.sparkSession, what)
+    relieve(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
@@ -84,6 +85,17 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+#: The part of its largest heap that the driver may take before memory is given back.
+HEAP_SHARE = 0.5
+
+
+def relieve(spark: SparkSession) -> None:
+    """release(), where the driver's heap has grown beyond HEAP_SHARE: the JVM keeps what it once took, and little of it is in use between queries."""
+    runtime = spark.sparkContext._jvm.java.lang.Runtime.getRuntime()
+    if runtime.totalMemory() > HEAP_SHARE * runtime.maxMemory():
+        release(spark)
+
+
 #: Rows of a checkpoint that are worth a partition of their own.
 ROWS_A_PARTITION = 50_000
 
@@ -91,6 +103,7 @@ ROWS_A_PARTITION = 50_000
 def cut(df: DataFrame) -> DataFrame:
     """A reliable checkpoint; Spark removes its files once nothing refers to it. Small ones have few partitions."""
     shared_dir(df.sparkSession)
+    relieve(df.sparkSession)
     out = df.checkpoint()
     return out.coalesce(1 + out.count() // ROWS_A_PARTITION)
 

@@ -240,7 +240,8 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that stay, one of each component, with all their columns."""
-    gone = near_dedup(docs, id_col, text_col).filter("not kept").select(F.col(id_col).alias("_gone")).distinct()
+    # cut: it is read several times below, and each would bring all joins of near_dedup() into the driver's plan again
+    gone = cut(near_dedup(docs, id_col, text_col).filter("not kept").select(F.col(id_col).alias("_gone")).distinct())
     rest = docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]), "left_anti")
     unnamed = rest.filter(F.col(id_col).isNull())  # no identifier, no component: all stay
     return one_of_each(rest.filter(F.col(id_col).isNotNull()), [id_col]).unionByName(unnamed)
