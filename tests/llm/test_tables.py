@@ -172,6 +172,23 @@ def test_the_pipeline_mixes_without_loss(spark, tmp_path):
     assert 0.3 < half.agg(F.avg("rate")).first()[0] < 0.7 and half.select("rate").distinct().count() == 1
 
 
+def test_the_mix_decides_the_order_of_what_follows(spark, tmp_path):
+    import corpus_pipeline
+
+    df = spoken(spark, 1500, 3)
+    df.filter("doc_id % 3 = 0").select("doc_id").write.parquet(f"{tmp_path}/labels.parquet")
+    corpus_pipeline.mixed_languages(spark, df, str(tmp_path)).write.parquet(f"{tmp_path}/mixed")
+    out = corpus_pipeline.tokens(spark, spark.read.parquet(f"{tmp_path}/mixed"), str(tmp_path))
+    ordered = out.join(df.select("doc_id", "lang", F.size(F.split("text", " ")).alias("n")), "doc_id").orderBy("place").collect()
+    assert len({r["place"] for r in ordered}) == len(ordered) == 1500
+    whole, seen, had = sum(r["n"] for r in ordered), 0, dict.fromkeys(VOICES, 0)
+    wanted = {d: corpus_pipeline.TARGETS[d] / 0.85 for d in VOICES}  # no Spanish
+    for r in ordered:
+        seen, had[r["lang"]] = seen + r["n"], had[r["lang"]] + r["n"]
+        if 0.15 * whole < seen < 0.35 * whole:
+            assert all(abs(had[d] / seen - wanted[d]) < 0.06 for d in VOICES), (seen / whole, had)
+
+
 def test_mix_is_the_least_squares_solution(spark):
     """The rates against projected gradients over all rates in numpy."""
     rng = np.random.default_rng(1)

@@ -183,6 +183,24 @@ def take(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | list[
     return docs.join(taken, same).select(*[docs[c] for c in docs.columns])
 
 
+def in_mixed_order(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text", seed: int = 1) -> DataFrame:
+    """All rows of docs, each once, sorted so that from the first row on the domains have the shares of tokens that targets asks for, each domain for as long as it lasts.
+
+    A row stands at u * (its domain's tokens) / (its domain's target), u a number that its identifier decides: up to any
+    place p, a domain that isn't used up has some p * target tokens. Domains whose target is 0 come last.
+    """
+    mixed = _mixed(docs, labelled, sorted(targets), id_col, text_col, max_rate=1.0)
+    lengths = F.lit(None).cast("double")
+    for r in mixed.groupBy("domain").agg(F.sum("n_tokens").alias("n")).collect():  # a row a domain
+        if targets[r["domain"]]:
+            lengths = F.when(F.col("domain") == r["domain"], F.lit(r["n"] / targets[r["domain"]])).otherwise(lengths)
+    placed = mixed.select(F.col(id_col).alias("_mid"), F.col("_sa").alias("_ma"), F.col("_sb").alias("_mb"), (unit_hash(id_col, seed=seed) * lengths).alias("_place"))
+    placed = placed.groupBy("_mid", "_ma", "_mb").agg(F.first("_place").alias("_place"))
+    a, b = _known_by(text_col)
+    same = docs[id_col].eqNullSafe(placed["_mid"]) & (a == placed["_ma"]) & (b == placed["_mb"])
+    return docs.join(placed, same).orderBy(placed["_place"].asc_nulls_last(), placed["_ma"]).select(*[docs[c] for c in docs.columns])
+
+
 def _known_by(text_col: str) -> list[Column]:
     """128 bits that stand for the text, as two numbers, which aggregates by hash can hold."""
     both = same_text(text_of(text_col))
