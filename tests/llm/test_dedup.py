@@ -76,6 +76,17 @@ def test_only_hit_texts_are_shuffled(spark):
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
+def test_exact_dedup_starts_no_python_worker(spark, monkeypatch):
+    df = docs(spark)
+    want = brute_exact([(r["doc_id"], r["text"]) for r in df.collect()])
+
+    def none(*_, **__):
+        raise AssertionError("rows from Python take a daemon and workers of their own on each executor")
+
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", none)
+    assert sorted((tuple(r) for r in exact_dedup(df).select("doc_id", "keep_id", "group_size", "text_sha256").collect()), key=repr) == want
+
+
 def test_results_outlive_another_scope(spark):
     from tripleframe.llm.common import Scratch
 

@@ -1,15 +1,17 @@
 """Operators that work row by row: BPE, chat, secrets, licenses, quality."""
 
+import gc
 import hashlib
 import json
 import random
 import re
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tripleframe.llm import bpe, chat, license_scan, quality, secret_scan
+from tripleframe.llm import bpe, chat, common, license_scan, near_dedup, quality, secret_scan
 from tripleframe.llm.queries import RANKS
 
 from .data import clashing, docs, empty, got, texts, words
@@ -41,6 +43,38 @@ def test_bpe_is_the_library(spark, reference):
     assert bpe.encode_decode(empty(spark), RANKS, public_tokenizers.PATTERN).count() == 0
 
 
+def test_workers_keep_the_tables_of_one_operator(spark, monkeypatch):
+    """A worker that serves another operator lets go of the codec; what workers run is run here."""
+    run, df = [], docs(spark, repeat=False)
+    plain = type(df).mapInArrow
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, f, *how: run.append(f) or plain(self, f, *how))
+    bpe.encode_decode(df, RANKS, public_tokenizers.PATTERN, outputs=("n_tokens",))
+    near_dedup.near_dedup(df)
+    quality.grade(df, df.selectExpr("doc_id", "int(doc_id % 3) as grade"))
+    encode, sign, score = run[0], run[1], run[-1]
+    batch = pa.RecordBatch.from_pydict({"_id": [1], "_text": ["some words"]})
+    codecs = lambda: sum(isinstance(x, bpe.Codec) for x in gc.get_objects())
+    for other in (sign, score):
+        assert all(len(list(f(iter([batch])))) == 1 for f in (encode, encode)) and codecs() == 1
+        assert len(list(other(iter([batch])))) == 1 and codecs() == 0
+
+
+def test_batches_are_given_back():
+    pool, freed = pa.default_memory_pool(), []
+
+    class Pool:
+        def release_unused(self):
+            freed.append(pool.bytes_allocated())
+
+    batches = [pa.RecordBatch.from_pydict({"n": [i]}) for i in range(3)]
+    real, pa.default_memory_pool = pa.default_memory_pool, Pool
+    try:
+        assert list(common.lean(lambda rows: (b for b in rows))(iter(batches))) == batches
+    finally:
+        pa.default_memory_pool = real
+    assert len(freed) == 4  # after each batch, and when the last one is gone
+
+
 def test_bpe_keeps_identifiers(spark):
     df = spark.createDataFrame([(2**62 + 1, "a"), (None, "b")], "doc_id bigint, text string")
     assert {r[0] for r in bpe.encode_decode(df, RANKS, public_tokenizers.PATTERN, outputs=("n_tokens",)).collect()} == {2**62 + 1, None}

@@ -8,7 +8,7 @@ left neighbour), each in logarithmic time; live neighbours form a linked list.
 
 Work is per row, without a shuffle. Ranks are read once on the driver from a
 path that is a parameter and broadcast (some 50,000 entries, whatever the input).
-Each Python worker remembers pieces it has met, up to a fixed number.
+Each Python worker remembers pieces it has met, up to a fixed number, until it serves another operator.
 
 Defined results
 * null or empty text: no tokens, the digest of nothing.
@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import kept, lean
+
 #: Pieces that a worker remembers before it starts anew, and the longest piece that it remembers.
 REMEMBERED, LONGEST = 400_000, 64
 
@@ -174,14 +176,9 @@ def encode_decode(
 
     schema = f"_id {kind}, " + ", ".join(f"{name} {OUTPUTS[name]}" for name in outputs)
     rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
-    return rows.mapInArrow(run, schema).withColumnRenamed("_id", id_col)
-
-
-_CODECS: list[Codec] = []
+    return rows.mapInArrow(lean(run), schema).withColumnRenamed("_id", id_col)
 
 
 def _codec(ranks: dict[bytes, int], pattern: str) -> Codec:
-    """One codec for each worker process, kept between tasks."""
-    if not _CODECS or _CODECS[0].ranks is not ranks or _CODECS[0].pattern != pattern:
-        _CODECS[:] = [Codec(ranks, pattern)]
-    return _CODECS[0]
+    """One codec for each worker process, kept between tasks until the worker serves another operator."""
+    return kept(("bpe", id(ranks), pattern), lambda: Codec(ranks, pattern))

@@ -10,8 +10,11 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Hashable, Iterator
 from contextvars import ContextVar
+from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,6 +99,39 @@ def relieve(spark: SparkSession) -> None:
         release(spark)
 
 
+_KEPT: dict[Hashable, Any] = {}
+
+
+def kept(key: Hashable, make: Callable[[], Any]) -> Any:
+    """make(), which this Python worker keeps between tasks until another key is asked for.
+
+    Workers serve one operator after another, so that what each kept for itself would add up. make()'s result must hold
+    what the key names by id().
+    """
+    if key not in _KEPT:
+        forget()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def forget() -> None:
+    """Let go of what this Python worker keeps; for operators that keep nothing themselves."""
+    _KEPT.clear()
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, for mapInArrow(), giving back after each batch what Arrow would keep: workers stay, and with them what their largest batches took."""
+
+    def lean_run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in run(batches):
+            yield out
+            del out
+            pa.default_memory_pool().release_unused()
+        pa.default_memory_pool().release_unused()
+
+    return lean_run
+
+
 #: Rows of a checkpoint that are worth a partition of their own.
 ROWS_A_PARTITION = 50_000
 

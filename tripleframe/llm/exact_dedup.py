@@ -80,7 +80,8 @@ def run_state(spark: SparkSession, schema, source: str, out: str, place: str) ->
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    empty = spark.createDataFrame([], state.schema)
+    # no createDataFrame(): even for no rows executors would start a Python daemon of its own with two workers
+    empty = spark.range(0).select(*[F.lit(None).cast(c.dataType).alias(c.name) for c in state.schema])
     empty.write.mode("overwrite").parquet(f"{out}/batch=-1")
     said = spark.read.schema(state.schema).parquet(f"{out}/batch=*")
     # a later batch says again what it has changed; keep and count only grow

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, lean
 
 #: Records of a bucket that are compared with as many others at a time, and blocks on each side of a cell: what one
 #: task compares without a break. A group of any size is dealt out over cells of this size.
@@ -162,4 +162,4 @@ def _met(blocks: DataFrame, possible: Callable[[int, list, list], list[tuple]])
             ids = batch.schema.field(1).type.value_type.field(0).type
             yield pa.RecordBatch.from_arrays([pa.array([min(p) for p in out], ids), pa.array([max(p) for p in out], ids)], ["_a", "_b"])
 
-    return pairs.mapInArrow(run, f"_a {kind}, _b {kind}")
+    return pairs.mapInArrow(lean(run), f"_a {kind}, _b {kind}")

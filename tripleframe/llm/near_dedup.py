@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, one_of_each, release, staged
+from .common import cut, forget, lean, one_of_each, release, staged
 from .linking import connect, popularity, shared_buckets
 
 SHINGLE, BANDS, ROWS = 5, 52, 6
@@ -146,6 +146,7 @@ def _signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             sizes, sets, signatures = [], [], []
             for text in batch.column(1):
@@ -156,7 +157,7 @@ def _signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(sets, pa.binary()), pa.array(signatures, pa.binary())], ["_id", "_n", "_set", "_sig"])
 
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    return rows.mapInArrow(run, f"_id {kind}, _n bigint, _set binary, _sig binary")
+    return rows.mapInArrow(lean(run), f"_id {kind}, _n bigint, _set binary, _sig binary")
 
 
 def _full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -170,7 +171,7 @@ def _full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> D
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["_id", "_full", "_short"])
 
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    return rows.join(ids, "_id", "left_semi").mapInArrow(run, f"_id {kind}, _full binary, _short binary")
+    return rows.join(ids, "_id", "left_semi").mapInArrow(lean(run), f"_id {kind}, _full binary, _short binary")
 
 
 def _pairs_with(pairs: DataFrame, values: DataFrame, value: str) -> DataFrame:
@@ -187,7 +188,7 @@ def _bayes(pairs: DataFrame, signed: DataFrame, bounds: list[tuple[int, int]]) -
             yield batch.select(["_a", "_b"]).filter(pa.array([survives(x.as_py(), y.as_py(), bounds) for x, y in zip(a, b, strict=True)], pa.bool_()))
 
     kind = pairs.schema["_a"].dataType.simpleString()
-    return _pairs_with(pairs, signed, "_load").select("_a", "_b", "_va", "_vb").mapInArrow(run, f"_a {kind}, _b {kind}")
+    return _pairs_with(pairs, signed, "_load").select("_a", "_b", "_va", "_vb").mapInArrow(lean(run), f"_a {kind}, _b {kind}")
 
 
 def _exact(pairs: DataFrame, full: DataFrame, share: int) -> DataFrame:
@@ -197,7 +198,7 @@ def _exact(pairs: DataFrame, full: DataFrame, share: int) -> DataFrame:
             yield batch.select(["_a", "_b"]).filter(pa.array([linked(x.as_py(), y.as_py(), share) for x, y in zip(a, b, strict=True)], pa.bool_()))
 
     kind = pairs.schema["_a"].dataType.simpleString()
-    return _pairs_with(pairs, full, "_full").select("_a", "_b", "_va", "_vb").mapInArrow(run, f"_a {kind}, _b {kind}")
+    return _pairs_with(pairs, full, "_full").select("_a", "_b", "_va", "_vb").mapInArrow(lean(run), f"_a {kind}, _b {kind}")
 
 
 def _connected(signed: DataFrame, docs: DataFrame, id_col: str, text_col: str, share: int) -> DataFrame | None:

@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import forget, kept, lean
+
 #: Rated documents at most that the model is fitted on, hash buckets, and documents that a bucket needs for a weight.
 MAX_RATED, BUCKETS, LEAST_DOCS = 16384, 1 << 17, 8
 #: A bucket gets a weight if its share of documents on the two sides of some threshold differs by so many standard
@@ -127,11 +129,12 @@ def train(docs: DataFrame, ratings: DataFrame, grades: int, id_col: str = "doc_i
     rated = texts.join(F.broadcast(chosen), F.col("_id") == F.col("_rid")).select("_grade", "_text", "_rid")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             found = [np.array(features(t.as_py()), dtype=np.int32).tobytes() for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary()), batch.column(2)], ["_grade", "_found", "_rid"])
 
-    found = rated.mapInArrow(run, f"_grade int, _found binary, _rid {docs.schema[id_col].dataType.simpleString()}")
+    found = rated.mapInArrow(lean(run), f"_grade int, _found binary, _rid {docs.schema[id_col].dataType.simpleString()}")
     rows = found.groupBy("_rid").agg(F.min("_grade").alias("_grade"), F.min("_found").alias("_found")).collect()  # max_rated rows at most
     rows.sort(key=lambda r: str(r[0]))  # the same sums whatever the order of partitions
     return fit([(r[1], np.frombuffer(bytes(r[2]), dtype=np.int32)) for r in rows], grades)
@@ -155,7 +158,7 @@ def grade(docs: DataFrame, ratings: DataFrame, grades: int = 3, least: int | Non
 
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
     schema = f"_id {kind}, expected_grade double, tail_probability double, grade int, kept boolean"
-    return rows.mapInArrow(run, schema).withColumnRenamed("_id", id_col)
+    return rows.mapInArrow(lean(run), schema).withColumnRenamed("_id", id_col)
 
 
 def _wanted(grades: int, least: int | None) -> int:
@@ -163,17 +166,20 @@ def _wanted(grades: int, least: int | None) -> int:
     return (grades - 1 if least is None else least) - 1
 
 
+def _dense(by_bucket: dict[int, float]) -> np.ndarray:
+    """The weights of all buckets."""
+    out = np.zeros(BUCKETS)
+    out[list(by_bucket)] = list(by_bucket.values())
+    return out
+
+
 def _scorer(docs: DataFrame, ratings: DataFrame, grades: int, id_col: str, text_col: str) -> Callable[[pa.Array], list[np.ndarray]]:
     """A fitted model, as a function of a column of texts: their tail probabilities at each threshold."""
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, ratings, grades, id_col, text_col))  # bounded by BUCKETS
-    dense = np.zeros(0)
 
     def tails_of(texts: pa.Array) -> list[np.ndarray]:
-        nonlocal dense
-        by_bucket, cuts = shared.value
-        if not len(dense):
-            dense = np.zeros(BUCKETS)
-            dense[list(by_bucket)] = list(by_bucket.values())
+        model = shared.value
+        dense, cuts, _ = kept(("quality", id(model)), lambda: (_dense(model[0]), model[1], model))
         z = np.array([dense[features(t.as_py() or "")].sum() for t in texts])
         return [_sigmoid(z - t) for t in cuts]
 
@@ -188,7 +194,7 @@ def select_good(docs: DataFrame, ratings: DataFrame, grades: int = 3, least: int
         for batch in batches:
             yield batch.filter(pa.array(tails_of(batch.column(at))[wanted] >= 0.5)).select(range(at))
 
-    return docs.select("*", F.col(text_col).cast("string").alias("_scored")).mapInArrow(run, docs.schema)
+    return docs.select("*", F.col(text_col).cast("string").alias("_scored")).mapInArrow(lean(run), docs.schema)
 
 
 def ratings_of(labels: DataFrame) -> DataFrame:
